@@ -77,15 +77,15 @@ def stock_info(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_type").alias("sector"), F.col("p_brand").alias("industry"),
         (F.col("ext") * size * size * 30).alias("market_cap"),
         F.col("p_retailprice").alias("current_price"), F.col("qty").cast("bigint").alias("volume"),
-        F.when(size % 7 == 0, F.lit(None).cast("double"))
-         .otherwise((5 + size * 0.8).cast("double")).alias("pe_ratio"),
-        F.when(key % 11 == 0, F.lit(None).cast("double"))
-         .otherwise((0.5 + (key % 40) * 0.1).cast("double")).alias("peg_ratio"),
+        # decimal literals, as in the fixture definition (0.1 is DECIMAL, then cast)
+        F.expr("CASE WHEN p_size % 7 = 0 THEN NULL ELSE CAST(5 + p_size * 0.8 AS DOUBLE) END").alias("pe_ratio"),
+        F.expr("CASE WHEN p_partkey % 11 = 0 THEN NULL ELSE CAST(0.5 + (p_partkey % 40) * 0.1 AS DOUBLE) END")
+         .alias("peg_ratio"),
         (F.col("tax") / F.col("n")).alias("dividend_yield"),
         (F.col("disc") / F.col("n") * 20).alias("beta"),
-        ((key % 30) * 0.1).cast("double").alias("debt_to_equity"),
-        (((key % 70) - 20) * 0.01).cast("double").alias("return_on_equity"),
-        (((size % 50) - 10) * 0.01).cast("double").alias("profit_margins"))
+        F.expr("CAST((p_partkey % 30) * 0.1 AS DOUBLE)").alias("debt_to_equity"),
+        F.expr("CAST(((p_partkey % 70) - 20) * 0.01 AS DOUBLE)").alias("return_on_equity"),
+        F.expr("CAST(((p_size % 50) - 10) * 0.01 AS DOUBLE)").alias("profit_margins"))
 
 
 def macro(spark: SparkSession, sf_dir: str) -> DataFrame:
