@@ -143,3 +143,66 @@ def backtest(bars: DataFrame, holdings: DataFrame, start=None, end=None, initial
                     F.greatest(F.coalesce("mx", F.lit(initial)), F.lit(initial)).alias("max_value"),
                     F.least(F.coalesce("mn", F.lit(initial)), F.lit(initial)).alias("min_value"),
                     fv.alias("final_value"))
+
+
+def risk_attribution(bars: DataFrame, holdings: DataFrame, start=None, end=None,
+                     price: str = "close") -> DataFrame:
+    """R-12: sigma_p = sqrt(w' S w), marginal = (S w) / sigma_p, contribution = w * marginal,
+    percent = contribution / sigma_p * 100.
+
+    (S w)_a = sum_b cov(a, b) w_b = cov(r_a, p) with p the portfolio return, so the
+    N x N covariance is never formed: one join of each asset's returns with its
+    portfolio's series.  Sparse sums again: dates where the asset has no bar add 0.
+    """
+    h = held_returns(bars, holdings, start, end, price)
+    pr = portfolio_returns(bars, holdings, held=h)
+    ps = pr.groupBy(PKEY).agg(F.count("r").alias("n"), F.sum("r").alias("sp"),
+                              F.stddev_samp("r").alias("sigma_p"))
+    # the first calendar date only holds zero asset returns, so dropping it changes nothing
+    cross = (h.join(pr.withColumnRenamed("r", "p"), [PKEY, "date"], "left")
+             .groupBy(PKEY, "symbol", "w")
+             .agg(F.sum(F.coalesce("r", F.lit(0.0))).alias("sa"),
+                  F.sum(F.coalesce(F.col("r") * F.col("p"), F.lit(0.0))).alias("sap")))
+    j = cross.join(ps, PKEY)
+    cov_ap = (F.col("sap") - F.col("sa") * F.col("sp") / F.col("n")) / (F.col("n") - 1)
+    marginal = safe_div(cov_ap, F.col("sigma_p"))
+    return j.select(PKEY, "symbol", F.col("w").alias("weight"), "sigma_p",
+                    marginal.alias("marginal_risk_contribution"),
+                    (F.col("w") * marginal).alias("risk_contribution"),
+                    (safe_div(F.col("w") * marginal, F.col("sigma_p")) * 100).alias("risk_contribution_pct"))
+
+
+def _complete_date_returns(bars: DataFrame, groups: DataFrame | None, price: str, start=None, end=None):
+    """Per (group, symbol, date) returns on dates where every symbol of the group has one.
+
+    ``groups``: (portfolio_name, symbol) symbol lists; None = one group of all symbols
+    named 'main_portfolio'.  Symbols without any data are left out of the group, as the
+    reference skips them.  Completeness is a count per (group, date) compared with the
+    group size -- no n-way join.
+    """
+    px = in_range(bars.select("symbol", "date", price), start, end)
+    d = with_returns(px, price, out="r", ffill=False).filter(F.col("r").isNotNull())
+    if groups is None:
+        groups = px.select(F.lit("main_portfolio").alias(PKEY), "symbol").distinct()
+    g = groups.select(PKEY, "symbol").join(px.select("symbol").distinct(), "symbol", "left_semi")
+    size = g.groupBy(PKEY).agg(F.count("symbol").alias("n"))
+    d = d.join(g, "symbol")
+    per = d.groupBy(PKEY, "date").agg(F.count("r").alias("k"))
+    full = per.join(size, PKEY).filter(F.col("k") == F.col("n")).select(PKEY, "date", "n")
+    return d.join(full, [PKEY, "date"])
+
+
+def equal_weight_returns(bars: DataFrame, groups: DataFrame | None = None, price: str = "close",
+                         start=None, end=None) -> DataFrame:
+    """R-21 / J-02 / A-11: (portfolio_name, date, r) = mean return over the group's symbols
+    on dates where every one of them has a return."""
+    d = _complete_date_returns(bars, groups, price, start, end)
+    return d.groupBy(PKEY, "date").agg(F.avg("r").alias("r"))
+
+
+def equal_weight_panel(bars: DataFrame, groups: DataFrame | None = None, price: str = "close",
+                       total_value: float = 100000.0) -> DataFrame:
+    """R-22: (portfolio_name, date, symbol, weight 1/n, returns, value total/n) on complete dates."""
+    d = _complete_date_returns(bars, groups, price)
+    return d.select(PKEY, "date", "symbol", (1.0 / F.col("n")).alias("weight"), F.col("r").alias("returns"),
+                    (total_value / F.col("n")).alias("value"))

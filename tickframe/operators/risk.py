@@ -27,11 +27,15 @@ def with_drawdown(df: DataFrame, keys, r: str = "r", order: str = "date") -> Dat
                                                F.col("running_max"))))
 
 
+def _vcol(level: float) -> str:
+    return f"_var_{int(round(level * 10000))}"
+
+
 def with_var(df: DataFrame, keys, r: str = "r", levels=(0.05,)) -> DataFrame:
     """Per-key exact percentile(r, level) attached to each row (whole-partition window)."""
     w = Window.partitionBy(*keys)
     for lv in levels:
-        df = df.withColumn(f"_var_{lv}", F.percentile(c(r), lv).over(w))
+        df = df.withColumn(_vcol(lv), F.percentile(c(r), lv).over(w))
     return df
 
 
@@ -79,26 +83,27 @@ def series_metrics(df: DataFrame, keys, r: str = "r", order: str = "date",
             (F.avg(c(r)) * TRADING_DAYS).alias("annual_return")]
     for lv in levels:
         tag = int(round((1 - lv) * 100))
-        aggs.append(F.first(f"_var_{lv}").alias(f"var_{tag}"))
-        aggs.append(F.avg(F.when(c(r) <= F.col(f"_var_{lv}"), c(r))).alias(f"cvar_{tag}"))
+        aggs.append(F.first(_vcol(lv)).alias(f"var_{tag}"))
+        aggs.append(F.avg(F.when(c(r) <= F.col(_vcol(lv)), c(r))).alias(f"cvar_{tag}"))
     out = d.groupBy(*keys).agg(*aggs)
     # R-03 Calmar = annual return / |max drawdown|; +inf sentinel becomes null (Q-07).
     return out.withColumn("calmar_ratio", safe_div(F.col("annual_return"), F.abs("max_drawdown")))
 
 
-def benchmark_metrics(df: DataFrame, bench: DataFrame, keys, r: str = "r", br: str = "br",
+def benchmark_metrics(df: DataFrame, bench: DataFrame, keys, r: str = "r", bench_col: str = "r",
                       order: str = "date") -> DataFrame:
     """R-07..R-09 + excess: inner join on date with the benchmark (J-03).
 
     beta (Q-02 fixed: covar_samp / var_samp; 0 when the market does not move),
-    tracking_error, information_ratio, excess_return, excess_volatility.
+    tracking_error, information_ratio (0 without spread), excess_return,
+    excess_volatility.  The benchmark has one row per date.
     """
-    j = df.join(bench.select(order, F.col(r).alias(br) if r == br else c(br)), order)
-    j = j.filter(c(r).isNotNull() & c(br).isNotNull())
-    ex = c(r) - c(br)
+    j = df.join(bench.select(order, F.col(bench_col).alias("_br")), order)
+    j = j.filter(c(r).isNotNull() & F.col("_br").isNotNull())
+    ex = c(r) - F.col("_br")
     te = F.stddev_samp(ex)
     return j.groupBy(*keys).agg(
-        F.coalesce(safe_div(F.covar_samp(c(r), c(br)), F.var_samp(c(br))), F.lit(0.0)).alias("beta"),
+        F.coalesce(safe_div(F.covar_samp(c(r), F.col("_br")), F.var_samp("_br")), F.lit(0.0)).alias("beta"),
         (te * SQRT_YEAR).alias("tracking_error"),
         F.when(te > 0, F.avg(ex) / te * SQRT_YEAR).otherwise(F.lit(0.0)).alias("information_ratio"),
         (F.avg(ex) * TRADING_DAYS).alias("excess_return"),

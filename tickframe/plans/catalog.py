@@ -14,7 +14,7 @@ from collections.abc import Callable
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
 
-PLAN_MODULES = ("scans", "portfolio_q", "windows_q", "cleaning_q", "risk_q", "screening_q",
+PLAN_MODULES = ("scans", "portfolio_q", "windows_q", "cleaning_q", "risk_q", "joins_q", "screening_q",
                 "matrices_q", "quality_q", "sources_q", "models_q", "cluster_q", "optimize_q",
                 "streams_q")
 
