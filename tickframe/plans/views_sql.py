@@ -44,7 +44,7 @@ FROM part p JOIN lineitem l ON l.l_partkey = p.p_partkey
 GROUP BY p.p_partkey, p.p_name, p.p_type, p.p_brand, p.p_size, p.p_retailprice""",
     "macro": """
 SELECT r.r_name AS series_id, CAST(DATE_TRUNC('month', o.o_orderdate) AS DATE) AS date,
-       SUM(o.o_totalprice) / COUNT(*) AS value
+       CAST(SUM(CAST(o.o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) / COUNT(*) AS value
 FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey
      JOIN region r ON n.n_regionkey = r.r_regionkey GROUP BY 1, 2""",
     "benchmark_returns": """

@@ -97,7 +97,8 @@ def macro(spark: SparkSession, sf_dir: str) -> DataFrame:
          .join(r, n.n_regionkey == r.r_regionkey))
     return (j.groupBy(F.col("r_name").alias("series_id"),
                       F.to_date(F.date_trunc("month", "o_orderdate")).alias("date"))
-            .agg((F.sum("o_totalprice") / F.count("*")).alias("value")))
+            # exact decimal sum of cent amounts, then one division: identical doubles everywhere
+            .agg((F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double") / F.count("*")).alias("value")))
 
 
 def benchmark_returns(spark: SparkSession, sf_dir: str, bars_df: DataFrame | None = None) -> DataFrame:
