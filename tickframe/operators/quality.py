@@ -101,12 +101,12 @@ def missing_ranges(prices: DataFrame, requests: DataFrame, key: str = "symbol",
     return r.select(key, F.inline(F.filter(gaps, lambda g: g.isNotNull())))
 
 
-def interior_gaps(prices: DataFrame, key: str = "symbol", date: str = "date", min_days: int = 2) -> DataFrame:
+def interior_gaps(prices: DataFrame, key: str = "symbol", date: str = "date", min_missing: int = 1) -> DataFrame:
     """U-05 extension: runs of missing calendar days inside each series (gaps-and-islands
     on the next stored date, one ordered window per key)."""
     w = Window.partitionBy(key).orderBy(date)
     d = prices.select(key, date).withColumn("_next", F.lead(date).over(w))
-    d = d.filter(F.datediff("_next", date) > min_days - 1 + 1)
+    d = d.filter(F.datediff("_next", date) - 1 >= min_missing)
     return d.select(key, F.date_add(date, 1).alias("gap_start"), F.date_sub("_next", 1).alias("gap_end"),
                     (F.datediff("_next", date) - 1).cast("bigint").alias("missing_days"))
 
