@@ -45,12 +45,25 @@ def normalised_weights(holdings: DataFrame, available_symbols: DataFrame) -> Dat
 
 def held_returns(bars: DataFrame, holdings: DataFrame, start=None, end=None,
                  price: str = "close") -> DataFrame:
-    """(portfolio_name, symbol, date, r, w) for every existing bar of a held symbol."""
-    held = holdings.select("symbol").distinct()
-    px = in_range(bars.select("symbol", "date", price), start, end).join(held, "symbol", "left_semi")
+    """(portfolio_name, symbol, date, r, weight, w) for every existing bar of a held symbol.
+
+    Returns are computed once per symbol (before fanning out to the portfolios
+    that hold it).  ``w`` is the weight renormalised over the symbols that have
+    data in range (J-04): the per-portfolio total comes from a window over the
+    joined rows' distinct symbols, so bars are aggregated only once.
+    """
+    h = holdings.select(PKEY, "symbol", "weight")
+    px = in_range(bars.select("symbol", "date", price), start, end).join(
+        h.select("symbol").distinct(), "symbol", "left_semi")
     px = with_returns(px, price, out="r", ffill=False)
-    wts = normalised_weights(holdings, px.select("symbol").distinct())
-    return px.join(wts.select(PKEY, "symbol", "w"), "symbol")
+    j = px.join(h, "symbol")
+    # first row of each (portfolio, symbol) carries its weight once -> totals over available symbols
+    ws = Window.partitionBy(PKEY, "symbol").orderBy("date")
+    wp = Window.partitionBy(PKEY)
+    first = F.row_number().over(ws) == 1
+    tot = F.sum(F.when(first, F.coalesce("weight", F.lit(0.0)))).over(wp)
+    n = F.sum(F.when(first, F.lit(1))).over(wp)
+    return j.withColumn("w", F.when(tot > 0, F.coalesce("weight", F.lit(0.0)) / tot).otherwise(1.0 / n))
 
 
 def portfolio_returns(bars: DataFrame, holdings: DataFrame, start=None, end=None,
@@ -125,9 +138,7 @@ def backtest(bars: DataFrame, holdings: DataFrame, start=None, end=None, initial
     dates including the first), max_value / min_value (the initial value is part
     of the path), final_value.
     """
-    h = held_returns(bars, holdings, start, end, price)
-    h = (h.drop("w").join(holdings.select(PKEY, "symbol", F.col("weight").alias("w")),
-                          [PKEY, "symbol"]))
+    h = held_returns(bars, holdings, start, end, price).withColumn("w", F.col("weight"))
     pr = portfolio_returns(bars, holdings, held=h)
     cal = h.groupBy(PKEY).agg(F.countDistinct("date").alias("n_dates"))
     path = pr.withColumn("value", initial * F.product(1 + F.col("r")).over(
