@@ -46,14 +46,16 @@ def pair_moments(df: DataFrame, group: str | None = None, key: str = "symbol", d
     rows = rows.withColumn("_nt", F.ceil(F.col("_n") / F.col("_b")).cast("int"))
     tiles = F.expr("flatten(transform(sequence(0, _nt - 1), I -> transform(sequence(I, _nt - 1), "
                    "J -> named_struct('I', I, 'J', J))))")
-    rows = rows.select(group, "_m", "_b", F.explode(tiles).alias("_t"))
+    # one dense, null-padded array per (group, date); tiles are slices of it (O(1) access)
+    dense = F.expr("transform(sequence(0, _nt * _b - 1), i -> _m[i])")
+    rows = rows.select(group, "_b", dense.alias("_x"), F.explode(tiles).alias("_t"))
+    rows = rows.select(group, "_b", "_t", F.expr("slice(_x, _t.I * _b + 1, _b)").alias("_xi"),
+                       F.expr("slice(_x, _t.J * _b + 1, _b)").alias("_xj"))
     # six B*B arrays concatenated: [cnt | sx | sy | sxx | syy | sxy]
-    pairs = ("transform(sequence(0, _b * _b - 1), k -> named_struct("
-             "'x', _m[_t.I * _b + CAST(k DIV _b AS INT)], 'y', _m[_t.J * _b + CAST(k % _b AS INT)]))")
-    rows = rows.select(group, "_b", "_t", F.expr(pairs).alias("_p"))
-    both = "(p.x IS NOT NULL AND p.y IS NOT NULL)"
-    parts = [f"transform(_p, p -> IF({both}, {e}, 0D))" for e in
-             ("1D", "p.x", "p.y", "p.x * p.x", "p.y * p.y", "p.x * p.y")]
+    xa, ya = "_xi[CAST(k DIV _b AS INT)]", "_xj[CAST(k % _b AS INT)]"
+    both = f"({xa} IS NOT NULL AND {ya} IS NOT NULL)"
+    parts = [f"transform(sequence(0, _b * _b - 1), k -> IF({both}, {e}, 0D))" for e in
+             ("1D", xa, ya, f"{xa} * {xa}", f"{ya} * {ya}", f"{xa} * {ya}")]
     vec = array_to_vector(F.expr("concat(" + ", ".join(parts) + ")"))
     summed = (rows.select(group, "_b", F.col("_t.I").alias("_I"), F.col("_t.J").alias("_J"), vec.alias("_v"))
               .groupBy(group, "_b", "_I", "_J").agg(Summarizer.sum(F.col("_v")).alias("_s")))

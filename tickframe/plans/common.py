@@ -2,20 +2,37 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from tickframe.session import checkpoint_dir
 from tickframe.sources import fixtures
 
 
+GUARD = 3  # extra decimals of the intermediate DECIMAL
+
+
+def round_col(col, digits: int):
+    """Round a double to ``digits`` decimals through DECIMAL(38, digits + 3).
+
+    Rounding a double directly is engine-dependent on exact ties (Spark rounds the
+    shortest decimal form, DuckDB the binary value: 0.145 -> 0.15 vs 0.14).  The
+    intermediate decimal with three guard digits makes both engines agree.
+    """
+    d = F.col(col).cast("double").try_cast(f"decimal(38,{digits + GUARD})")
+    return F.round(d, digits).cast("double")
+
+
 def rounded(df: DataFrame, digits: int = 6, special: dict | None = None) -> DataFrame:
     """Round every floating column (same rounding is applied in the oracle SQL)."""
     special = special or {}
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (DoubleType, FloatType)):
-            cols.append(F.round(F.col(f.name).cast("double"), special.get(f.name, digits)).alias(f.name))
+            cols.append(round_col(f.name, special.get(f.name, digits)).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
@@ -26,26 +43,47 @@ def oround(sql: str, cols, digits: int = 6, special: dict | None = None) -> str:
     special = special or {}
     if not cols:
         return sql
-    rep = ", ".join(f"ROUND(CAST({c} AS DOUBLE), {special.get(c, digits)}) AS {c}" for c in cols)
+    rep = ", ".join(
+        f"CAST(ROUND(TRY_CAST(CAST({c} AS DOUBLE) AS DECIMAL(38, {special.get(c, digits) + GUARD})), "
+        f"{special.get(c, digits)}) AS DOUBLE) AS {c}" for c in cols)
     return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) q"
 
 
+def materialise(df: DataFrame) -> DataFrame:
+    """Write a reused intermediate once as a parquet table in the shared checkpoint folder
+    and read it back (lineage cut, one job -- an eager RDD checkpoint would compute it twice).
+
+    Used for derived views that one query consumes in several branches: without it
+    every branch would rescan and re-aggregate the fact table.  The folder comes from
+    ``spark.checkpoint.dir`` (a temporary one only when unset, as in local tests); a
+    lost executor only costs re-reading the written files.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/views/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 class Views:
-    """Lazy per-call access to the derived views of one sf directory."""
+    """Per-call access to the derived views of one sf directory; the heavily reused
+    ones (bars, holdings) are materialised once per call."""
 
     def __init__(self, spark, sf_dir):
         self.spark, self.sf_dir = spark, sf_dir
         self._bars = None
+        self._holdings = None
 
     @property
     def bars(self) -> DataFrame:
         if self._bars is None:
-            self._bars = fixtures.bars(self.spark, self.sf_dir)
+            self._bars = materialise(fixtures.bars(self.spark, self.sf_dir))
         return self._bars
 
     @property
     def holdings(self) -> DataFrame:
-        return fixtures.holdings(self.spark, self.sf_dir)
+        if self._holdings is None:
+            self._holdings = materialise(fixtures.holdings(self.spark, self.sf_dir))
+        return self._holdings
 
     @property
     def stock_info(self) -> DataFrame:

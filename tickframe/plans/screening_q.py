@@ -158,14 +158,14 @@ def f12(spark, sf):
                     S.return_label("total_return").alias("return_label"))
 
 
-@query("f13_display_projection", with_views(["stock_info"], f"""
-WITH {SI} SELECT symbol, name, ROUND(current_price, 2) AS current_price, ROUND(market_cap / 1e9, 2) AS market_cap_bn,
-  ROUND(pe_ratio, 2) AS pe_ratio, ROUND(dividend_yield * 100, 2) AS dividend_yield_pct FROM si"""))
+@query("f13_display_projection", oround(with_views(["stock_info"], f"""
+WITH {SI} SELECT symbol, name, current_price, market_cap / 1e9 AS market_cap_bn, pe_ratio,
+  dividend_yield * 100 AS dividend_yield_pct FROM si"""), ["current_price", "market_cap_bn", "pe_ratio", "dividend_yield_pct"], 2))
 def f13(spark, sf):
+    """F-13: display projection rounded to 2 decimals (tie-consistent decimal rounding)."""
     si = _si(Views(spark, sf))
-    return si.select("symbol", "name", F.round("current_price", 2).alias("current_price"),
-                     F.round(F.col("market_cap") / 1e9, 2).alias("market_cap_bn"), F.round("pe_ratio", 2).alias("pe_ratio"),
-                     F.round(F.col("dividend_yield") * 100, 2).alias("dividend_yield_pct"))
+    return rounded(si.select("symbol", "name", "current_price", (F.col("market_cap") / 1e9).alias("market_cap_bn"),
+                             "pe_ratio", (F.col("dividend_yield") * 100).alias("dividend_yield_pct")), 2)
 
 
 @query("f19_dollar_allocation", with_views(["holdings"], """

@@ -22,6 +22,12 @@ from pyspark.sql import functions as F
 from tickframe.sources.tables import table
 
 
+def _exact_sum(col: str):
+    """Sum of cent amounts as an exact decimal, returned as double: the same value whatever
+    order the partial sums arrive in (a float sum's last bits depend on shuffle order)."""
+    return F.sum(F.col(col).cast("decimal(15,2)")).cast("double")
+
+
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey", "l_discount", "l_quantity", "l_shipdate")
@@ -53,7 +59,7 @@ def holdings(spark: SparkSession, sf_dir: str, top_n: int = 5) -> DataFrame:
          .join(c, o.o_custkey == c.c_custkey)
          .join(pa, li.l_partkey == pa.p_partkey)
          .groupBy(F.col("c_mktsegment").alias("portfolio_name"), F.col("p_brand").alias("symbol"))
-         .agg(F.round(F.sum("l_extendedprice"), 2).alias("v")))
+         .agg(_exact_sum("l_extendedprice").alias("v")))
     # One row per (segment, brand) here: the window holds #brands rows per segment.
     w = Window.partitionBy("portfolio_name").orderBy(F.desc("v"), "symbol")
     k = s.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= top_n)
@@ -66,8 +72,8 @@ def stock_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_extendedprice", "l_quantity", "l_tax", "l_discount")
     agg = li.groupBy("l_partkey").agg(
-        F.sum("l_extendedprice").alias("ext"), F.sum("l_quantity").alias("qty"),
-        F.sum("l_tax").alias("tax"), F.sum("l_discount").alias("disc"), F.count("*").alias("n"))
+        _exact_sum("l_extendedprice").alias("ext"), F.sum("l_quantity").alias("qty"),
+        _exact_sum("l_tax").alias("tax"), _exact_sum("l_discount").alias("disc"), F.count("*").alias("n"))
     # Pre-aggregating lineitem by part before the join keeps the join input at #parts rows.
     j = pa.join(agg, pa.p_partkey == agg.l_partkey)
     key = F.col("p_partkey")
@@ -98,7 +104,7 @@ def macro(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (j.groupBy(F.col("r_name").alias("series_id"),
                       F.to_date(F.date_trunc("month", "o_orderdate")).alias("date"))
             # exact decimal sum of cent amounts, then one division: identical doubles everywhere
-            .agg((F.sum(F.col("o_totalprice").cast("decimal(18,2)")).cast("double") / F.count("*")).alias("value")))
+            .agg((_exact_sum("o_totalprice") / F.count("*")).alias("value")))
 
 
 def benchmark_returns(spark: SparkSession, sf_dir: str, bars_df: DataFrame | None = None) -> DataFrame:
@@ -118,4 +124,4 @@ def metric_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return (ev.groupBy(F.col("event_type").alias("symbol"), F.date_trunc("hour", "ts").alias("bucket"))
             .agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"),
-                 F.round(F.sum("value"), 4).alias("total")))
+                 _exact_sum("value").alias("total")))
