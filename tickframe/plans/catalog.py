@@ -33,10 +33,13 @@ def query(key: str, oracle: str | None = None):
 def load_all() -> None:
     for m in PLAN_MODULES:
         try:
-            importlib.import_module(f"tickframe.plans.{m}")
+            mod = importlib.import_module(f"tickframe.plans.{m}")
         except ModuleNotFoundError as e:
             if e.name != f"tickframe.plans.{m}":
                 raise
+            continue
+        if hasattr(mod, "register"):
+            mod.register()
 
 
 def queries() -> dict[str, Callable]:
