@@ -323,3 +323,83 @@ def w25(spark, sf):
     from pyspark.sql import Window
     w = Window.orderBy(F.desc_nulls_last("range_return"), "symbol")
     return rounded(t.withColumn("rank", F.row_number().over(w).cast("bigint")))
+
+
+# fixed values: dashboard period presets (days back from the data's last date, sampling)
+PERIOD_PRESETS = [("1M", 30, "D"), ("3M", 90, "W"), ("6M", 180, "W"), ("1Y", 365, "W"), ("2Y", 730, "M"),
+                  ("ALL", None, "M")]
+
+
+def _preset_sql():
+    parts = []
+    for name, days, freq in PERIOD_PRESETS:
+        start = "(SELECT MIN(date) FROM bars)" if days is None else f"(SELECT MAX(date) - INTERVAL {days} DAY FROM bars)"
+        bucket = {"D": "date", "W": "CAST(date + CAST((7 - ISODOW(date)) % 7 AS INTEGER) AS DATE)",
+                  "M": "LAST_DAY(date)"}[freq]
+        parts.append(f"SELECT '{name}' AS preset, symbol, CAST({bucket} AS DATE) AS period_end, date, close FROM bars "
+                     f"WHERE date >= {start}")
+    return " UNION ALL ".join(parts)
+
+
+@query("f17_period_presets", with_views(["bars"], "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{n}' AS preset, CAST({'(SELECT MIN(date) FROM bars)' if d is None else f'(SELECT MAX(date) - INTERVAL {d} DAY FROM bars)'} AS DATE)"
+    f" AS start_date, (SELECT MAX(date) FROM bars) AS end_date, '{fq}' AS frequency" for n, d, fq in PERIOD_PRESETS) + ") p"))
+def f17(spark, sf):
+    """F-17: period presets resolved against the data's last date (not the wall clock)."""
+    b = Views(spark, sf).bars
+    ext = b.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
+    rows = [(n, ext["lo"] if d is None else ext["hi"] - __import__("datetime").timedelta(days=d), ext["hi"], fq)
+            for n, d, fq in PERIOD_PRESETS]
+    return spark.createDataFrame(rows, "preset STRING, start_date DATE, end_date DATE, frequency STRING")
+
+
+@query("w24_period_returns", oround(with_views(["bars"], f"""
+WITH p AS ({_preset_sql()}),
+l AS (SELECT preset, symbol, period_end, ARG_MAX(close, date) AS close FROM p GROUP BY 1, 2, 3)
+SELECT preset, symbol, period_end, close / NULLIF(LAG(close) OVER (PARTITION BY preset, symbol ORDER BY period_end), 0) - 1
+       AS period_return FROM l"""), ["period_return"]))
+def w24(spark, sf):
+    """W-24: for each preset, the last close of every sampling period and its return
+    (C-07 resampling + W-01 on real data instead of the reference's random series)."""
+    from tickframe.operators.clean import period_end
+    b = Views(spark, sf).bars.select("symbol", "date", "close")
+    ext = b.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
+    out = None
+    for name, days, freq in PERIOD_PRESETS:
+        lo = ext["lo"] if days is None else ext["hi"] - __import__("datetime").timedelta(days=days)
+        part = (b.filter(F.col("date") >= F.lit(lo)).groupBy("symbol", period_end("date", freq).alias("period_end"))
+                .agg(F.max_by("close", "date").alias("close")).withColumn("preset", F.lit(name)))
+        out = part if out is None else out.unionByName(part)
+    r = with_returns(out, "close", keys=("preset", "symbol"), order="period_end", out="period_return", ffill=False)
+    return rounded(r.select("preset", "symbol", "period_end", "period_return"))
+
+
+@query("a11_cross_sectional_mean", oround(with_views(["bars"], """
+WITH r AS (SELECT symbol, date, close / NULLIF(LAG(close) OVER (PARTITION BY symbol ORDER BY date), 0) - 1 AS r FROM bars)
+SELECT date, AVG(r) AS mean_return, CAST(COUNT(r) AS BIGINT) AS n_symbols FROM r WHERE r IS NOT NULL GROUP BY 1"""),
+    ["mean_return"], 9))
+def a11(spark, sf):
+    """A-11: equal-weight cross-sectional return per date over the symbols trading that day."""
+    d = with_returns(Views(spark, sf).bars.select("symbol", "date", "close"), "close", out="r", ffill=False)
+    return rounded(d.filter(F.col("r").isNotNull()).groupBy("date").agg(
+        F.avg("r").alias("mean_return"), F.count("r").cast("bigint").alias("n_symbols")), 9)
+
+
+@query("a12_total_portfolio_value", oround(with_views(["bars", "holdings"], "WITH " + __import__(
+    "tickframe.plans.oracle_blocks", fromlist=["DENSE_PORTFOLIO"]).DENSE_PORTFOLIO + """
+,
+hv AS (SELECT portfolio_name, date, 10000 * w * fp / FIRST_VALUE(fp) OVER (PARTITION BY portfolio_name, symbol ORDER BY date
+       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS v FROM filled)
+SELECT portfolio_name, date, SUM(v) AS total_value FROM hv GROUP BY 1, 2"""), ["total_value"], 6))
+def a12(spark, sf):
+    """A-12: buy-and-hold value of each portfolio per date: the holdings' values (initial
+    10,000 split by normalised weight, grown with the filled price) summed per date."""
+    from pyspark.sql import Window
+    from tickframe.operators import joins as J
+    from tickframe.operators import portfolio as P
+    v = Views(spark, sf)
+    panel = J.union_calendar_panel(v.bars, v.holdings)
+    w = P.normalised_weights(v.holdings, v.bars.select("symbol").distinct()).select("portfolio_name", "symbol", "w")
+    first = F.first("price").over(Window.partitionBy("portfolio_name", "symbol").orderBy("date"))
+    d = panel.join(w, ["portfolio_name", "symbol"]).withColumn("value", 10000 * F.col("w") * F.col("price") / first)
+    return rounded(d.groupBy("portfolio_name", "date").agg(F.sum("value").alias("total_value")))
