@@ -32,8 +32,8 @@ HEADLINE = [
     "a05_screener_summary",
     "a16_correlation_matrix",
     "a14_covariance_matrix",
-    "m16_kmeans",
     "st01_rate_alerts",
+    "st10_hourly_bars",
 ]
 
 
