@@ -65,24 +65,34 @@ def materialise(df: DataFrame) -> DataFrame:
 
 
 class Views:
-    """Per-call access to the derived views of one sf directory; the heavily reused
-    ones (bars, holdings) are materialised once per call."""
+    """Per-call access to the derived views of one sf directory.
+
+    Each view is one DataFrame object per call, so branches of a query that use it see
+    the identical subtree and Spark reuses its shuffle output (ReuseExchange).  With
+    ``materialise_views`` (session conf ``tickframe.materialise.views=true``) the reused
+    views are instead written once to the shared checkpoint folder -- the better choice
+    when a view is consumed under different projections or the source scan is huge.
+    """
 
     def __init__(self, spark, sf_dir):
         self.spark, self.sf_dir = spark, sf_dir
         self._bars = None
         self._holdings = None
+        self._mat = (spark.conf.get("tickframe.materialise.views", "false") or "false").lower() == "true"
+
+    def _keep(self, df: DataFrame) -> DataFrame:
+        return materialise(df) if self._mat else df
 
     @property
     def bars(self) -> DataFrame:
         if self._bars is None:
-            self._bars = materialise(fixtures.bars(self.spark, self.sf_dir))
+            self._bars = self._keep(fixtures.bars(self.spark, self.sf_dir))
         return self._bars
 
     @property
     def holdings(self) -> DataFrame:
         if self._holdings is None:
-            self._holdings = materialise(fixtures.holdings(self.spark, self.sf_dir))
+            self._holdings = self._keep(fixtures.holdings(self.spark, self.sf_dir))
         return self._holdings
 
     @property
