@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickframe.operators import cluster as CL
-from tickframe.plans.catalog import ORACLES, QUERIES, query
+from tickframe.plans.catalog import ORACLES, QUERIES, query  # noqa: F401
 from tickframe.plans.common import rounded
 
 CLUSTER_FEATURES = ["mean_return", "volatility", "skewness", "kurtosis", "sharpe_like", "volatility_5d",
@@ -23,11 +23,24 @@ def _m15_sql():
 
 def cluster_features(spark, sf):
     """M-15: per-symbol moments (A-17), volatility profile (W-21), last price / SMA ratios (W-19)
-    and correlation features (A-18) joined on the symbol."""
-    out = None
-    for k in PARTS:
-        d = QUERIES[k](spark, sf)
-        out = d if out is None else out.join(d, "symbol")
+    and correlation features (A-18) joined on the symbol -- all from one set of views, each
+    part rounded as its own query is."""
+    from tickframe.operators import matrices as M
+    from tickframe.operators import windows as W
+    from tickframe.operators.returns import with_returns
+    from tickframe.plans.common import Views
+    from tickframe.plans.windows_q import _ratios
+    v = Views(spark, sf)
+    r = with_returns(v.bars.select("symbol", "date", "close"), "close", out="r", ffill=False)
+    parts = [
+        rounded(M.moments(r), 9),
+        rounded(W.vol_profile(r.withColumnRenamed("r", "returns")), 6),
+        rounded(_ratios(v).groupBy("symbol").agg(F.max_by("price_sma20_ratio", "date").alias("last_price_sma20_ratio"),
+                                                F.max_by("price_sma50_ratio", "date").alias("last_price_sma50_ratio"))),
+        rounded(M.correlation_features(M.covariance(r)), 9)]
+    out = parts[0]
+    for d in parts[1:]:
+        out = out.join(d, "symbol")
     return out.select("symbol", *CLUSTER_FEATURES).withColumn("high_corr_count", F.col("high_corr_count").cast("double"))
 
 
