@@ -91,8 +91,10 @@ class Views:
 
     @property
     def holdings(self) -> DataFrame:
+        # always materialised: a handful of rows whose lineage is a four-way join over the
+        # fact tables, consumed under different projections (no exchange reuse possible)
         if self._holdings is None:
-            self._holdings = self._keep(fixtures.holdings(self.spark, self.sf_dir))
+            self._holdings = materialise(fixtures.holdings(self.spark, self.sf_dir))
         return self._holdings
 
     @property
