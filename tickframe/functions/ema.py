@@ -25,16 +25,24 @@ def block_days(span: float) -> int:
 
 
 def with_ema(df: DataFrame, col: str, span: float, out: str, keys=("symbol",),
-             order: str = "date") -> DataFrame:
+             order: str = "date", block: int | None = None, blk_col: str | None = None) -> DataFrame:
+    """Append ``out`` = EMA(span) of ``col``.
+
+    Several EMAs of one frame can share ``blk_col`` (with a ``block`` no larger than any
+    of their ``block_days``): their windows then have identical specs and share sorts.
+    """
     keys = list(keys)
     b = 1.0 - 2.0 / (span + 1.0)
-    k = block_days(span)
-    blk, j, s_n, s_d, end, blocks = (f"_{out}_{n}" for n in ("blk", "j", "sn", "sd", "end", "blocks"))
+    k = block or block_days(span)
+    j, s_n, s_d, end, blocks = (f"_{out}_{n}" for n in ("j", "sn", "sd", "end", "blocks"))
+    shared = blk_col is not None
+    blk = blk_col or f"_{out}_blk"
     x = F.col(col)
     present = x.isNotNull()
     wb = Window.partitionBy(*keys, blk).orderBy(order)
     ws = Window.partitionBy(*keys).orderBy(order)
-    d = df.withColumn(blk, F.floor(F.datediff(F.col(order).cast("date"), F.lit("1970-01-01").cast("date")) / k))
+    d = df if shared and blk in df.columns else df.withColumn(
+        blk, F.floor(F.datediff(F.col(order).cast("date"), F.lit("1970-01-01").cast("date")) / k))
     d = d.withColumn(j, F.row_number().over(wb) - 1)
     inv = F.pow(F.lit(b), -F.col(j))
     run = wb.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -53,4 +61,5 @@ def with_ema(df: DataFrame, col: str, span: float, out: str, keys=("symbol",),
     bj1 = F.pow(F.lit(b), F.col(j) + 1)
     num = bj * F.col(s_n) + bj1 * carry["n"]
     den = bj * F.col(s_d) + bj1 * carry["d"]
-    return d.withColumn(out, F.when(den > 0, num / den)).drop(blk, j, s_n, s_d, end, blocks)
+    d = d.withColumn(out, F.when(den > 0, num / den)).drop(j, s_n, s_d, end, blocks)
+    return d if shared else d.drop(blk)
