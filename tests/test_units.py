@@ -164,3 +164,30 @@ def test_asof_join_takes_latest_earlier_value(spark):
                                   "series_id STRING, date DATE, value DOUBLE")
     got = {r["date"]: r["macro_gdp"] for r in asof_join(facts, macro).collect()}
     assert got == {D0: None, D0 + dt.timedelta(5): 1.0, D0 + dt.timedelta(40): 2.0}
+
+
+def test_sparse_portfolio_returns_equal_dense_pandas(spark):
+    """Two symbols on different calendars (one lists later): the sparse Spark portfolio
+    series equals pandas pivot -> ffill -> bfill -> pct_change -> dropna -> weighted sum."""
+    from tickframe.operators.portfolio import portfolio_analytics, portfolio_returns
+    rng = np.random.default_rng(11)
+    rows = []
+    for sym, days in (("A", range(0, 60)), ("B", [d for d in range(10, 70) if d % 3])):
+        px = 100.0
+        for d in days:
+            px *= 1 + rng.normal(0, 0.01)
+            rows.append((sym, D0 + dt.timedelta(days=d), px))
+    bars = spark.createDataFrame(rows, "symbol STRING, date DATE, close DOUBLE")
+    hold = spark.createDataFrame([("P", 1, "A", 0.3), ("P", 2, "B", 0.7)],
+                                 "portfolio_name STRING, pos INT, symbol STRING, weight DOUBLE")
+    got = portfolio_returns(bars, hold).orderBy("date").toPandas().set_index("date")["r"]
+    pdf = pd.DataFrame(rows, columns=["symbol", "date", "close"]).pivot(index="date", columns="symbol", values="close")
+    rets = pdf.ffill().bfill().pct_change().dropna()
+    exp = (rets * np.array([0.3, 0.7])).sum(axis=1)
+    assert list(got.index) == list(exp.index)
+    assert np.allclose(got.to_numpy(), exp.to_numpy(), rtol=1e-12, atol=1e-15)
+    a = portfolio_analytics(bars, hold).first()
+    assert a["total_return"] == pytest.approx((1 + exp).prod() - 1, rel=1e-12)
+    assert a["var_95"] == pytest.approx(np.percentile(exp, 5), rel=1e-12)
+    vols = rets.std() * np.sqrt(252)
+    assert a["weighted_avg_volatility"] == pytest.approx(float((vols * np.array([0.3, 0.7])).sum()), rel=1e-9)
