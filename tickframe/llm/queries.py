@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickframe.llm import decontaminate
+from tickframe.llm import bpe, decontaminate, langid
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,6 +26,17 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def vocabulary() -> str:
+    """Where the rank file of the tokeniser lies; the same on every machine that has the package."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
+def _fold(n: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
 _LOWER_SQL = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _ITEM_WORDS = r"regexp_extract_all(" + _LOWER_SQL.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
@@ -48,3 +60,18 @@ FROM d LEFT JOIN words ON d.doc_id = words.doc_id LEFT JOIN items ON d.doc_id =
 def op4_decontamination(spark, sf_dir):
     """Words of documents inside benchmark windows of ten words, per document."""
     return decontaminate.report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+@_query()
+def op2_byte_bpe(spark, sf_dir):
+    """Byte-level BPE ids of whole texts and the bytes that they decode to, as digests."""
+    return bpe.round_trip(_read(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary())
+
+
+@_query()
+def op9_language_id(spark, sf_dir):
+    """Naive Bayes language of every document, learned from the documents of folds 0 and 2 of 3."""
+    docs = _read(spark, sf_dir, "documents")
+    held_out = F.coalesce(_fold(3) == 1, F.lit(False))
+    model = langid.fit(docs.where(~held_out))
+    return langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
