@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.llm import bpe, decontaminate, langid
+from tickframe.llm import bpe, decontaminate, langid, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -75,3 +75,12 @@ def op9_language_id(spark, sf_dir):
     held_out = F.coalesce(_fold(3) == 1, F.lit(False))
     model = langid.fit(docs.where(~held_out))
     return langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+
+
+@_query()
+def op3_toxicity(spark, sf_dir):
+    """Toxicity score of every document, learned from labelled documents of folds 1 to 4 of 5."""
+    docs = _read(spark, sf_dir, "documents")
+    held_out = F.coalesce(_fold(5) == 0, F.lit(False))
+    model = toxicity.train(*toxicity.sample(docs, _read(spark, sf_dir, "labels").where(~held_out)))
+    return toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
