@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.llm import bpe, decontaminate, langid, toxicity
+from tickframe.llm import bpe, decontaminate, langid, toxicity, warc
+from tickframe.session import checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -84,3 +86,16 @@ def op3_toxicity(spark, sf_dir):
     held_out = F.coalesce(_fold(5) == 0, F.lit(False))
     model = toxicity.train(*toxicity.sample(docs, _read(spark, sf_dir, "labels").where(~held_out)))
     return toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
+
+
+@_query("""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (SELECT page_id, strlen(h)::BIGINT AS n, sha256(h) AS d, min(page_id) OVER (PARTITION BY sha256(h)) AS f FROM p)
+SELECT page_id, n AS payload_bytes, d AS payload_digest, CASE WHEN n >= 100 AND page_id <> f THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND page_id <> f THEN f END AS refers_to FROM q
+""")
+def op10_warc(spark, sf_dir):
+    """Archives every page as a WARC record, equal payloads as revisits, and reads the archives back."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
+    warc.archive(_read(spark, sf_dir, "pages"), path)
+    return warc.page_records(spark, path)
