@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.llm import bpe, decontaminate, langid, toxicity, warc
+from tickframe.llm import bpe, decontaminate, egojoin, langid, toxicity, warc
 from tickframe.session import checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +99,20 @@ def op10_warc(spark, sf_dir):
     path = f"{checkpoint_dir(spark).rstrip('/')}/warc-{uuid.uuid4().hex}"
     warc.archive(_read(spark, sf_dir, "pages"), path)
     return warc.page_records(spark, path)
+
+
+@_query("""
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings),
+g AS (SELECT * FROM v WHERE label IS NOT NULL AND vec_id IS NOT NULL AND len(e) > 0 AND len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0
+      AND len([x FOR x IN e IF x <> 0]) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+      WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.98),
+r AS (SELECT vec_id AS id, vec_id AS c FROM v UNION SELECT l.b, r.c FROM r JOIN l ON r.id = l.a WHERE r.c < l.b),
+m AS (SELECT id, min(c) AS c FROM r GROUP BY id),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT v.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, m.c AS component_id, v.vec_id = m.c AS kept
+FROM v JOIN m ON v.vec_id = m.id LEFT JOIN n ON v.vec_id = n.a
+""")
+def op6_embedding_near_dups(spark, sf_dir):
+    """Links of cosine 0.98 within a label, and the components that they form."""
+    return egojoin.near_duplicates(_read(spark, sf_dir, "embeddings"))
