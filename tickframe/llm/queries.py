@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.llm import bpe, decontaminate, egojoin, langid, toxicity, warc
+from tickframe.llm import bpe, decontaminate, egojoin, langid, ngramjoin, toxicity, warc
 from tickframe.session import checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +116,23 @@ FROM v JOIN m ON v.vec_id = m.id LEFT JOIN n ON v.vec_id = n.a
 def op6_embedding_near_dups(spark, sf_dir):
     """Links of cosine 0.98 within a label, and the components that they form."""
     return egojoin.near_duplicates(_read(spark, sf_dir, "embeddings"))
+
+
+_SHINGLES = r"""
+w AS (SELECT doc_id, regexp_extract_all(""" + _LOWER_SQL.format("coalesce(text, '')") + r""", '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(list_slice(w, i, i + 4), ' ') END AS g
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id)"""
+
+
+@_query("WITH RECURSIVE " + _SHINGLES + """,
+l AS (SELECT p.a, p.b FROM (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.doc_id <> y.doc_id GROUP BY 1, 2) p
+      JOIN n na ON na.doc_id = p.a JOIN n nb ON nb.doc_id = p.b WHERE 100 * p.c >= 75 * (na.n + nb.n - p.c)),
+r AS (SELECT doc_id AS id, doc_id AS c FROM documents UNION SELECT l.b, r.c FROM r JOIN l ON r.id = l.a WHERE r.c < l.b),
+m AS (SELECT id, min(c) AS c FROM r GROUP BY id)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.c AS component_id
+FROM documents d JOIN m ON d.doc_id = m.id LEFT JOIN n ON d.doc_id = n.doc_id
+""")
+def op7_ngram_jaccard(spark, sf_dir):
+    """Components of documents whose sets of five-word shingles have a Jaccard similarity of at least 0.75."""
+    return ngramjoin.link_components(_read(spark, sf_dir, "documents"))
