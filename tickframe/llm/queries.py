@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.llm import bpe, decontaminate, egojoin, langid, ngramjoin, toxicity, warc
+from tickframe.llm import bpe, decontaminate, egojoin, langid, ngramjoin, secretscan, toxicity, warc
 from tickframe.session import checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -136,3 +136,9 @@ FROM documents d JOIN m ON d.doc_id = m.id LEFT JOIN n ON d.doc_id = n.doc_id
 def op7_ngram_jaccard(spark, sf_dir):
     """Components of documents whose sets of five-word shingles have a Jaccard similarity of at least 0.75."""
     return ngramjoin.link_components(_read(spark, sf_dir, "documents"))
+
+
+@_query()
+def op5_secret_scan(spark, sf_dir):
+    """Secrets per document, as a random forest over the candidates' features decides."""
+    return secretscan.report(_read(spark, sf_dir, "documents"))
