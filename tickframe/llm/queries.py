@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.llm import bpe, decontaminate, egojoin, langid, ngramjoin, secretscan, toxicity, warc
+from tickframe.llm import bpe, decontaminate, egojoin, langid, ngramjoin, secretscan, suffixdedup, toxicity, warc
 from tickframe.session import checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -142,3 +142,9 @@ def op7_ngram_jaccard(spark, sf_dir):
 def op5_secret_scan(spark, sf_dir):
     """Secrets per document, as a random forest over the candidates' features decides."""
     return secretscan.report(_read(spark, sf_dir, "documents"))
+
+
+@_query()
+def op1_suffix_dedup(spark, sf_dir):
+    """Bytes of each document left after all repeats of 400 bytes are removed."""
+    return suffixdedup.deduplicate(_read(spark, sf_dir, "documents"))
