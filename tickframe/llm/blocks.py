@@ -120,6 +120,20 @@ def sliding_min(h: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(right[:n - w + 1], left[w - 1:n])
 
 
+_PLACE = np.uint64((1 << 24) - 1)
+_PIECE = 1 << 23
+
+
+def sampled(h: np.ndarray, w: int, valid: np.ndarray) -> np.ndarray:
+    """Places of the least of every w consecutive values (the first of equals) whose window's first place is valid."""
+    found = []
+    for lo in range(0, h.size, _PIECE):  # the place within a piece fits the low bits
+        part = h[lo:lo + _PIECE + w - 1]
+        least = sliding_min((part & ~_PLACE) | np.arange(part.size, dtype=np.uint64), w)
+        found.append((least[valid[lo:lo + least.size]] & _PLACE).astype(np.int64) + lo)
+    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+
+
 # Word characters.  The ASCII white space of the contracts, and the bytes of words of letters and digits.
 SPACE_SPLIT = np.ones(256, bool)
 SPACE_SPLIT[[0x20, *range(0x09, 0x0E)]] = False

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.llm import bpe, decontaminate, egojoin, langid, ngramjoin, secretscan, suffixdedup, toxicity, warc
+from tickframe.llm import bpe, decontaminate, egojoin, langid, ngramjoin, secretscan, substringdedup, suffixdedup, toxicity, warc
 from tickframe.session import checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +148,19 @@ def op5_secret_scan(spark, sf_dir):
 def op1_suffix_dedup(spark, sf_dir):
     """Bytes of each document left after all repeats of 400 bytes are removed."""
     return suffixdedup.deduplicate(_read(spark, sf_dir, "documents"))
+
+
+@_query(r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 12), ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)),
+f AS (SELECT g, min(doc_id) AS f FROM g GROUP BY g),
+r AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM g JOIN f ON g.g = f.g WHERE f.f < g.doc_id),
+k AS (SELECT x.doc_id, string_agg(x.t, ' ' ORDER BY x.p) AS t, count(*) AS n
+      FROM (SELECT doc_id, unnest(w) AS t, unnest(range(1, len(w) + 1)) AS p FROM d) x LEFT JOIN r ON x.doc_id = r.doc_id AND x.p = r.p
+      WHERE r.p IS NULL GROUP BY x.doc_id)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, (len(d.w) - coalesce(k.n, 0))::BIGINT AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+""")
+def op8_substring_dedup(spark, sf_dir):
+    """Words of each document left after all repeats of 13 words from smaller documents are removed."""
+    return substringdedup.deduplicate(_read(spark, sf_dir, "documents"))

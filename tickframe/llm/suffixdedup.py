@@ -34,8 +34,6 @@ LENGTH, GRAM = 400, 200
 REACH = LENGTH - GRAM
 SPLIT = 100_000
 BATCH = 20_000
-PIECE = 1 << 23
-_PLACE = np.uint64((1 << 24) - 1)
 
 
 def _samples(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -43,19 +41,9 @@ def _samples(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     n = data.size
     if n < LENGTH:
         return np.zeros(0, np.int64)
-    sums = B.prefix_sums(B.value_table(11)[data])
-    ends = np.repeat(offsets[1:], np.diff(offsets))
-    found = []
-    for lo in range(0, n, PIECE):  # the place fits the low bits
-        hi = min(n - GRAM + 1, lo + PIECE + REACH)
-        if hi <= lo:
-            break
-        at = np.arange(lo, hi)
-        h = (B.slice_hash(sums, at, at + GRAM) & ~_PLACE) | (at - lo).astype(np.uint64)
-        least = B.sliding_min(h, REACH + 1)
-        inside = np.arange(lo, lo + least.size) + LENGTH <= ends[lo:lo + least.size]
-        found.append(np.unique(least[inside][:PIECE] & _PLACE).astype(np.int64) + lo)
-    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+    at = np.arange(n - GRAM + 1)
+    h = B.slice_hash(B.prefix_sums(B.value_table(11)[data]), at, at + GRAM)
+    return B.sampled(h, REACH + 1, np.arange(n) + LENGTH <= np.repeat(offsets[1:], np.diff(offsets)))
 
 
 def _tuples(batches):
