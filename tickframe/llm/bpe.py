@@ -155,15 +155,18 @@ def _schema(docs: DataFrame, drop: tuple[str, ...], extra: str) -> str:
 
 
 def encode(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
-    """docs plus token_ids and token_ends (byte offset after each token)."""
+    """docs plus token_ids, token_ends (byte offset after each token), n_tokens and whether the ids decode to the text's bytes."""
+    new = ("token_ids", "token_ends", "n_tokens", "round_trip")
+
     def task(batches):
         codec = Codec(vocabulary)
         for rows, data, offsets in B.blocks(batches, text):
-            ids = list(codec.encode(data, offsets))
+            ids, raw = list(codec.encode(data, offsets)), data.tobytes()
+            same = [codec.decode(x) == raw[a:b] for x, a, b in zip(ids, offsets.tolist(), offsets[1:].tolist())]
             ends = [np.cumsum([len(codec.bytes_of[i]) for i in x], dtype=np.int64).tolist() for x in ids]
-            yield _with(rows, ("token_ids", "token_ends"), token_ids=pa.array(ids, pa.list_(pa.int32())),
-                        token_ends=pa.array(ends, pa.list_(pa.int64())))
-    return docs.mapInArrow(task, _schema(docs, ("token_ids", "token_ends"), "token_ids array<int>, token_ends array<bigint>"))
+            yield _with(rows, new, token_ids=pa.array(ids, pa.list_(pa.int32())), token_ends=pa.array(ends, pa.list_(pa.int64())),
+                        n_tokens=pa.array([len(x) for x in ids], pa.int64()), round_trip=pa.array(same, pa.bool_()))
+    return docs.mapInArrow(task, _schema(docs, new, "token_ids array<int>, token_ends array<bigint>, n_tokens bigint, round_trip boolean"))
 
 
 def decode(docs: DataFrame, vocabulary: str, ids: str = "token_ids") -> DataFrame:

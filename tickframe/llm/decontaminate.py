@@ -12,7 +12,6 @@ benchmark hits nothing.  Other columns of documents pass through untouched under
 
 from __future__ import annotations
 
-import hashlib
 import re
 
 import numpy as np
@@ -98,7 +97,7 @@ def _stream(index: _Index):
     return hits
 
 
-def _scan(items_broadcast, window: int, last: bool):
+def _scan(items_broadcast, window: int, names: list[str]):
     """mapInArrow task: adds to _spans ([first, end) word pairs, flat) and _items of each row."""
     def task(batches):
         index = _Index(items_broadcast.value, window)
@@ -106,8 +105,7 @@ def _scan(items_broadcast, window: int, last: bool):
         for rows, data, offsets in B.blocks(batches, "_text"):
             starts, ends, firsts = B.slices(B.ALNUM_SPLIT[data], offsets)
             ids = index.number(B.slice_hash(B.prefix_sums(table[data]), starts, ends)) if starts.size else np.zeros(0, np.int64)
-            spans, names = rows.column("_spans").to_pylist(), rows.column("_items").to_pylist()
-            spans, names = [x or [] for x in spans], [x or [] for x in names]
+            spans, items = ([x or [] for x in rows.column(c).to_pylist()] for c in ("_spans", "_items"))
             for lo, hi in index.runs(ids, firsts):
                 words = [int(x) for x in ids[lo:hi]]
                 for k in range(lo, hi):  # by the bytes, not by the hash alone
@@ -120,18 +118,17 @@ def _scan(items_broadcast, window: int, last: bool):
                         spans[row][-1] = max(spans[row][-1], b + base)
                     else:
                         spans[row] += [a + base, b + base]
-                    names[row] = list(set(names[row]) | found)
+                    items[row] = list(set(items[row]) | found)
             cols = {n: rows.column(n) for n in rows.schema.names}
             cols["_spans"] = pa.array(spans, pa.list_(pa.int64()))
-            cols["_items"] = pa.array(names, pa.list_(pa.string()))
+            cols["_items"] = pa.array(items, pa.list_(pa.string()))
             cols["_n_words"] = pa.array(np.diff(firsts), pa.int64())
-            if last:
+            if "_n_hit" in names:
                 out = [_finish(s, rows_text, f) for s, rows_text, f in zip(
                     spans, _row_cuts(data, offsets, starts, ends, firsts), np.diff(firsts))]
                 cols["_clean"] = pa.array([x[0] for x in out], pa.string())
                 cols["_n_hit"] = pa.array([x[1] for x in out], pa.int64())
-                cols.pop("_text")
-            yield pa.RecordBatch.from_pydict(cols)
+            yield pa.RecordBatch.from_pydict({n: cols[n] for n in names})
     return task
 
 
@@ -163,35 +160,28 @@ def _finish(spans, cut, n_words):
 
 
 def scan(docs: DataFrame, bench: DataFrame, text: str = "text", item_id: str = "item_id", item_text: str = "text",
-         window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """docs plus _n_words, _n_hit, _items (names of the items found) and _clean (text without hit words; null: unchanged)."""
+         window: int = WINDOW, block_bytes: int = BLOCK_BYTES, keep_text: bool = True) -> DataFrame:
+    """_row (the other columns of docs as a struct), _n_words, _n_hit, _items (names of the items found), and with keep_text
+    _text and _clean (the text without hit words; null: unchanged)."""
     spark = docs.sparkSession
     items = bench.select(F.coalesce(F.col(item_id).cast("string"), F.lit("null")).alias("name"),
                          F.coalesce(F.col(item_text), F.lit("")).alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n_blocks = max(1, -(-2 * total // block_bytes))  # twice the mean leaves room for uneven blocks
-    passed = [c for c in docs.columns]
     key = F.pmod(F.xxhash64("name", "text"), F.lit(n_blocks))
-    out = docs.withColumns({"_text": F.col(text), "_spans": F.lit(None).cast("array<bigint>"),
-                            "_items": F.lit(None).cast("array<string>")})
+    out = docs.select(F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in docs.columns if c != text)).alias("_row"), F.col(text).alias("_text"),
+                      F.lit(None).cast("array<bigint>").alias("_spans"), F.lit(None).cast("array<string>").alias("_items"))
+    row = out.schema["_row"].dataType.simpleString()
     for k in range(n_blocks):
-        block = [tuple(r) for r in items.where(key == k).distinct().collect()]
+        block = [tuple(r) for r in items.where(key == k).distinct().collect()]  # about block_bytes at most
         last = k == n_blocks - 1
-        kinds = {f.name: f.dataType.simpleString() for f in out.schema if not f.name.startswith("_")}
-        extra = "_spans array<bigint>, _items array<string>, _n_words bigint"
-        extra += ", _clean string, _n_hit bigint" if last else ", _text string"
-        schema = ", ".join([f"`{c}` {t}" for c, t in kinds.items()] + [extra])
-        out = out.drop("_n_words").mapInArrow(_named(_scan(spark.sparkContext.broadcast(block), window, last), schema), schema)
-    return out.select(*passed, "_n_words", "_n_hit", "_items", "_clean")
-
-
-def _named(task, schema: str):
-    names = [re.match(r"\s*`?([^`\s]+)`?", part).group(1) for part in schema.split(", ")]
-
-    def run(batches):
-        for b in task(batches):
-            yield b.select(names)
-    return run
+        kinds = {"_row": row, "_items": "array<string>"}
+        if not last:
+            kinds |= {"_text": "string", "_spans": "array<bigint>"}
+        else:
+            kinds |= {"_n_words": "bigint", "_n_hit": "bigint"} | ({"_text": "string", "_clean": "string"} if keep_text else {})
+        out = out.mapInArrow(_scan(spark.sparkContext.broadcast(block), window, list(kinds)), ", ".join(f"{k} {v}" for k, v in kinds.items()))
+    return out
 
 
 def digest(name: Column) -> Column:
@@ -200,15 +190,15 @@ def digest(name: Column) -> Column:
 
 def report(docs: DataFrame, bench: DataFrame, **options) -> DataFrame:
     """The digest of op4: one row per document."""
-    got = scan(docs.select("doc_id", "text"), bench, **options)
-    return got.select("doc_id", F.col("_n_words").alias("n_words"), F.col("_n_hit").alias("n_hit"),
+    got = scan(docs.select("doc_id", "text"), bench, keep_text=False, **options)
+    return got.select("_row.doc_id", F.col("_n_words").alias("n_words"), F.col("_n_hit").alias("n_hit"),
                       F.size("_items").cast("long").alias("n_items"), digest(F.col("_items")).alias("items_sha256"),
                       (F.col("_n_hit") > 0).alias("contaminated"))
 
 
 def clean(docs: DataFrame, bench: DataFrame, max_coverage: float = 0.5, **options) -> DataFrame:
     """Documents without the spans found in items; a document of which more than max_coverage is hit goes."""
-    got = scan(docs, bench, **options)
-    text = F.when(F.col("_n_hit") > 0, F.col("_clean")).otherwise(F.col("text"))
-    kept = got.where(F.col("_n_hit") <= F.lit(max_coverage) * F.greatest(F.col("_n_words"), F.lit(1)))
-    return kept.withColumn("text", text).select(*docs.columns)
+    got = scan(docs, bench, **options).where(F.col("_n_hit") <= F.lit(max_coverage) * F.greatest(F.col("_n_words"), F.lit(1)))
+    name = options.get("text", "text")
+    text = F.when(F.col("_n_hit") > 0, F.col("_clean")).otherwise(F.col("_text"))
+    return got.select(*(text.alias(name) if c == name else F.col(f"_row.`{c}`") for c in docs.columns))

@@ -133,7 +133,7 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", **options) -> DataFrame:
     found = _per_document(scan(docs, **options)).where("n_secrets > 0").select("doc_id", "mark", F.array_distinct("secrets").alias("secrets")).checkpoint()
     if found.count() <= MAX_BROADCAST_DOCS:  # beyond that the join shuffles
         found = F.broadcast(found)
-    clean = F.aggregate(F.sort_array("secrets", False), F.col("l.text"), lambda text, s: F.replace(text, s, F.lit(mark)))
+    clean = F.aggregate(F.sort_array("r.secrets", False), F.col("l.text"), lambda text, s: F.replace(text, s, F.lit(mark)))
     rows = docs.alias("l").join(found.alias("r"), _same("doc_id", "doc_id") & (F.xxhash64("l.text") == F.col("r.mark")), "left")
-    return rows.select(*[F.when(F.col("secrets").isNull(), F.col("l.text")).otherwise(clean).alias("text") if c == "text" else F.col(f"l.`{c}`")
+    return rows.select(*[F.when(F.col("r.secrets").isNull(), F.col("l.text")).otherwise(clean).alias("text") if c == "text" else F.col(f"l.`{c}`")
                          for c in docs.columns])

@@ -166,7 +166,7 @@ def sample(docs: DataFrame, labels: DataFrame, text: str = "text") -> tuple[list
     return [r.text for r in got], np.array([r.toxic for r in got], np.int64)
 
 
-def _score_task(model, text: str):
+def _score_task(model, text: str, keep_text: bool):
     def task(batches):
         m, classes = model.value, C.Classes()
         for rows, data, offsets in B.blocks(batches, text):
@@ -178,15 +178,15 @@ def _score_task(model, text: str):
             if some.any():
                 best[some] = np.maximum.reduceat(z, firsts[:-1][some])
             score = np.full(rows.num_rows, m["constant"]) if m["constant"] is not None else 1 / (1 + np.exp(-np.clip(best * 2, -60, 60)))
-            cols = {c: rows.column(c) for c in rows.schema.names if c not in (text, "score", "predicted")}
+            cols = {c: rows.column(c) for c in rows.schema.names if keep_text or c != text}
             cols |= {"score": pa.array(score.astype(float), pa.float64()), "predicted": pa.array((score >= 0.5).astype(np.int32), pa.int32())}
             yield pa.RecordBatch.from_pydict(cols)
     return task
 
 
-def score(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
-    """docs without the text, plus score and predicted."""
+def score(docs: DataFrame, model: dict, text: str = "text", keep_text: bool = False) -> DataFrame:
+    """docs without the text (unless keep_text), plus score and predicted."""
     docs = docs.drop("score", "predicted")
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != text]
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if keep_text or f.name != text]
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS numbers
-    return docs.mapInArrow(_score_task(shared, text), ", ".join([*kept, "score double", "predicted int"]))
+    return docs.mapInArrow(_score_task(shared, text, keep_text), ", ".join([*kept, "score double", "predicted int"]))
