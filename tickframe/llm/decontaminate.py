@@ -114,7 +114,7 @@ def _scan(items_broadcast, window: int, names: list[str]):
                 row = int(np.searchsorted(firsts, lo, "right")) - 1
                 base = lo - int(firsts[row])
                 for a, b, found in hits(words):
-                    if spans[row] and a + base <= spans[row][-1]:
+                    if spans[row] and spans[row][-2] <= a + base <= spans[row][-1]:
                         spans[row][-1] = max(spans[row][-1], b + base)
                     else:
                         spans[row] += [a + base, b + base]
