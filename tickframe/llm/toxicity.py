@@ -30,7 +30,7 @@ BITS, DIM, WINDOW, SCORE_WINDOW = 17, 8, 24, 1
 BUCKETS = 1 << BITS
 ORDERS = (3, 4, 5)
 MAX_POSITIVE, MAX_NEGATIVE, MAX_TRAIN_BYTES = 1000, 1200, 32_768
-ROUNDS, BATCH, RATE = 4, 512, 0.05
+ROUNDS, MIN_STEPS, BATCH, RATE = 4, 300, 512, 0.05
 
 
 def subwords(data: np.ndarray, offsets: np.ndarray, classes: C.Classes, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -102,7 +102,8 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 0) -> dict:
     out = rng.normal(0, 0.5, (DIM, 2))
     bias, g2_emb, g2_out = np.zeros(2), np.zeros(BUCKETS), 1e-6
     target = y_doc.copy()
-    for step in range(ROUNDS):
+    per_round = max(1, -(-int((np.diff(starts) > 0).sum()) // BATCH))
+    for step in range(max(ROUNDS, -(-MIN_STEPS // per_round))):  # small samples go round more often
         use = np.flatnonzero((target == y_doc) & (np.diff(starts) > 0))
         weight = np.where(target[use] > 0, 0.5 / max(1, (target[use] > 0).sum()), 0.5 / max(1, (target[use] == 0).sum())) * use.size
         order = rng.permutation(use.size)
