@@ -44,3 +44,23 @@ def test_late_rows_dropped_and_repeats_removed(spark):
     # every event counted once: the repeated batch is deduplicated and the late batch dropped
     total = got.groupBy("w").agg(F.max("n").alias("n")).agg(F.sum("n")).first()[0]
     assert total == ev.count()
+
+
+def test_state_does_not_depend_on_arrow_batches(spark):
+    """A series' rows of one micro-batch may come in many Arrow batches and out of order."""
+    from tickframe.streaming import stateful as ST
+    ev = table(spark, SF_SMALL, "events").withColumn("user_id", F.lit(1).cast("bigint")).orderBy("value")
+    src = R.stage_events(ev, n_batches=2)
+    want = _rows(R.run(spark, src, ST.irate, "append", watermark=None))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = _rows(R.run(spark, R.stage_events(ev, n_batches=2), ST.irate, "append", watermark=None))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert got == want and len(got) == ev.count()
+
+
+def test_many_small_files_lose_nothing(spark):
+    ev = table(spark, SF_SMALL, "events").repartition(40)
+    got = R.run(spark, R.stage_events(ev, n_batches=4, end_marker=True), O.sessions, "append", "10 minutes")
+    assert got.where(F.col("instance") != R.MARKER_INSTANCE).agg(F.sum("n")).first()[0] == ev.count()

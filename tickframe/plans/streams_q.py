@@ -82,9 +82,9 @@ def st03(spark, sf):
 
 
 @query("st04_instant_rate", oround(f"""
-WITH {SAMPLES}, l AS (SELECT event_type, ts, value, LAG(ts) OVER w AS pts, LAG(value) OVER w AS pv FROM s
-  WINDOW w AS (PARTITION BY event_type ORDER BY ts))
-SELECT event_type, ts, value, CASE WHEN pts IS NOT NULL AND epoch_us(ts) - epoch_us(pts) > 0 THEN
+WITH {SAMPLES}, l AS (SELECT event_type, instance, ts, value, LAG(ts) OVER w AS pts, LAG(value) OVER w AS pv FROM s
+  WINDOW w AS (PARTITION BY event_type, instance ORDER BY ts, event_id))
+SELECT event_type, instance, ts, value, CASE WHEN pts IS NOT NULL AND epoch_us(ts) - epoch_us(pts) > 0 THEN
   (CASE WHEN value >= pv THEN value - pv ELSE value END) / ((epoch_us(ts) - epoch_us(pts)) / 1e6) END AS irate FROM l""", ["irate"], 9))
 def st04(spark, sf):
     """ST-04: instant rate per series from the last two samples; a drop is a counter reset."""
@@ -94,10 +94,10 @@ def st04(spark, sf):
 
 def _sustained_sql(limit, hold):
     return f"""
-WITH {SAMPLES}, g AS (SELECT event_type, ts, value, SUM(CASE WHEN value > {limit} THEN 0 ELSE 1 END) OVER
-  (PARTITION BY event_type ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS grp FROM s),
-r AS (SELECT *, MIN(ts) OVER (PARTITION BY event_type, grp) AS first_ts FROM g WHERE value > {limit})
-SELECT event_type, ts, value, first_ts AS run_start FROM r WHERE (epoch_us(ts) - epoch_us(first_ts)) / 1e6 >= {hold}"""
+WITH {SAMPLES}, g AS (SELECT event_type, instance, ts, value, SUM(CASE WHEN value > {limit} THEN 0 ELSE 1 END) OVER
+  (PARTITION BY event_type, instance ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS grp FROM s),
+r AS (SELECT *, MIN(ts) OVER (PARTITION BY event_type, instance, grp) AS first_ts FROM g WHERE value > {limit})
+SELECT event_type, instance, ts, value, first_ts AS run_start FROM r WHERE (epoch_us(ts) - epoch_us(first_ts)) / 1e6 >= {hold}"""
 
 
 # fixed rule parameters: error level above 100 held 10 minutes; connections above 20 held 2 minutes
@@ -147,7 +147,7 @@ def st07(spark, sf):
 WITH {SAMPLES}, k AS (SELECT event_type, MAX(ts) AS last_ts, CAST(COUNT(*) AS BIGINT) AS n FROM s GROUP BY 1),
 a AS (SELECT MAX(last_ts) AS as_of FROM k)
 SELECT event_type, last_ts, n, (epoch_us(as_of) - epoch_us(last_ts)) / 3.6e9 AS hours_since,
-  CASE WHEN (epoch_us(as_of) - epoch_us(last_ts)) / 3.6e9 > 48 THEN 'stale' ELSE 'healthy' END AS status FROM k, a""",
+  CASE WHEN (epoch_us(as_of) - epoch_us(last_ts)) / 3.6e9 > 48 THEN 'stale_data' ELSE 'healthy' END AS status FROM k, a""",
     ["hours_since"], 9))
 def st08(spark, sf):
     """ST-08 + F-23: running last-sample time per series; hours since it and pipeline status."""
@@ -170,41 +170,47 @@ def st09(spark, sf):
     src = RUN.stage_events(ev, repeat_batch=1)
     table = FS.scratch(spark, "ticks")
     ck = FS.scratch(spark, "ticks-ckpt")
-    s = O.as_samples(RUN.read_stream(spark, src)).withWatermark("ts", "10 minutes").dropDuplicatesWithinWatermark(["event_id"])
-    s = s.select("event_type", F.date_trunc("minute", "ts").alias("minute"), "value", "ts")
-    state = {"n": 0}
 
     def upsert_batch(batch, epoch):
+        # the version of an epoch is made from that of the epoch before, so a repeated epoch makes the same version again
         b = batch.withColumnRenamed("ts", "loaded_at")
-        path = f"{table}/v{state['n'] + 1}"
-        if state["n"] == 0:
-            merged = FS.upsert(b.limit(0), b, keys=("event_type", "minute"))
-        else:
-            cur = spark.read.parquet(f"{table}/v{state['n']}")
-            merged = FS.upsert(cur, b, keys=("event_type", "minute"))
-        merged.write.mode("overwrite").parquet(path)
-        state["n"] += 1
-
-    q = (s.writeStream.outputMode("append").foreachBatch(upsert_batch).option("checkpointLocation", ck)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    out = spark.read.parquet(f"{table}/v{state['n']}")
+        before = [v for v in RUN.folders(spark, table) if v < f"{epoch:09d}"]
+        cur = spark.read.schema(b.schema).parquet(f"{table}/{before[-1]}") if before else b.limit(0)
+        FS.upsert(cur, b, keys=("event_type", "minute")).write.mode("overwrite").parquet(f"{table}/{epoch:09d}")
+
+    def start(folder):
+        s = O.as_samples(RUN.read_stream(spark, folder)).withWatermark("ts", "10 minutes").dropDuplicatesWithinWatermark(["event_id"])
+        s = s.select("event_type", F.date_trunc("minute", "ts").alias("minute"), "value", "ts")
+        return s.writeStream.outputMode("append").foreachBatch(upsert_batch).option("checkpointLocation", ck).trigger(availableNow=True).start()
+
+    RUN.drive(spark, src, start)
+    out = spark.read.parquet(f"{table}/{RUN.folders(spark, table)[-1]}")
     return _ntz(out.select("event_type", "minute", "value", F.col("loaded_at").alias("ts")), "minute", "ts")
 
 
 @query("st10_hourly_bars", f"""
 WITH {SAMPLES} SELECT date_trunc('hour', ts) AS bucket, event_type AS symbol, ARG_MIN(value, ts) AS open, MAX(value) AS high,
   MIN(value) AS low, ARG_MAX(value, ts) AS close, CAST(COUNT(*) AS BIGINT) AS n,
-  CAST(SUM(CAST(value AS DECIMAL(15, 2))) AS DOUBLE) AS total FROM s GROUP BY 1, 2""")
+  CAST(SUM(CAST(value AS DECIMAL(38, 6))) AS DOUBLE) AS total FROM s GROUP BY 1, 2""")
 def st10(spark, sf):
     """ST-10: hourly OHLC bars per series from the tick stream (tumbling window)."""
     return _ntz(_stream(spark, sf, O.ohlc_bars), "bucket")
 
 
-@query("st11_alert_notifications")
+@query("st11_alert_notifications", f"""
+WITH RECURSIVE {SAMPLES}, {THRESH},
+a AS (SELECT s.metric, instance, s.ts, ROW_NUMBER() OVER (PARTITION BY s.metric, instance ORDER BY s.ts, event_id) AS n
+      FROM s JOIN th ON s.metric = th.metric WHERE value > lim),
+sent AS (SELECT metric, instance, ts, n, CAST(1 AS BIGINT) AS alerts_since_last FROM a WHERE n = 1
+  UNION ALL SELECT metric, instance, ts, n, alerts_since_last FROM (
+    SELECT a.metric, a.instance, a.ts, a.n, CAST(a.n - sent.n AS BIGINT) AS alerts_since_last,
+           ROW_NUMBER() OVER (PARTITION BY a.metric, a.instance ORDER BY a.n) AS k
+    FROM sent JOIN a ON a.metric = sent.metric AND a.instance = sent.instance AND a.n > sent.n
+                    AND a.ts >= sent.ts + INTERVAL 1 HOUR) WHERE k = 1)
+SELECT metric, instance, ts, alerts_since_last FROM sent""")
 def st11(spark, sf):
-    """ST-11: alerts grouped per name; a notification at most once per hour, carrying how many
-    alerts it covers (custom state: rows-only check)."""
+    """ST-11: alerts grouped per name and instance; a notification at most once per hour, carrying how many alerts it
+    covers."""
     out = _stream(spark, sf, lambda s: ST.notifications(O.threshold_alerts(s)), mode="append", watermark=None)
     return _ntz(out, "ts")
 

@@ -114,7 +114,7 @@ def ohlc_bars(s: DataFrame, window="1 hour") -> DataFrame:
     g = s.groupBy(F.window("ts", window).alias("w"), "event_type").agg(
         F.min_by("value", "ts").alias("open"), F.max("value").alias("high"), F.min("value").alias("low"),
         F.max_by("value", "ts").alias("close"), F.count("*").cast("bigint").alias("n"),
-        F.sum(F.col("value").cast("decimal(15,2)")).cast("double").alias("total"))
+        F.sum(F.col("value").cast("decimal(38,6)")).cast("double").alias("total"))
     return g.select(F.col("w.start").alias("bucket"), F.col("event_type").alias("symbol"), "open", "high", "low",
                     "close", "n", "total")
 

@@ -1,84 +1,95 @@
 """Drive a streaming job over files landed in time order and collect its output.
 
-``stage_events`` lands the events table as a sequence of file batches ordered by
-event time (plus, optionally, an exact repeat of one batch and a batch of rows older
-than the watermark).  ``run`` reads them with ``readStream`` (explicit schema), applies
-a DataFrame function, and writes every micro-batch through ``foreachBatch`` into a
-parquet folder with ``Trigger.AvailableNow``; the checkpoint folder makes the job
-restartable after a lost executor or driver.
+``stage_events`` lands the events once, in one folder per interval of event time (plus, optionally, an exact repeat of
+one interval, rows older than the watermark, or a heartbeat after the end).  ``run`` moves one folder after the other into
+the folder that ``readStream`` watches and starts the query again from its checkpoint with ``Trigger.AvailableNow``: an
+interval is one micro-batch however many files it has, so results do not depend on file counts, cores or batch limits, and
+every interval is a restart.  Micro-batches go through ``foreachBatch`` into a folder named by their epoch, which a
+repeated epoch overwrites.
 """
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickframe.sources.files import scratch
 from tickframe.streaming.ops import EVENT_SCHEMA
 
-
 MARKER_INSTANCE = -1
 
 
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in path, sorted; none if there is no such path."""
+    fs, p = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()) if fs.exists(p) else []
+
+
 def stage_events(events: DataFrame, n_batches: int = 4, repeat_batch: int | None = None,
                  late_rows: DataFrame | None = None, end_marker: bool = False) -> str:
-    spark = events.sparkSession
-    path = scratch(spark, "stream-src")
-    bounds = events.agg(F.min("ts").alias("lo"), F.max("ts").alias("hi")).first()
-    lo, hi = bounds["lo"], bounds["hi"]
-    span = (hi - lo) / n_batches
-    cuts = [lo + span * i for i in range(n_batches)] + [None]
-    for i in range(n_batches):
-        if i:
-            # the file source orders new files by modification time; keep batches a second apart
-            time.sleep(1.1)
-        part = events.filter(F.col("ts") >= F.lit(cuts[i]))
-        if cuts[i + 1] is not None:
-            part = part.filter(F.col("ts") < F.lit(cuts[i + 1]))
-        part.write.mode("append").parquet(path)
-        if repeat_batch == i:
-            part.write.mode("append").parquet(path)
+    """Writes the events by interval of event time, in one pass; returns the folder of the interval folders."""
+    path = scratch(events.sparkSession, "stream-src")
+    bounds = F.broadcast(events.agg(F.min("ts").alias("_lo"), F.max("ts").alias("_hi")))  # one row
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    at = F.floor((micros("ts") - micros("_lo")) * n_batches / (micros("_hi") - micros("_lo") + 1)).cast("int")
+    rows = events.join(bounds).withColumn("batch", F.coalesce(at, F.lit(0))).drop("_lo", "_hi")
+    if repeat_batch is not None:
+        rows = rows.withColumn("_n", F.explode(F.when(F.col("batch") == repeat_batch, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))).drop("_n")
     if late_rows is not None:
-        time.sleep(1.1)
-        late_rows.write.mode("append").parquet(path)
+        rows = rows.unionByName(late_rows.withColumn("batch", F.lit(n_batches)))
     if end_marker:
-        time.sleep(1.1)
-        marker = events.limit(1).select(
-            F.lit(-1).cast("bigint").alias("event_id"), (F.lit(hi) + F.expr("INTERVAL 1 DAY")).cast("timestamp_ntz").alias("ts"),
+        rows = rows.unionByName(bounds.select(
+            F.lit(-1).cast("bigint").alias("event_id"), (F.col("_hi") + F.expr("INTERVAL 1 DAY")).cast("timestamp_ntz").alias("ts"),
             F.lit(MARKER_INSTANCE).cast("bigint").alias("user_id"), F.lit("heartbeat").alias("event_type"),
-            F.lit(0.0).alias("value"), F.lit("{}").alias("props"))
-        marker.write.mode("append").parquet(path)
+            F.lit(0.0).alias("value"), F.lit("{}").alias("props"), F.lit(n_batches + 1).alias("batch")))
+    rows.withColumn("batch", F.format_string("%05d", "batch")).write.partitionBy("batch").parquet(path)
     return path
 
 
-def read_stream(spark: SparkSession, path: str, files_per_trigger: int = 8) -> DataFrame:
-    return spark.readStream.schema(EVENT_SCHEMA).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
+def read_stream(spark: SparkSession, path: str) -> DataFrame:
+    return spark.readStream.schema(EVENT_SCHEMA).option("recursiveFileLookup", True).parquet(path)
+
+
+def drive(spark: SparkSession, source: str, start) -> None:
+    """start(folder) starts a query that watches folder; it is started once per interval folder of source, in order."""
+    watched = scratch(spark, "stream-in")
+    fs, to = _fs(spark, watched)
+    fs.mkdirs(to)
+    for name in folders(spark, source) or [None]:
+        if name:
+            fs.rename(_fs(spark, f"{source}/{name}")[1], _fs(spark, f"{watched}/{name.replace('=', '-')}")[1])
+        start(watched).awaitTermination()
 
 
-def run(spark: SparkSession, source: str, build, mode: str = "complete", watermark: str | None = "10 minutes",
-        files_per_trigger: int = 8) -> DataFrame:
+def run(spark: SparkSession, source: str, build, mode: str = "complete", watermark: str | None = "10 minutes") -> DataFrame:
     """Run ``build(stream) -> stream`` to completion; returns the collected output as a batch frame.
 
-    complete: every micro-batch carries the whole result and replaces the sink;
-    append: micro-batches are appended (stateless or watermark-finalised rows).
+    complete: the last micro-batch carries the whole result; append: the micro-batches together are the result
+    (stateless or watermark-finalised rows).
     """
     from tickframe.streaming.ops import as_samples
-    out = scratch(spark, "stream-out")
-    ck = scratch(spark, "stream-ckpt")
-    s = as_samples(read_stream(spark, source, files_per_trigger))
-    if watermark:
-        s = s.withWatermark("ts", watermark)
-    res = build(s)
+    out, ck = scratch(spark, "stream-out"), scratch(spark, "stream-ckpt")
+    schema = None
 
     def sink(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(out)
-
-    q = (res.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", ck)
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    try:
-        return spark.read.parquet(out)
-    except Exception:  # no micro-batch produced rows: empty result with the stream's schema
-        return spark.createDataFrame([], res.schema)
+        batch.write.mode("overwrite").parquet(f"{out}/{epoch:09d}")
+
+    def start(folder: str):
+        nonlocal schema
+        s = as_samples(read_stream(spark, folder))
+        if watermark:
+            s = s.withWatermark("ts", watermark)
+        res = build(s)
+        schema = res.schema
+        return res.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", ck).trigger(availableNow=True).start()
+
+    drive(spark, source, start)
+    epochs = folders(spark, out)
+    if not epochs:  # no micro-batch ran
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{out}/{e}" for e in (epochs[-1:] if mode == "complete" else epochs)])

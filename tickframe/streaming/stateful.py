@@ -1,7 +1,8 @@
 """Per-series state across micro-batches (ST-04, ST-05 / ST-16, ST-11) with
 ``applyInPandasWithState``: the state per key is a handful of scalars, so it stays
-small however long the stream runs.  Rows of one micro-batch are processed in
-event-time order; the batch twins in SQL give the same rows on ordered input.
+small however long the stream runs.  All rows that a series has in one micro-batch are put in
+event-time order first, however many Arrow batches they come in; the batch twins in SQL give the
+same rows when the micro-batches come in order of time.
 """
 
 from __future__ import annotations
@@ -10,7 +11,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-IRATE_SCHEMA = "event_type STRING, ts TIMESTAMP, value DOUBLE, irate DOUBLE"
+def _ordered(pdfs) -> pd.DataFrame:
+    """A series' rows of one micro-batch by event time, ties by event id."""
+    return pd.concat(list(pdfs)).sort_values(["ts", "event_id"], kind="stable")
+
+
+SERIES = ("event_type", "instance")
+IRATE_SCHEMA = "event_type STRING, instance BIGINT, ts TIMESTAMP, value DOUBLE, irate DOUBLE"
 IRATE_STATE = "last_ts TIMESTAMP, last_value DOUBLE"
 
 
@@ -19,26 +26,25 @@ def _irate(key, pdfs, state):
     new value itself is the increase."""
     last_ts, last_v = (state.get if state.exists else (None, None))
     out = []
-    for pdf in pdfs:
-        for ts, v in pdf.sort_values("ts")[["ts", "value"]].itertuples(index=False):
-            rate = None
-            if last_ts is not None:
-                dt = (ts - last_ts).total_seconds()
-                if dt > 0:
-                    rate = ((v - last_v) if v >= last_v else v) / dt
-            out.append((key[0], ts, v, rate))
-            last_ts, last_v = ts, v
+    for ts, v in _ordered(pdfs)[["ts", "value"]].itertuples(index=False):
+        rate = None
+        if last_ts is not None:
+            dt = (ts - last_ts).total_seconds()
+            if dt > 0:
+                rate = ((v - last_v) if v >= last_v else v) / dt
+        out.append((*key, ts, v, rate))
+        last_ts, last_v = ts, v
     if last_ts is not None:
         state.update((last_ts, last_v))
-    yield pd.DataFrame(out, columns=["event_type", "ts", "value", "irate"])
+    yield pd.DataFrame(out, columns=["event_type", "instance", "ts", "value", "irate"])
 
 
 def irate(s: DataFrame) -> DataFrame:
-    return s.groupBy("event_type").applyInPandasWithState(
+    return s.groupBy(*SERIES).applyInPandasWithState(
         _irate, IRATE_SCHEMA, IRATE_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
-HOLD_SCHEMA = "event_type STRING, ts TIMESTAMP, value DOUBLE, run_start TIMESTAMP"
+HOLD_SCHEMA = "event_type STRING, instance BIGINT, ts TIMESTAMP, value DOUBLE, run_start TIMESTAMP"
 HOLD_STATE = "run_start TIMESTAMP"
 
 
@@ -49,44 +55,42 @@ def sustained(s: DataFrame, limit: float, hold_seconds: float) -> DataFrame:
     def fn(key, pdfs, state):
         run = state.get[0] if state.exists else None
         out = []
-        for pdf in pdfs:
-            for ts, v in pdf.sort_values("ts")[["ts", "value"]].itertuples(index=False):
-                if v > limit:
-                    run = ts if run is None else run
-                    if (ts - run).total_seconds() >= hold_seconds:
-                        out.append((key[0], ts, v, run))
-                else:
-                    run = None
+        for ts, v in _ordered(pdfs)[["ts", "value"]].itertuples(index=False):
+            if v > limit:
+                run = ts if run is None else run
+                if (ts - run).total_seconds() >= hold_seconds:
+                    out.append((*key, ts, v, run))
+            else:
+                run = None
         if run is None:
             if state.exists:
                 state.remove()
         else:
             state.update((run,))
-        yield pd.DataFrame(out, columns=["event_type", "ts", "value", "run_start"])
+        yield pd.DataFrame(out, columns=["event_type", "instance", "ts", "value", "run_start"])
 
-    return s.groupBy("event_type").applyInPandasWithState(
+    return s.groupBy(*SERIES).applyInPandasWithState(
         fn, HOLD_SCHEMA, HOLD_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
-NOTIFY_SCHEMA = "metric STRING, ts TIMESTAMP, alerts_since_last BIGINT"
+NOTIFY_SCHEMA = "metric STRING, instance BIGINT, ts TIMESTAMP, alerts_since_last BIGINT"
 NOTIFY_STATE = "last_sent TIMESTAMP, pending BIGINT"
 
 
 def notifications(alerts: DataFrame, repeat_seconds: float = 3600.0) -> DataFrame:
-    """ST-11: per alert name, notify on the first alert and then only when the repeat interval
+    """ST-11: per alert name and instance, notify on the first alert and then only when the repeat interval
     has passed since the last notification; suppressed alerts are counted into the next one."""
 
     def fn(key, pdfs, state):
         last, pending = state.get if state.exists else (None, 0)
         out = []
-        for pdf in pdfs:
-            for (ts,) in pdf.sort_values("ts")[["ts"]].itertuples(index=False):
-                pending += 1
-                if last is None or (ts - last).total_seconds() >= repeat_seconds:
-                    out.append((key[0], ts, pending))
-                    last, pending = ts, 0
+        for ts in _ordered(pdfs)["ts"]:
+            pending += 1
+            if last is None or (ts - last).total_seconds() >= repeat_seconds:
+                out.append((*key, ts, pending))
+                last, pending = ts, 0
         state.update((last, pending))
-        yield pd.DataFrame(out, columns=["metric", "ts", "alerts_since_last"])
+        yield pd.DataFrame(out, columns=["metric", "instance", "ts", "alerts_since_last"])
 
-    return alerts.groupBy("metric").applyInPandasWithState(
+    return alerts.groupBy("metric", "instance").applyInPandasWithState(
         fn, NOTIFY_SCHEMA, NOTIFY_STATE, "append", GroupStateTimeout.NoTimeout)
