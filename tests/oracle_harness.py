@@ -36,7 +36,7 @@ def norm(v):
             return None
         return float(v)
     if isinstance(v, (dt.datetime, dt.date)):
-        return str(v)[:19] if isinstance(v, dt.datetime) else str(v)
+        return v.isoformat(timespec="microseconds") if isinstance(v, dt.datetime) else str(v)
     if hasattr(v, "item"):
         return norm(v.item())
     if isinstance(v, (list, tuple)):

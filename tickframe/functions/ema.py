@@ -2,7 +2,7 @@
 
 EMA_t = N_t / D_t with N_t = sum_{i<=t, x_i not null} b^(t-i) x_i, D_t = same with x = 1,
 b = 1 - 2/(span+1).  A single closed form b^t * sum x_i b^-i overflows after a few
-thousand rows, so the series is cut into calendar blocks short enough that b^-j
+thousand rows, so the series is cut into blocks of rows short enough that b^-j
 (j = row index inside the block) stays below e^300:
 
 * inside a block: running sum of x_j * b^-j over (key, block) ordered by date;
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def block_days(span: float) -> int:
+def block_rows(span: float) -> int:
     b = 1.0 - 2.0 / (span + 1.0)
     return max(1, int(300.0 / math.log(1.0 / b)))
 
@@ -29,11 +29,11 @@ def with_ema(df: DataFrame, col: str, span: float, out: str, keys=("symbol",),
     """Append ``out`` = EMA(span) of ``col``.
 
     Several EMAs of one frame can share ``blk_col`` (with a ``block`` no larger than any
-    of their ``block_days``): their windows then have identical specs and share sorts.
+    of their ``block_rows``): their windows then have identical specs and share sorts.
     """
     keys = list(keys)
     b = 1.0 - 2.0 / (span + 1.0)
-    k = block or block_days(span)
+    k = block or block_rows(span)
     j, s_n, s_d, end, blocks = (f"_{out}_{n}" for n in ("j", "sn", "sd", "end", "blocks"))
     shared = blk_col is not None
     blk = blk_col or f"_{out}_blk"
@@ -41,8 +41,7 @@ def with_ema(df: DataFrame, col: str, span: float, out: str, keys=("symbol",),
     present = x.isNotNull()
     wb = Window.partitionBy(*keys, blk).orderBy(order)
     ws = Window.partitionBy(*keys).orderBy(order)
-    d = df if shared and blk in df.columns else df.withColumn(
-        blk, F.floor(F.datediff(F.col(order).cast("date"), F.lit("1970-01-01").cast("date")) / k))
+    d = df if shared and blk in df.columns else df.withColumn(blk, F.floor((F.row_number().over(ws) - 1) / k))
     d = d.withColumn(j, F.row_number().over(wb) - 1)
     inv = F.pow(F.lit(b), -F.col(j))
     run = wb.rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -120,8 +120,7 @@ def centre_importance(model, cols, spark) -> DataFrame:
     return d.groupBy("feature").agg(F.stddev_pop("value").alias("importance"))
 
 
-def dbscan(df: DataFrame, key: str = "symbol", eps: float = DBSCAN_EPS, min_samples: int = DBSCAN_MIN_SAMPLES,
-           max_rounds: int = 50) -> DataFrame:
+def dbscan(df: DataFrame, key: str = "symbol", eps: float = DBSCAN_EPS, min_samples: int = DBSCAN_MIN_SAMPLES) -> DataFrame:
     """M-18 / J-11: labels 0.. in order of each cluster's first point, noise -1."""
     spark = df.sparkSession
     pts = df.select(key, "x").withColumn("_id", F.dense_rank().over(Window.orderBy(key)) - 1)
@@ -137,16 +136,18 @@ def dbscan(df: DataFrame, key: str = "symbol", eps: float = DBSCAN_EPS, min_samp
     core = deg.filter(F.col("deg") >= min_samples).select(F.col("a").alias("_id"))
     ce = (edges.join(core.withColumnRenamed("_id", "a"), "a").join(core.withColumnRenamed("_id", "b"), "b")
           .select("a", "b"))
-    labels = core.select("_id", F.col("_id").alias("label"))
     checkpoint_dir(spark)
-    for i in range(max_rounds):
+    ce = ce.checkpoint()
+    labels = core.select("_id", F.col("_id").alias("label")).checkpoint()
+    while True:  # the least label among neighbours, then the label of that label: rounds grow with the logarithm of a chain
         prop = ce.join(labels.withColumnRenamed("_id", "b"), "b").groupBy("a").agg(F.min("label").alias("m"))
-        new = (labels.join(prop.withColumnRenamed("a", "_id"), "_id", "left")
-               .select("_id", F.least("label", F.coalesce("m", "label")).alias("label")))
-        new = new.checkpoint() if i % 3 == 2 else new.cache()
-        changed = new.join(labels.withColumnRenamed("label", "old"), "_id").filter(F.col("label") != F.col("old")).count()
-        labels = new
-        if changed == 0:
+        near = (labels.join(prop.withColumnRenamed("a", "_id"), "_id", "left")
+                .select("_id", "label", F.least("label", F.coalesce("m", "label")).alias("near")))
+        jump = near.select(F.col("_id").alias("near"), F.col("near").alias("far"))
+        new = near.join(jump, "near").select("_id", "label", F.least("near", "far").alias("new")).checkpoint()
+        changed = new.filter(F.col("label") != F.col("new")).limit(1).count()
+        labels = new.select("_id", F.col("new").alias("label"))
+        if not changed:
             break
     # border points: the smallest label among core neighbours
     border = (edges.join(labels.withColumnRenamed("_id", "b"), "b").groupBy("a")

@@ -37,7 +37,7 @@ GENERATOR_CAP_THRESHOLDS = [
 ]
 GENERATOR_CAP_DEFAULT = "Nano Cap ($10M+)"
 # Sharpe colour bands (F-12): >= 2, >= 1, >= 0.5, >= 0, below 0.
-SHARPE_BANDS = [(2.0, "excellent"), (1.0, "good"), (0.5, "fair"), (0.0, "poor")]
+SHARPE_BANDS = [(2.0, "excellent"), (1.0, "good"), (0.5, "average"), (0.0, "poor")]
 SHARPE_BAND_DEFAULT = "negative"
 # Health banding (F-26): cpu / memory percent warn 70, critical 90; db seconds 1 / 3.
 HEALTH_LIMITS = {"cpu": (70.0, 90.0), "memory": (70.0, 90.0), "db": (1.0, 3.0)}
@@ -196,10 +196,11 @@ def asset_label(symbols, weights, decimals: int = 1) -> Column:
 def weight_status(total_pct) -> Column:
     """F-11: weight-sum status text."""
     t = c(total_pct)
-    return (F.when(F.abs(t - 100) < 1e-9, "Weights sum to 100%")
-             .when(t > 100, F.format_string("Weights exceed 100%% (%.1f%%)", t))
-             .when(t > 0, F.format_string("Weights sum to %.1f%% (will be normalised)", t))
-             .otherwise("No weights entered"))
+    # fixed values: the status texts
+    return (F.when(F.abs(t - 100) < 1e-9, F.format_string("Total Weight: %.1f%% \u2713 Perfect!", t))
+             .when(t > 100, F.format_string("Total Weight: %.1f%% \u26a0\ufe0f Exceeds 100%%", t))
+             .when(t > 0, F.format_string("Total Weight: %.1f%% (Need %.1f%% more)", t, 100 - t))
+             .otherwise(F.format_string("Total Weight: %.1f%%", F.coalesce(t, F.lit(0.0)))))
 
 
 def health_band(value, kind: str) -> Column:
@@ -210,8 +211,8 @@ def health_band(value, kind: str) -> Column:
 
 
 def pipeline_status(hours_since, db_seconds, cpu, memory) -> Column:
-    """F-23: stale / slow / high resource / healthy, first match wins."""
-    return (F.when(c(hours_since) > STALE_HOURS, "stale")
-             .when(c(db_seconds) > SLOW_DB_SECONDS, "slow")
-             .when((c(cpu) > CPU_LIMIT) | (c(memory) > MEMORY_LIMIT), "high_resource")
+    """F-23: stale_data / db_slow / resource_high / healthy, first match wins."""
+    return (F.when(c(hours_since) > STALE_HOURS, "stale_data")
+             .when(c(db_seconds) > SLOW_DB_SECONDS, "db_slow")
+             .when((c(cpu) > CPU_LIMIT) | (c(memory) > MEMORY_LIMIT), "resource_high")
              .otherwise("healthy"))

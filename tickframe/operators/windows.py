@@ -36,8 +36,8 @@ def with_macd(df, col="close", keys=("symbol",), order="date"):
 
     The three EMAs share one calendar-block column (the smallest safe block), so their
     windows have identical specs and Spark sorts each partition fewer times."""
-    from tickframe.functions.ema import block_days
-    blk = min(block_days(s) for s in (12, 26, 9))
+    from tickframe.functions.ema import block_rows
+    blk = min(block_rows(s) for s in (12, 26, 9))
     df = with_ema(df, col, 12, "ema_12", keys, order, blk, "_ema_blk")
     df = with_ema(df, col, 26, "ema_26", keys, order, blk, "_ema_blk")
     df = df.withColumn("macd", F.col("ema_12") - F.col("ema_26"))

@@ -15,7 +15,7 @@ QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
 
 PLAN_MODULES = ("scans", "portfolio_q", "windows_q", "cleaning_q", "risk_q", "joins_q", "screening_q",
-                "matrices_q", "quality_q", "sources_q", "models_q", "cluster_q", "optimize_q",
+                "matrices_q", "sources_q", "models_q", "cluster_q", "optimize_q",
                 "streams_q")
 
 
@@ -32,12 +32,7 @@ def query(key: str, oracle: str | None = None):
 
 def load_all() -> None:
     for m in PLAN_MODULES:
-        try:
-            mod = importlib.import_module(f"tickframe.plans.{m}")
-        except ModuleNotFoundError as e:
-            if e.name != f"tickframe.plans.{m}":
-                raise
-            continue
+        mod = importlib.import_module(f"tickframe.plans.{m}")
         if hasattr(mod, "register"):
             mod.register()
 

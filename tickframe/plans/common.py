@@ -23,7 +23,7 @@ def round_col(col, digits: int):
     intermediate decimal with three guard digits makes both engines agree.
     """
     d = F.col(col).cast("double").try_cast(f"decimal(38,{digits + GUARD})")
-    return F.round(d, digits).cast("double")
+    return F.coalesce(F.round(d, digits).cast("double"), F.col(col).cast("double"))  # too large for the decimal: as it is
 
 
 def rounded(df: DataFrame, digits: int = 6, special: dict | None = None) -> DataFrame:

@@ -249,7 +249,7 @@ h AS (SELECT portfolio_name, STRING_AGG(printf('%s (%.1f%%)', symbol, weight * 1
       FROM holdings GROUP BY portfolio_name)
 SELECT a.portfolio_name, total_return, COALESCE(printf('%.1f%%', total_return * 100), 'N/A') AS return_label,
        CASE WHEN sharpe_ratio >= 2 THEN 'excellent' WHEN sharpe_ratio >= 1 THEN 'good'
-            WHEN sharpe_ratio >= 0.5 THEN 'fair' WHEN sharpe_ratio >= 0 THEN 'poor' ELSE 'negative' END AS sharpe_band,
+            WHEN sharpe_ratio >= 0.5 THEN 'average' WHEN sharpe_ratio >= 0 THEN 'poor' ELSE 'negative' END AS sharpe_band,
        h.assets FROM a JOIN h ON a.portfolio_name = h.portfolio_name"""), ["total_return"]))
 def r23(spark, sf):
     """R-23: portfolio list with total return, its label (F-27), Sharpe band (F-12) and

@@ -137,10 +137,10 @@ def f10(spark, sf):
 
 @query("f11_weight_status", oround(with_views(["holdings"], """
 SELECT portfolio_name, SUM(weight) * 100 AS total_pct,
-  CASE WHEN ABS(SUM(weight) * 100 - 100) < 1e-9 THEN 'Weights sum to 100%'
-       WHEN SUM(weight) * 100 > 100 THEN printf('Weights exceed 100%% (%.1f%%)', SUM(weight) * 100)
-       WHEN SUM(weight) * 100 > 0 THEN printf('Weights sum to %.1f%% (will be normalised)', SUM(weight) * 100)
-       ELSE 'No weights entered' END AS status FROM holdings GROUP BY 1"""), ["total_pct"]))
+  CASE WHEN ABS(SUM(weight) * 100 - 100) < 1e-9 THEN printf('Total Weight: %.1f%% \u2713 Perfect!', SUM(weight) * 100)
+       WHEN SUM(weight) * 100 > 100 THEN printf('Total Weight: %.1f%% \u26a0\ufe0f Exceeds 100%%', SUM(weight) * 100)
+       WHEN SUM(weight) * 100 > 0 THEN printf('Total Weight: %.1f%% (Need %.1f%% more)', SUM(weight) * 100, 100 - SUM(weight) * 100)
+       ELSE printf('Total Weight: %.1f%%', 0.0) END AS status FROM holdings GROUP BY 1"""), ["total_pct"]))
 def f11(spark, sf):
     h = Views(spark, sf).holdings.groupBy("portfolio_name").agg((F.sum("weight") * 100).alias("total_pct"))
     return rounded(h.withColumn("status", S.weight_status("total_pct")))
@@ -148,7 +148,7 @@ def f11(spark, sf):
 
 @query("f12_sharpe_band", oround(f"""
 SELECT portfolio_name, sharpe_ratio, CASE WHEN sharpe_ratio >= 2 THEN 'excellent' WHEN sharpe_ratio >= 1 THEN 'good'
-  WHEN sharpe_ratio >= 0.5 THEN 'fair' WHEN sharpe_ratio >= 0 THEN 'poor' ELSE 'negative' END AS band,
+  WHEN sharpe_ratio >= 0.5 THEN 'average' WHEN sharpe_ratio >= 0 THEN 'poor' ELSE 'negative' END AS band,
   COALESCE(printf('%.1f%%', total_return * 100), 'N/A') AS return_label FROM ({R17_SQL}) x""", ["sharpe_ratio"]))
 def f12(spark, sf):
     """F-12 Sharpe band and F-27 return label over the flagship analytics."""

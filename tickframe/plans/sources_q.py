@@ -23,7 +23,7 @@ BARS8 = "symbol, date, open, high, low, close, adjusted_close, volume"
 def s08(spark, sf):
     v = Views(spark, sf)
     path = FS.write_landing_csv(v.bars, FS.scratch(spark, "landing"))
-    back = FS.read_landing_csv(spark, path)
+    back = FS.landing_rows(FS.read_landing_csv(spark, path))
     return back.select(*BARS8.split(", "), "data_source")
 
 
@@ -82,7 +82,7 @@ def s13(spark, sf):
     Partition folder names are escaped twice in the file URI (path escaping, then URI
     encoding), hence the double decode."""
     path = FS.write_landing_csv(Views(spark, sf).bars, FS.scratch(spark, "landing"))
-    back = FS.read_landing_csv(spark, path)
+    back = FS.landing_rows(FS.read_landing_csv(spark, path))
     return back.groupBy("symbol", "data_source").agg(
         F.count("*").cast("bigint").alias("rows"),
         F.bool_and(F.url_decode(F.url_decode("source_file")).contains(F.concat(F.lit("symbol="), F.col("symbol"))))
@@ -300,20 +300,20 @@ def s27(spark, sf):
 @query("s28_portfolio_change_feed", with_views(["holdings"], """
 WITH cur AS (SELECT DISTINCT portfolio_name AS name, 'Custom' AS strategy FROM holdings),
 pri AS (SELECT DISTINCT o_orderpriority AS name FROM orders)
-SELECT name, CASE WHEN name = 'BUILDING' THEN 'Equal Weight' ELSE strategy END AS strategy FROM cur WHERE name <> 'MACHINERY'
-UNION ALL SELECT name, 'Risk Parity' FROM pri"""))
+SELECT name, CASE WHEN name = 'BUILDING' THEN 'Min Variance' WHEN name = 'FURNITURE' THEN 'Restored' ELSE strategy END AS strategy
+FROM cur WHERE name <> 'MACHINERY' UNION ALL SELECT name, 'Risk Parity' FROM pri"""))
 def s28(spark, sf):
-    """S-28 / J-09 / J-12: a change feed applied by key -- inserts (new order-priority
-    portfolios), a partial update (strategy only), a delete."""
+    """S-28 / J-09 / J-12: a change feed applied by key in order -- inserts (new order-priority portfolios), two updates
+    of one key, a delete, a delete followed by an insert, and changes of unknown keys, which do nothing."""
     v = Views(spark, sf)
     cur = v.holdings.select(F.col("portfolio_name").alias("name")).distinct().withColumn("strategy", F.lit("Custom"))
     new = (v.table("orders").select(F.col("o_orderpriority").alias("name")).distinct()
            .join(cur, "name", "left_anti").select("name", F.lit("insert").alias("op"), F.lit("Risk Parity").alias("strategy")))
-    upd = cur.filter(F.col("name") == "BUILDING").select("name", F.lit("update").alias("op"),
-                                                         F.lit("Equal Weight").alias("strategy"))
-    dele = cur.filter(F.col("name") == "MACHINERY").select("name", F.lit("delete").alias("op"),
-                                                           F.lit(None).cast("string").alias("strategy"))
-    return FS.apply_changes(cur, new.unionByName(upd).unionByName(dele), key="name")
+    steps = [("BUILDING", "update", "Equal Weight", 1), ("BUILDING", "update", "Min Variance", 2), ("BUILDING", "update", None, 3),
+             ("MACHINERY", "delete", None, 1), ("FURNITURE", "delete", None, 1), ("FURNITURE", "insert", "Restored", 2),
+             ("NO SUCH", "update", "x", 1), ("NO SUCH EITHER", "delete", None, 1)]
+    feed = spark.createDataFrame(steps, "name string, op string, strategy string, sequence int")
+    return FS.apply_changes(cur, new.withColumn("sequence", F.lit(0)).unionByName(feed), key="name")
 
 
 @query("s29_result_tables", oround(with_views(["bars", "holdings"], f"""

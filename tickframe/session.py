@@ -44,13 +44,16 @@ def build_session(master: str | None = None, partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set (a shared filesystem path).  Only when it
-    is unset -- local tests -- a fresh temporary folder is used.
+    On a cluster it must be set (a path that all machines share); only a session
+    in one JVM (``local`` masters) gets a fresh temporary folder when it is unset.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("spark.checkpoint.dir is not set: it must name a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="tickframe-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)

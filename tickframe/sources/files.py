@@ -30,6 +30,9 @@ VENDOR_ERROR_KEYS = ("Error Message", "Note")
 INDICATOR_KEY_PREFIX = "Technical Analysis: "
 
 
+JSON_TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared scratch root."""
     root = spark.conf.get("tickframe.scratch.dir", None) or checkpoint_dir(spark)
@@ -45,10 +48,26 @@ def write_landing_csv(df: DataFrame, path: str, partition_by=("data_source", "sy
 
 
 def read_landing_csv(spark: SparkSession, path: str, schema: T.StructType = BAR_SCHEMA) -> DataFrame:
-    """S-08 source: explicit schema; partition columns come back from the folder names."""
-    data_schema = T.StructType([f for f in schema.fields if f.name not in ("data_source", "symbol")])
-    return (spark.read.schema(data_schema).option("header", True).option("mode", "DROPMALFORMED")
-            .csv(path).withColumn("source_file", F.input_file_name()))
+    """S-08 source: explicit schema; partition columns come back from the folder names.  Lines that do not fit the
+    schema stay, with their text in ``corrupt``: see ``landing_rows`` and ``landing_rejects``."""
+    data_schema = T.StructType([f for f in schema.fields if f.name not in ("data_source", "symbol")] + [T.StructField("corrupt", T.StringType())])
+    return (spark.read.schema(data_schema).option("header", True).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", "corrupt").csv(path).withColumn("source_file", F.input_file_name()))
+
+
+def _parsed(landed: DataFrame):
+    """Always true; the CSV reader judges a line only if some of its fields are asked for."""
+    return F.xxhash64(*[c for c in landed.columns if c not in ("corrupt", "source_file", "data_source", "symbol")]) % 2 < 2
+
+
+def landing_rows(landed: DataFrame) -> DataFrame:
+    """Rows of a landing read that fit the schema."""
+    return landed.where(F.col("corrupt").isNull() & _parsed(landed)).drop("corrupt")
+
+
+def landing_rejects(landed: DataFrame) -> DataFrame:
+    """(source_file, line) of the lines that did not."""
+    return landed.where(F.col("corrupt").isNotNull() & _parsed(landed)).select("source_file", F.col("corrupt").alias("line"))
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by=()) -> str:
@@ -61,9 +80,9 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by=
 
 
 def json_roundtrip(df: DataFrame, path: str) -> DataFrame:
-    """S-25 / S-26: JSON records out and back in with the same schema."""
-    df.write.mode("overwrite").json(path)
-    return df.sparkSession.read.schema(df.schema).json(path)
+    """S-25 / S-26: JSON records out and back in with the same schema; timestamps keep their microseconds."""
+    df.write.mode("overwrite").options(**JSON_TIMES).json(path)
+    return df.sparkSession.read.schema(df.schema).options(**JSON_TIMES).json(path)
 
 
 # ---- S-09 .. S-12, S-16, S-17: vendor payloads -----------------------------------------
@@ -206,15 +225,24 @@ def portfolio_rows(df: DataFrame) -> DataFrame:
 
 
 def apply_changes(current: DataFrame, changes: DataFrame, key: str = "id") -> DataFrame:
-    """S-28 / J-12: apply a change feed (op in insert / update / delete): inserts add rows,
-    updates overwrite only the fields they carry (non-null), deletes remove the key.
-    One full outer join on the key."""
+    """S-28 / J-12: apply a change feed (op in insert / update / delete) in the order of its column ``sequence`` (one
+    change per key if there is none): inserts add rows, updates overwrite the fields they carry (non-null), deletes remove
+    the key, updates and deletes of unknown keys do nothing.  The changes of a key are folded to its last state by an
+    aggregate, then joined once."""
     data_cols = [c for c in current.columns if c != key]
-    ch = changes.select(key, "op", *[F.col(c).alias(f"_n_{c}") for c in data_cols])
-    j = current.join(ch, key, "full_outer")
-    out = j.filter(F.coalesce(F.col("op"), F.lit("")) != "delete").select(
-        key, *[F.coalesce(F.col(f"_n_{c}"), F.col(c)).alias(c) for c in data_cols])
-    return out
+    seq = F.col("sequence") if "sequence" in changes.columns else F.lit(0)
+    rank = F.struct(seq.alias("s"), F.col("op").alias("o"))
+    # what came before the last insert or delete of a key no longer counts
+    ch = changes.withColumn("_rank", rank)
+    last = ch.where(F.col("op") != "update").groupBy(key).agg(F.max("_rank").alias("_reset"))
+    ch = ch.join(last, key, "left").where(F.col("_reset").isNull() | (F.col("_rank") >= F.col("_reset")))
+    newest = [F.max_by(F.when(F.col(c).isNotNull(), F.col(c)), F.when(F.col(c).isNotNull(), F.col("_rank"))).alias(f"_n_{c}") for c in data_cols]
+    folded = ch.groupBy(key).agg(F.max("_reset.o").alias("_reset"), F.max_by("op", "_rank").alias("_op"), *newest)
+    j = current.withColumn("_old", F.lit(True)).join(folded, key, "full_outer")
+    lives = F.when(F.col("_reset") == "insert", True).when(F.col("_reset") == "delete", False).otherwise(F.col("_old"))
+    fresh = F.col("_reset") == "insert"
+    return j.where(F.coalesce(lives, F.lit(False))).select(
+        key, *[F.coalesce(F.col(f"_n_{c}"), F.when(F.coalesce(fresh, F.lit(False)), F.lit(None)).otherwise(F.col(c))).alias(c) for c in data_cols])
 
 
 def history_entries(name: str, criteria: dict, result_count_df: DataFrame, at) -> DataFrame:

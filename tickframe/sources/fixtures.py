@@ -23,9 +23,9 @@ from tickframe.sources.tables import table
 
 
 def _exact_sum(col: str):
-    """Sum of cent amounts as an exact decimal, returned as double: the same value whatever
+    """Sum as an exact decimal of six digits after the point, returned as double: the same value whatever
     order the partial sums arrive in (a float sum's last bits depend on shuffle order)."""
-    return F.sum(F.col(col).cast("decimal(15,2)")).cast("double")
+    return F.sum(F.col(col).cast("decimal(38,6)")).cast("double")
 
 
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:

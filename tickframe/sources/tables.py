@@ -8,24 +8,8 @@ BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "li
                "events", "documents", "embeddings", "pages", "benchmark", "labels",
                "conversations")
 
-# Fact tables whose scans feed joins and partial aggregates.
-FACT_TABLES = frozenset({"lineitem", "orders", "events"})
 
-
-def table(spark: SparkSession, sf_dir: str, name: str, balanced: bool | None = None) -> DataFrame:
-    """Lazy scan; Catalyst prunes columns and pushes filters into the reader.
-
-    A fact table stored as very few row groups yields fewer scan splits than the
-    cluster has cores, which would run the scan, broadcast joins and map-side
-    aggregation in a handful of tasks.  Only in that case the scan is rebalanced
-    (round-robin) to the default parallelism; a large table already has
-    thousands of splits and is left alone, so no extra shuffle happens at scale.
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if balanced is None:
-        balanced = name in FACT_TABLES
-    if balanced:
-        par = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < par:
-            df = df.repartition(par)
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Lazy scan; Catalyst prunes columns and pushes filters into the reader.  The number of splits is the session's
+    business (spark.sql.files.maxPartitionBytes and minPartitionNum)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
