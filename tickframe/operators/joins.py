@@ -14,6 +14,12 @@ from pyspark.sql import functions as F
 PKEY = "portfolio_name"
 
 
+def last_days(df: DataFrame, days: int, date: str = "date") -> DataFrame:
+    """Rows of the last ``days`` days of df, counted back from its newest date (a one-row aggregate joined back)."""
+    last = df.agg(F.max(date).alias("_last"))
+    return df.join(F.broadcast(last)).filter(F.col(date) > F.date_sub("_last", days)).drop("_last")
+
+
 def asof_join(facts: DataFrame, series: DataFrame, key: str = "series_id", date: str = "date",
               value: str = "value", prefix: str = "macro_") -> DataFrame:
     """Attach, for every series, the latest value with series.date <= facts.date.

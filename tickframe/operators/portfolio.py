@@ -49,21 +49,13 @@ def held_returns(bars: DataFrame, holdings: DataFrame, start=None, end=None,
 
     Returns are computed once per symbol (before fanning out to the portfolios
     that hold it).  ``w`` is the weight renormalised over the symbols that have
-    data in range (J-04): the per-portfolio total comes from a window over the
-    joined rows' distinct symbols, so bars are aggregated only once.
+    data in range (J-04), on the holdings (a few rows per portfolio) before they meet the bars.
     """
     h = holdings.select(PKEY, "symbol", "weight")
     px = in_range(bars.select("symbol", "date", price), start, end).join(
         h.select("symbol").distinct(), "symbol", "left_semi")
     px = with_returns(px, price, out="r", ffill=False)
-    j = px.join(h, "symbol")
-    # first row of each (portfolio, symbol) carries its weight once -> totals over available symbols
-    ws = Window.partitionBy(PKEY, "symbol").orderBy("date")
-    wp = Window.partitionBy(PKEY)
-    first = F.row_number().over(ws) == 1
-    tot = F.sum(F.when(first, F.coalesce("weight", F.lit(0.0)))).over(wp)
-    n = F.sum(F.when(first, F.lit(1))).over(wp)
-    return j.withColumn("w", F.when(tot > 0, F.coalesce("weight", F.lit(0.0)) / tot).otherwise(1.0 / n))
+    return px.join(normalised_weights(h, px.select("symbol").distinct()), "symbol")
 
 
 def portfolio_returns(bars: DataFrame, holdings: DataFrame, start=None, end=None,

@@ -60,14 +60,17 @@ RECENT = "(SELECT MAX(date) - INTERVAL 30 DAY FROM bars)"
 
 
 @query("j05_missing_recent_data", with_views(["bars", "holdings"], f"""
-SELECT DISTINCT portfolio_name, symbol FROM holdings h WHERE NOT EXISTS
+SELECT DISTINCT portfolio_name, symbol FROM (SELECT portfolio_name, symbol FROM holdings
+  UNION ALL SELECT portfolio_name, 'NOT LISTED' FROM holdings) h WHERE NOT EXISTS
  (SELECT 1 FROM bars b WHERE b.symbol = h.symbol AND b.date > {RECENT})"""))
 def j05(spark, sf):
-    """J-05: held symbols with no bar in the 30 days before the data's last date (anti join)."""
+    """J-05: held symbols with no bar in the 30 days before the data's last date (anti join); each portfolio also holds
+    a symbol that is not listed, so that there is one to find."""
     v = Views(spark, sf)
-    last = v.bars.agg(F.max("date")).first()[0]
-    recent = v.bars.filter(F.col("date") > F.date_sub(F.lit(last), 30))
-    return v.holdings.select("portfolio_name", "symbol").join(recent, "symbol", "left_anti").distinct()
+    recent = J.last_days(v.bars, 30)
+    held = v.holdings.select("portfolio_name", "symbol")
+    held = held.unionByName(held.select("portfolio_name", F.lit("NOT LISTED").alias("symbol")))
+    return held.join(recent, "symbol", "left_anti").distinct()
 
 
 @query("j06_partial_portfolios", with_views(["bars", "holdings"], f"""
@@ -80,8 +83,7 @@ SELECT portfolio_name, n_requested, n_available,
 def j06(spark, sf):
     """J-06: semi join against the last 30 days of prices; '(Partial)' when some symbols lack data."""
     v = Views(spark, sf)
-    last = v.bars.agg(F.max("date")).first()[0]
-    recent = v.bars.filter(F.col("date") > F.date_sub(F.lit(last), 30))
+    recent = J.last_days(v.bars, 30)
     return J.flag_partial(v.holdings, recent)
 
 

@@ -10,6 +10,7 @@ from tickframe.operators import quality as Q
 from tickframe.operators import scans as SC
 from tickframe.operators import screen as S
 from tickframe.operators import windows as W
+from tickframe.operators.joins import last_days
 from tickframe.plans.catalog import query
 from tickframe.plans.common import Views, oround, rounded
 from tickframe.plans.views_sql import with_views
@@ -196,9 +197,12 @@ def a26(spark, sf):
 
 
 @query("a26_duplicate_bar_keys", with_views(["bars"], """
-SELECT symbol, date, CAST(COUNT(*) AS BIGINT) AS n FROM bars GROUP BY 1, 2 HAVING COUNT(*) > 1"""))
+SELECT symbol, date, CAST(COUNT(*) AS BIGINT) AS n FROM (SELECT symbol, date FROM bars
+  UNION ALL SELECT symbol, date FROM bars WHERE date > (SELECT MAX(date) - INTERVAL 30 DAY FROM bars)) b GROUP BY 1, 2 HAVING COUNT(*) > 1"""))
 def a26b(spark, sf):
-    return Q.duplicate_keys(Views(spark, sf).bars, ["symbol", "date"])
+    """A-26 on bars of which the last 30 days were delivered twice."""
+    b = Views(spark, sf).bars.select("symbol", "date")
+    return Q.duplicate_keys(b.unionByName(last_days(b, 30)), ["symbol", "date"])
 
 
 @query("a27_market_cap_weights", oround(with_views(["stock_info"], """
@@ -206,11 +210,12 @@ SELECT symbol, sector, COALESCE(market_cap / NULLIF(SUM(market_cap) OVER (PARTIT
 FROM stock_info"""), ["cap_weight"], 12))
 def a27(spark, sf):
     """A-27: market-cap weight within the sector; 0.1 where the cap is unknown (reference default)."""
-    from pyspark.sql import Window
     from tickframe.functions.exprs import safe_div
     si = Views(spark, sf).stock_info
-    w = safe_div(F.col("market_cap"), F.sum("market_cap").over(Window.partitionBy("sector")), 0.1)
-    return rounded(si.select("symbol", "sector", w.alias("cap_weight")), 12)
+    # a sector may hold a third of all parts: summed map-side, then joined
+    total = si.groupBy("sector").agg(F.sum(F.col("market_cap").cast("decimal(38,6)")).cast("double").alias("total"))
+    w = safe_div(F.col("market_cap"), F.col("total"), 0.1)
+    return rounded(si.join(total, "sector", "left").select("symbol", "sector", w.alias("cap_weight")), 12)
 
 
 @query("a28_symbol_availability", with_views(["bars"], """
@@ -222,8 +227,7 @@ def a28(spark, sf):
     """A-28: per requested symbol, whether prices exist in the last 30 days of data."""
     v = Views(spark, sf)
     req = v.table("part").select(F.col("p_brand").alias("symbol")).distinct()
-    last = v.bars.agg(F.max("date")).first()[0]
-    recent = v.bars.filter(F.col("date") > F.date_sub(F.lit(last), 30))
+    recent = last_days(v.bars, 30)
     return Q.availability(req, recent)
 
 

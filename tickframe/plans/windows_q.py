@@ -341,16 +341,21 @@ def _preset_sql():
     return " UNION ALL ".join(parts)
 
 
+def _presets(b):
+    """A row per preset (preset, start_date, end_date, frequency) from the one-row date range of b."""
+    ext = b.agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
+    rows = F.explode(F.array(*[F.struct(F.lit(n).alias("preset"), F.lit(d).cast("int").alias("days"), F.lit(fq).alias("frequency")) for n, d, fq in PERIOD_PRESETS]))
+    p = ext.select("lo", "hi", rows.alias("p")).select("lo", "hi", "p.*")
+    return p.select("preset", F.coalesce(F.date_sub("hi", F.col("days")), "lo").alias("start_date"), F.col("hi").alias("end_date"), "frequency")
+
+
 @query("f17_period_presets", with_views(["bars"], "SELECT * FROM (" + " UNION ALL ".join(
     f"SELECT '{n}' AS preset, CAST({'(SELECT MIN(date) FROM bars)' if d is None else f'(SELECT MAX(date) - INTERVAL {d} DAY FROM bars)'} AS DATE)"
     f" AS start_date, (SELECT MAX(date) FROM bars) AS end_date, '{fq}' AS frequency" for n, d, fq in PERIOD_PRESETS) + ") p"))
 def f17(spark, sf):
     """F-17: period presets resolved against the data's last date (not the wall clock)."""
     b = Views(spark, sf).bars
-    ext = b.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
-    rows = [(n, ext["lo"] if d is None else ext["hi"] - __import__("datetime").timedelta(days=d), ext["hi"], fq)
-            for n, d, fq in PERIOD_PRESETS]
-    return spark.createDataFrame(rows, "preset STRING, start_date DATE, end_date DATE, frequency STRING")
+    return _presets(b).select("preset", "start_date", "end_date", "frequency")
 
 
 @query("w24_period_returns", oround(with_views(["bars"], f"""
@@ -363,13 +368,10 @@ def w24(spark, sf):
     (C-07 resampling + W-01 on real data instead of the reference's random series)."""
     from tickframe.operators.clean import period_end
     b = Views(spark, sf).bars.select("symbol", "date", "close")
-    ext = b.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
-    out = None
-    for name, days, freq in PERIOD_PRESETS:
-        lo = ext["lo"] if days is None else ext["hi"] - __import__("datetime").timedelta(days=days)
-        part = (b.filter(F.col("date") >= F.lit(lo)).groupBy("symbol", period_end("date", freq).alias("period_end"))
-                .agg(F.max_by("close", "date").alias("close")).withColumn("preset", F.lit(name)))
-        out = part if out is None else out.unionByName(part)
+    # one pass: every bar meets the six presets and stays with those that it falls in
+    j = b.join(F.broadcast(_presets(b)), F.col("date") >= F.col("start_date"))
+    end = F.when(F.col("frequency") == "D", period_end("date", "D")).when(F.col("frequency") == "W", period_end("date", "W")).otherwise(period_end("date", "M"))
+    out = j.groupBy("preset", "symbol", end.alias("period_end")).agg(F.max_by("close", "date").alias("close"))
     r = with_returns(out, "close", keys=("preset", "symbol"), order="period_end", out="period_return", ffill=False)
     return rounded(r.select("preset", "symbol", "period_end", "period_return"))
 
