@@ -1,21 +1,15 @@
 """Covariance / correlation matrices and asset statistics: A-13..A-20, J-13, O-04.
 
-Pairwise moments come from a tiled Gram aggregation instead of a self-join on
-date: every (group, date) row holds its symbols' values at dense indices; for
-each pair of index tiles (I <= J) six B x B moment arrays (count, sum x, sum y,
-sum x^2, sum y^2, sum xy over dates where both are present) are built with
-higher-order functions and summed with ``Summarizer`` -- a partial aggregate
-whose buffer is fixed (6 B^2 doubles) per tile pair, whatever the number of
-dates.  The result is decoded into long (a, b) rows.  Pairwise-complete
-statistics match pandas ``cov()`` / ``corr()``.
+Pairwise moments come from a block outer product instead of a self-join on date: symbols are numbered once, a row goes to
+the pairs (I <= J) of its tile of symbols, and each (tile pair, block of dates) is a few matrix products in a task of bounded
+size; blocks are summed per pair.  Values are taken from their symbol's mean first.  Pairwise-complete statistics match
+pandas ``cov()`` / ``corr()``.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,59 +18,72 @@ from tickframe.functions.exprs import SQRT_YEAR, TRADING_DAYS, safe_div
 G = "_grp"
 
 
-def index_symbols(df: DataFrame, group: str, key: str = "symbol") -> DataFrame:
-    """(group, key, _i) with _i = 0..n-1 in key order inside each group (window over the
-    group's distinct symbols only)."""
-    d = df.select(group, key).distinct()
-    return d.withColumn("_i", F.dense_rank().over(Window.partitionBy(group).orderBy(key)) - 1)
+def index_symbols(df: DataFrame, group: str, key: str = "symbol", value: str = "r") -> DataFrame:
+    """(group, key, _mean, _i, _last): the symbol's mean value, its number 0 .. _last in key order inside its group (windows
+    over a row per symbol)."""
+    d = df.groupBy(group, key).agg(F.avg(value).alias("_mean"))
+    return d.withColumn("_i", F.dense_rank().over(Window.partitionBy(group).orderBy(key)) - 1).withColumn(
+        "_last", F.max("_i").over(Window.partitionBy(group)))
+
+
+_MOMENTS = ("n", "sx", "sy", "sxx", "syy", "sxy")
+
+
+def _block_moments(pdf):
+    """Moments of all pairs between two tiles of symbols over one block of dates, as matrix products."""
+    import numpy as np
+    import pandas as pd
+
+    first = pdf.iloc[0]
+    day, days = pd.factorize(pdf["_date"])
+    sides = []
+    for t in (first["_p"], first["_q"]):
+        mine = (pdf["_t"] == t).to_numpy()
+        number, names = pd.factorize(pdf["_i"][mine], sort=True)
+        x, has = np.zeros((len(days), len(names))), np.zeros((len(days), len(names)))
+        x[day[mine], number] = pdf["_x"][mine]
+        has[day[mine], number] = 1.0
+        sides.append((np.asarray(names), x, has))
+    (na, x, hx), (nb, y, hy) = sides
+    out = {"a": np.repeat(na, len(nb)), "b": np.tile(nb, len(na))}
+    for name, m in zip(_MOMENTS, (hx.T @ hy, x.T @ hy, hx.T @ y, (x * x).T @ hy, hx.T @ (y * y), x.T @ y)):
+        out[name] = m.ravel()
+    out = pd.DataFrame(out)
+    out.insert(0, "_group", first["_group"])
+    return out[out["n"] > 0]
 
 
 def pair_moments(df: DataFrame, group: str | None = None, key: str = "symbol", date: str = "date",
-                 value: str = "r", tile: int = 256) -> DataFrame:
-    """Long (group, a, b, n, sx, sy, sxx, syy, sxy) over dates where both a and b are present."""
+                 value: str = "r", tile: int = 256, days: int = 4096) -> DataFrame:
+    """Long (group, a, b, n, sx, sy, sxx, syy, sxy) over dates where both a and b are present; values are taken from
+    their symbol's mean first, so that large levels lose no digits.
+
+    A block outer product: symbols are numbered once, a row goes to the tile pairs (I <= J) of its tile, and each
+    (tile pair, block of dates) is a few matrix products over at most 2 * tile symbols x days dates.
+    """
     if group is None:
         df = df.withColumn(G, F.lit("all"))
         group = G
     df = df.filter(F.col(value).isNotNull())
-    idx = index_symbols(df, group, key)
-    size = idx.groupBy(group).agg(F.count("*").alias("_n"))
-    rows = (df.join(idx, [group, key]).groupBy(group, date)
-            .agg(F.map_from_entries(F.collect_list(F.struct("_i", value))).alias("_m")))
-    rows = rows.join(size, group).withColumn("_b", F.least(F.col("_n"), F.lit(tile)))
-    rows = rows.withColumn("_nt", F.ceil(F.col("_n") / F.col("_b")).cast("int"))
-    tiles = F.expr("flatten(transform(sequence(0, _nt - 1), I -> transform(sequence(I, _nt - 1), "
-                   "J -> named_struct('I', I, 'J', J))))")
-    # one dense, null-padded array per (group, date); tiles are slices of it (O(1) access)
-    dense = F.expr("transform(sequence(0, _nt * _b - 1), i -> _m[i])")
-    rows = rows.select(group, "_b", dense.alias("_x"), F.explode(tiles).alias("_t"))
-    rows = rows.select(group, "_b", "_t", F.expr("slice(_x, _t.I * _b + 1, _b)").alias("_xi"),
-                       F.expr("slice(_x, _t.J * _b + 1, _b)").alias("_xj"))
-    # six B*B arrays concatenated: [cnt | sx | sy | sxx | syy | sxy]
-    xa, ya = "_xi[CAST(k DIV _b AS INT)]", "_xj[CAST(k % _b AS INT)]"
-    both = f"({xa} IS NOT NULL AND {ya} IS NOT NULL)"
-    parts = [f"transform(sequence(0, _b * _b - 1), k -> IF({both}, {e}, 0D))" for e in
-             ("1D", xa, ya, f"{xa} * {xa}", f"{ya} * {ya}", f"{xa} * {ya}")]
-    vec = array_to_vector(F.expr("concat(" + ", ".join(parts) + ")"))
-    summed = (rows.select(group, "_b", F.col("_t.I").alias("_I"), F.col("_t.J").alias("_J"), vec.alias("_v"))
-              .groupBy(group, "_b", "_I", "_J").agg(Summarizer.sum(F.col("_v")).alias("_s")))
-    decode = ("transform(sequence(0, _b * _b - 1), k -> named_struct("
-              "'a', _I * _b + CAST(k DIV _b AS INT), 'b', _J * _b + CAST(k % _b AS INT), "
-              "'n', _s[k], 'sx', _s[_b * _b + k], 'sy', _s[2 * _b * _b + k], "
-              "'sxx', _s[3 * _b * _b + k], 'syy', _s[4 * _b * _b + k], 'sxy', _s[5 * _b * _b + k]))")
-    out = (summed.select(group, "_I", "_J", "_b", vector_to_array("_s").alias("_arr"))
-           .select(group, "_I", "_J", F.explode(F.expr(decode.replace("_s[", "_arr["))).alias("e")))
-    out = out.select(group, "_I", "_J", "e.*")
-    # the lower tiles mirror the upper ones
-    mirror = out.filter(F.col("_I") < F.col("_J")).select(
-        group, "_I", "_J", F.col("b").alias("a"), F.col("a").alias("b"), "n", F.col("sy").alias("sx"),
-        F.col("sx").alias("sy"), F.col("syy").alias("sxx"), F.col("sxx").alias("syy"), "sxy")
-    full = out.unionByName(mirror).join(size, group).filter((F.col("a") < F.col("_n")) & (F.col("b") < F.col("_n")))
-    ia = idx.select(group, F.col(key).alias("symbol_a"), F.col("_i").alias("a"))
-    ib = idx.select(group, F.col(key).alias("symbol_b"), F.col("_i").alias("b"))
-    res = full.join(ia, [group, "a"]).join(ib, [group, "b"])
-    cols = [group] if group != G else []
-    return res.select(*cols, "symbol_a", "symbol_b", F.col("n").cast("bigint").alias("n"),
-                      "sx", "sy", "sxx", "syy", "sxy")
+    idx = index_symbols(df, group, key, value)
+    rows = df.join(idx, [group, key]).select(
+        F.col(group).cast("string").alias("_group"), F.col(date).alias("_date"), "_i", (F.col(value) - F.col("_mean")).alias("_x"),
+        F.floor(F.col("_i") / tile).cast("int").alias("_t"), F.floor(F.col("_last") / tile).cast("int").alias("_tiles"),
+        F.floor(F.datediff(F.col(date).cast("date"), F.lit("1970-01-01").cast("date")) / days).cast("int").alias("_days"))
+    rows = rows.withColumn("_o", F.explode(F.sequence(F.lit(0), "_tiles"))).withColumns({"_p": F.least("_t", "_o"), "_q": F.greatest("_t", "_o")})
+    schema = "_group string, a bigint, b bigint, " + ", ".join(f"{m} double" for m in _MOMENTS)
+    out = rows.select("_group", "_date", "_i", "_x", "_t", "_p", "_q", "_days").groupBy("_group", "_p", "_q", "_days") \
+        .applyInPandas(_block_moments, schema).groupBy("_group", "a", "b").agg(*[F.sum(m).alias(m) for m in _MOMENTS])
+    # pairs between two tiles come once; their mirror follows
+    same = F.struct("a", "b", *_MOMENTS)
+    swap = F.struct(F.col("b").alias("a"), F.col("a").alias("b"), "n", F.col("sy").alias("sx"), F.col("sx").alias("sy"), F.col("syy").alias("sxx"),
+                    F.col("sxx").alias("syy"), "sxy")
+    one_tile = F.floor(F.col("a") / tile) == F.floor(F.col("b") / tile)
+    out = out.select("_group", F.explode(F.when(one_tile, F.array(same)).otherwise(F.array(same, swap))).alias("e")).select("_group", "e.*")
+    names = [idx.select(F.col(group).cast("string").alias("_group"), F.col(key).alias(f"symbol_{x}"), F.col("_i").cast("bigint").alias(x)) for x in "ab"]
+    res = out.join(names[0], ["_group", "a"]).join(names[1], ["_group", "b"])
+    cols = [F.col("_group").alias(group)] if group != G else []
+    return res.select(*cols, "symbol_a", "symbol_b", F.col("n").cast("bigint").alias("n"), "sx", "sy", "sxx", "syy", "sxy")
 
 
 def covariance_from_moments(m: DataFrame) -> DataFrame:
