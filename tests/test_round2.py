@@ -52,3 +52,14 @@ def test_dbscan_follows_long_chains(spark):
     pts = spark.createDataFrame([(f"p{i:04d}", [0.4 * i, 0.0]) for i in range(150)], "symbol string, x array<double>")
     got = dbscan(pts).groupBy("cluster").count().collect()
     assert [(r.cluster, r["count"]) for r in got] == [(0, 150)]
+
+
+def test_risk_budget_is_met(spark):
+    import numpy as np
+    from tickframe.functions.solvers import risk_parity
+    rng = np.random.default_rng(3)
+    a = rng.normal(size=(6, 6))
+    S, b = a @ a.T + np.eye(6), np.array([0.4, 0.2, 0.1, 0.1, 0.1, 0.1])
+    w, ok = risk_parity(S, b)
+    share = w * (S @ w) / (w @ S @ w)
+    assert ok and np.allclose(share, b, atol=1e-8) and abs(w.sum() - 1) < 1e-12

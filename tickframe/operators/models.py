@@ -200,14 +200,15 @@ def strategy_backtest(pred: DataFrame, key: str = "symbol", cost: float = TRANSA
         F.min("_dd").alias("max_drawdown"))
 
 
-def tree_model(train: DataFrame, cols, kind: str = "rf", seed: int = 42):
-    """M-08 / M-09: pooled random forest (100 trees, all features per split) or gradient-boosted
-    trees (100 rounds, depth 3, step 0.1) with Spark ML on unscaled features."""
+def tree_model(train: DataFrame, cols, kind: str = "rf", seed: int = 42, max_depth: int = 5):
+    """M-08 / M-09: pooled random forest (100 trees, all features per split, of depth ``max_depth``: at most 30 in Spark ML,
+    where the reference lets trees grow without a limit) or gradient-boosted trees (100 rounds, depth 3, step 0.1) with
+    Spark ML on unscaled features."""
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
     va = VectorAssembler(inputCols=list(cols), outputCol="features")
     if kind == "rf":
-        est = RandomForestRegressor(labelCol="target", numTrees=100, featureSubsetStrategy="all", seed=seed)
+        est = RandomForestRegressor(labelCol="target", numTrees=100, featureSubsetStrategy="all", maxDepth=max_depth, seed=seed)
     else:
         est = GBTRegressor(labelCol="target", maxIter=100, maxDepth=3, stepSize=0.1, seed=seed)
     model = est.fit(va.transform(train))

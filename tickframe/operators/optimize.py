@@ -3,8 +3,8 @@
 Spark computes each portfolio's sufficient statistics (mean vector, covariance rows --
 A-13 / A-14); every (portfolio, method, target) problem is one ``applyInPandas`` group
 holding only N x N covariance rows (N <= 50 by the portfolio rules), solved with the
-numpy helpers.  The efficient frontier explodes its target returns into independent
-groups, so 100 targets x many portfolios run in parallel.  The random-weight search
+numpy helpers.  The efficient frontier solves all target returns of a portfolio in that group, so its
+matrix moves once.  The random-weight search
 (O-09) stays entirely in the JVM: hash-seeded Dirichlet samples scored with array
 higher-order functions, best sample by ``max_by``.
 """
@@ -43,7 +43,11 @@ def _solver(method: str, rf_daily: float, legacy_rf: bool):
         elif method == "min_variance":
             w, ok = solvers.min_variance(S, mu, target)
         elif method == "risk_parity":
-            w, ok = solvers.risk_parity(S)
+            share = pdf.groupby("symbol_a")["share"].first().reindex(syms).to_numpy(dtype=float) if "share" in pdf else None
+            if share is not None and np.isfinite(share).all() and share.sum() > 0:
+                w, ok = solvers.risk_parity(S, share / share.sum())
+            else:
+                w, ok = solvers.risk_parity(S)
         else:
             raise ValueError(method)
         ret = float(mu @ w)
@@ -56,25 +60,27 @@ def _solver(method: str, rf_daily: float, legacy_rf: bool):
 
 
 def optimise(cov: DataFrame, mu: DataFrame, group: str, method: str = "max_sharpe",
-             rf: float = RISK_FREE / TRADING_DAYS, legacy_rf: bool = False) -> DataFrame:
+             rf: float = RISK_FREE / TRADING_DAYS, legacy_rf: bool = False, risk_shares: DataFrame | None = None) -> DataFrame:
     """O-01 (max_sharpe; Q-22 fixed: daily rf, ``legacy_rf`` compares with the annual rate as the
     reference does), O-02 (min_variance), O-05 (risk_parity); O-06 dispatches on ``method``."""
     rows = _problem_rows(cov, mu, group).withColumn("target", F.lit(None).cast("double"))
+    if risk_shares is not None:  # (group, symbol, share): target risk contributions of O-05, equal ones where any is missing
+        rows = rows.join(risk_shares.select(F.col(group).alias("group"), F.col("symbol").alias("symbol_a"), "share"), ["group", "symbol_a"], "left")
     out = rows.groupBy("group").applyInPandas(_solver(method, rf, legacy_rf), OUT_SCHEMA)
     return out.withColumnRenamed("group", group)
 
 
 def frontier(cov: DataFrame, mu: DataFrame, group: str, points: int = 100) -> DataFrame:
-    """O-03: minimum-variance portfolios at ``points`` target returns from min to max mean,
-    each target an independent group."""
-    rng = mu.groupBy(F.col(group).alias("group")).agg(F.min("expected_return").alias("lo"),
-                                                      F.max("expected_return").alias("hi"))
-    k = F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("k")
-    t = rng.select("group", k, "lo", "hi").select(
-        "group", "k", (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("k") / (points - 1)).alias("target"))
-    rows = _problem_rows(cov, mu, group).join(t, "group")
-    out = rows.groupBy("group", "k").applyInPandas(
-        lambda pdf: _solver("min_variance", 0.0, False)(pdf.drop(columns=["k"])), OUT_SCHEMA)
+    """O-03: minimum-variance portfolios at ``points`` target returns from min to max mean; a portfolio's matrix goes to
+    its task once and all its targets are solved there."""
+    solve = _solver("min_variance", 0.0, False)
+
+    def all_targets(pdf):
+        import pandas as pd
+        lo, hi = float(pdf["expected_return"].min()), float(pdf["expected_return"].max())
+        return pd.concat([solve(pdf.assign(target=lo + (hi - lo) * k / (points - 1))) for k in range(points)])
+
+    out = _problem_rows(cov, mu, group).groupBy("group").applyInPandas(all_targets, OUT_SCHEMA)
     return out.withColumnRenamed("group", group)
 
 

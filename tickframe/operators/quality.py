@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tickframe.functions.exprs import c
 
 # fixed values: symbol rule (alphabetic, 1..10 characters) and portfolio bounds
-SYMBOL_PATTERN = r"^[A-Z]{1,10}$"
+SYMBOL_PATTERN = r"^\p{L}{1,10}$"
 MIN_SYMBOLS, MAX_SYMBOLS = 1, 50
 MIN_WEIGHT, MAX_WEIGHT = 0.01, 1.0
 MIN_VALUE, MAX_VALUE = 1_000, 10_000_000

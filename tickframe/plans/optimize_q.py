@@ -49,6 +49,14 @@ def o05(spark, sf):
     return rounded(O.optimise(cov, mu, G, "risk_parity"), 9)
 
 
+@query("o05_risk_budget")
+def o05b(spark, sf):
+    """O-05 with target risk shares: contributions in proportion to the holdings' weights."""
+    v = Views(spark, sf)
+    cov, mu = _inputs(v)
+    return rounded(O.optimise(cov, mu, G, "risk_parity", risk_shares=v.holdings.select(G, "symbol", F.col("weight").alias("share"))), 9)
+
+
 @query("o06_optimise_dispatch")
 def o06(spark, sf):
     """O-06: every method's result summary {return, volatility, Sharpe} per portfolio."""
@@ -66,10 +74,12 @@ def o06(spark, sf):
 def o07(spark, sf):
     """O-07: prices -> returns -> complete dates -> max-Sharpe weights, persisted with
     value = weight * 100000 and read back (Q-24 fixed: the method stays in the name)."""
-    cov, mu = _inputs(Views(spark, sf))
-    w = O.optimise(cov, mu, G, "max_sharpe").select(
-        F.concat(F.col(G), F.lit(" / "), F.col("method")).alias(G), "symbol", "weight",
-        (F.col("weight") * 100000).alias("value"))
+    v = Views(spark, sf)
+    cov, mu = _inputs(v)
+    as_of = v.bars.agg(F.max("date").alias("date"))  # one row
+    w = O.optimise(cov, mu, G, "max_sharpe").join(F.broadcast(as_of)).select(
+        F.concat(F.col(G), F.lit(" / "), F.col("method")).alias(G), "date", "symbol", "weight",
+        (F.col("weight") * 100000).alias("value"), "converged")
     path = FS.write_table(w, FS.scratch(spark, "optimised_weights"))
     return rounded(spark.read.parquet(path), 6)
 

@@ -100,7 +100,7 @@ def f05(spark, sf):
 
 @query("f07_symbol_validation", with_views([], """
 WITH w AS (SELECT DISTINCT UNNEST(STRING_SPLIT(p_name, ' ')) AS raw FROM part)
-SELECT raw, UPPER(TRIM(raw)) AS symbol, REGEXP_MATCHES(UPPER(TRIM(raw)), '^[A-Z]{1,10}$') AS valid FROM w"""))
+SELECT raw, UPPER(TRIM(raw)) AS symbol, REGEXP_MATCHES(UPPER(TRIM(raw)), '^\\p{L}{1,10}$') AS valid FROM w"""))
 def f07(spark, sf):
     """F-07: normalise (strip, upper) and validate (alphabetic, 1..10 chars) candidate symbols;
     candidates are the words of every part name."""

@@ -316,6 +316,23 @@ def s28(spark, sf):
     return FS.apply_changes(cur, new.withColumn("sequence", F.lit(0)).unionByName(feed), key="name")
 
 
+@query("s27_run_keys", with_views(["holdings"], """
+SELECT portfolio_name, 'portfolio_analytics:' || md5('1992-01-01|1998-12-31|' || string_agg(symbol || '=' || printf('%.6f', weight), ',' ORDER BY symbol))
+         AS run_key,
+       replace(lower(portfolio_name), ' ', '_') AS strategy_key,
+       array_to_string([upper(w[1]) || lower(w[2:]) FOR w IN string_split(replace(replace(lower(portfolio_name), ' ', '_'), '_', ' '), ' ')], ' ') AS strategy_label
+FROM holdings GROUP BY portfolio_name"""))
+def s27k(spark, sf):
+    """Run key: MD5 over the date range and the sorted (symbol, weight) pairs; strategy names as keys (lower case,
+    underscores) and back as labels (title case)."""
+    pairs = F.transform(F.array_sort(F.collect_list(F.struct("symbol", "weight"))),
+                        lambda p: F.concat(p["symbol"], F.lit("="), F.format_string("%.6f", p["weight"])))
+    per = Views(spark, sf).holdings.groupBy("portfolio_name").agg(F.concat_ws(",", pairs).alias("pairs"))
+    key = F.replace(F.lower("portfolio_name"), F.lit(" "), F.lit("_"))
+    return per.select("portfolio_name", F.concat(F.lit("portfolio_analytics:"), F.md5(F.concat(F.lit("1992-01-01|1998-12-31|"), "pairs"))).alias("run_key"),
+                      key.alias("strategy_key"), F.initcap(F.replace(key, F.lit("_"), F.lit(" "))).alias("strategy_label"))
+
+
 @query("s29_result_tables", oround(with_views(["bars", "holdings"], f"""
 WITH a AS ({R17_SQL}),
 b AS ({R18_SQL})

@@ -14,11 +14,15 @@ from tickframe.streaming import ops as O
 from tickframe.streaming import runner as RUN
 from tickframe.streaming import stateful as ST
 
-MAP_SQL = "CASE event_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in O.METRIC_OF_EVENT.items()) + " END"
+# the oracles state the mapping, limits and edges themselves, so that a wrong constant in the code shows
+MAP_SQL = """CASE event_type WHEN 'view' THEN 'cpu_usage' WHEN 'click' THEN 'memory_usage' WHEN 'signup' THEN 'disk_usage'
+  WHEN 'purchase' THEN 'db_connection_time' WHEN 'error' THEN 'error_rate' END"""
+EDGES = [0.1, 0.5, 1.0, 2.0, 5.0, 10.0, 30.0, 60.0]
 SAMPLES = f"""s AS (SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, event_type, {MAP_SQL} AS metric,
   user_id AS instance, value, CAST(json_extract_string(props, '$.k') AS INTEGER) AS label FROM events)"""
-THRESH = "th(metric, lim, severity, title) AS (VALUES " + ", ".join(
-    f"('{m}', {lim}, '{sev}', '{t}')" for m, lim, sev, t in O.ALERT_THRESHOLDS) + ")"
+THRESH = """th(metric, lim, severity, title) AS (VALUES ('cpu_usage', 80.0, 'warning', 'High CPU usage'),
+  ('memory_usage', 85.0, 'warning', 'High memory usage'), ('disk_usage', 90.0, 'critical', 'High disk usage'),
+  ('db_connection_time', 5.0, 'warning', 'Slow database connection'), ('error_rate', 5.0, 'warning', 'High error rate'))"""
 
 
 def _ntz(df, *cols):
@@ -47,8 +51,8 @@ def st01(spark, sf):
 
 
 def _p95_sql():
-    cols = ", ".join(f"COUNT_IF(value / 10 <= {e}) AS c{i}" for i, e in enumerate(O.DURATION_BUCKETS))
-    e = O.DURATION_BUCKETS
+    cols = ", ".join(f"COUNT_IF(value / 10 <= {e}) AS c{i}" for i, e in enumerate(EDGES))
+    e = EDGES
     expr = f"{e[-1]}"
     for i in range(len(e) - 1, -1, -1):
         lo = 0.0 if i == 0 else e[i - 1]
@@ -216,7 +220,7 @@ def st11(spark, sf):
 
 
 BUCKET_COLS = ", ".join(f"CAST(COUNT_IF(value / 10 <= {e}) AS BIGINT) AS le_{str(e).replace('.', '_')}"
-                        for e in O.DURATION_BUCKETS)
+                        for e in EDGES)
 
 
 @query("st12_labelled_histograms", oround(f"""
