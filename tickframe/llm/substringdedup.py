@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from tickframe.llm import blocks as B
 from tickframe.llm.automaton import SuffixAutomaton
-from tickframe.llm.shared import bounded, merged
+from tickframe.llm.shared import bounded, merged, stored
 from tickframe.session import checkpoint_dir
 
 WINDOW, GRAM = 13, 5
@@ -137,12 +137,12 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     unique = docs.join(bounded(whole), "id", "left_anti")
     tuples = unique.mapInArrow(_tuples, _TUPLES)
     again = tuples.groupBy("gram").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("gram")
-    tuples = tuples.join(again, "gram", "left_semi").checkpoint()
-    kinds = tuples.groupBy("gram", "context").agg(F.min(F.struct("id", "at")).alias("one")).checkpoint()
+    tuples = stored(tuples.join(again, "gram", "left_semi"))
+    kinds = tuples.groupBy("gram", "context").agg(F.min(F.struct("id", "at")).alias("one")).transform(stored)
     several = kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
     picks = kinds.join(several, "gram").groupBy(F.col("one.id").alias("id")) \
-        .agg(F.collect_list(F.struct("gram", "context", F.col("one.at").alias("at"))).alias("picks")).checkpoint()
-    contexts = unique.join(bounded(picks, values="picks", row_bytes=64, limit=24 << 20), "id").select("id", "text", "picks").mapInArrow(_contexts, _CONTEXTS)
+        .agg(F.collect_list(F.struct("gram", "context", F.col("one.at").alias("at"))).alias("picks"))
+    contexts = unique.join(picks, "id").select("id", "text", "picks").mapInArrow(_contexts, _CONTEXTS)
     hot = several.where(F.col("kinds") > SPLIT).select("gram", F.lit(True).alias("hot"))
     dealt = contexts.join(hot, "gram", "left").mapInArrow(_deal, "gram bigint, part bigint, context bigint, id bigint, before bigint, words binary")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -186,7 +186,7 @@ def deduplicate(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.withColumn("id", F.coalesce("doc_id", F.lit(NO_ID) - F.pmod(F.xxhash64("text"), F.lit(1 << 40))))
     spans, whole = repeats(docs.select("id", "text"))
-    marks = spans.join(whole.withColumn("whole", F.lit(True)), "id", "full").checkpoint()
-    rows = docs.join(bounded(marks, values="starts", row_bytes=96, limit=24 << 20), "id", "left").select("doc_id", "text", "starts", "ends", "whole")
+    marks = spans.join(whole.withColumn("whole", F.lit(True)), "id", "full")
+    rows = docs.join(marks, "id", "left").select("doc_id", "text", "starts", "ends", "whole")
     schema = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string" + (", text string" if keep_text else "")
     return rows.mapInArrow(_cut(keep_text), schema)
