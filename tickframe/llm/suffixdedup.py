@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickframe.llm import blocks as B
-from tickframe.llm.shared import bounded, merged
+from tickframe.llm.shared import bounded, merged, stored
 from tickframe.session import checkpoint_dir
 
 LENGTH, GRAM = 400, 200
@@ -192,13 +192,13 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     unique = long.join(others, "id", "left_anti")
     tuples = unique.mapInArrow(_tuples, _TUPLES)
     again = tuples.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k1", "k2")
-    tuples = tuples.join(again, ["k1", "k2"], "left_semi").checkpoint()
-    kinds = tuples.groupBy("k1", "k2", "context").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "at")).alias("one")).checkpoint()
+    tuples = stored(tuples.join(again, ["k1", "k2"], "left_semi"))
+    kinds = tuples.groupBy("k1", "k2", "context").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "at")).alias("one")).transform(stored)
     several = kinds.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
     hot = several.where(F.col("kinds") > SPLIT).select("k1", "k2", F.lit(True).alias("hot"))
     picks = kinds.join(several.select("k1", "k2"), ["k1", "k2"], "left_semi").groupBy(F.col("one.id").alias("id")) \
-        .agg(F.collect_list(F.struct("k1", "k2", "context", F.col("one.at").alias("at"))).alias("picks")).checkpoint()
-    picked = unique.join(bounded(picks, values="picks", row_bytes=64, limit=24 << 20), "id")
+        .agg(F.collect_list(F.struct("k1", "k2", "context", F.col("one.at").alias("at"))).alias("picks"))
+    picked = unique.join(picks, "id")
     contexts = picked.select("text", "picks").mapInArrow(_contexts, "k1 bigint, k2 bigint, context bigint, front binary, back binary")
     sharded = _halves(contexts, hot)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -245,7 +245,7 @@ def deduplicate(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.withColumn("id", F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lit("no id"), "text")))
     spans, whole = repeats(docs.select("id", "text"))
-    marks = spans.join(whole.withColumn("whole", F.lit(True)), "id", "full").checkpoint()
-    rows = docs.join(bounded(marks, values="starts", row_bytes=96, limit=24 << 20), "id", "left").select("doc_id", "text", "starts", "ends", "whole")
+    marks = spans.join(whole.withColumn("whole", F.lit(True)), "id", "full")
+    rows = docs.join(marks, "id", "left").select("doc_id", "text", "starts", "ends", "whole")
     schema = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + (", text string" if keep_text else "")
     return rows.withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(_cut(keep_text), schema)
