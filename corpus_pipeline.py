@@ -36,7 +36,7 @@ def _recounted(docs: DataFrame, change: Callable[[DataFrame], DataFrame]) -> Dat
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = toxicity.train(*toxicity.sample(docs, _table(spark, sf_dir, "labels")))
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model, keep_text=True).where("predicted = 0").select(*docs.columns)
 
 

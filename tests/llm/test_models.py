@@ -60,9 +60,8 @@ def test_toxicity_of_held_out_texts_and_misspellings(spark):
     rows, test = _toxic_rows(rng, 250), _toxic_rows(rng, 120, 1000)
     docs = spark.createDataFrame([(d, t) for d, t, _ in rows], "doc_id long, text string")
     labels = spark.createDataFrame([(d, y) for d, _, y in rows] + [(5, None), (None, 1)], "doc_id long, toxic int")
-    texts, y = toxicity.sample(docs, labels)
-    assert len(texts) == 250
-    model = toxicity.train(texts, y)
+    assert toxicity.sample(docs, labels).count() == 250
+    model = toxicity.fit(docs, labels)
     frame = spark.createDataFrame([(d, t, "x") for d, t, _ in test] + [(5000, None, "x"), (5001, "", "x"), (5002, "kalo grumbbel mire", "x")], "doc_id long, text string, score string")
     got = {r.doc_id: r for r in toxicity.score(frame, model).collect()}
     assert np.mean([got[d].predicted == y for d, _, y in test]) > 0.95

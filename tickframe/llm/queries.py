@@ -84,7 +84,7 @@ def op3_toxicity(spark, sf_dir):
     """Toxicity score of every document, learned from labelled documents of folds 1 to 4 of 5."""
     docs = _read(spark, sf_dir, "documents")
     held_out = F.coalesce(_fold(5) == 0, F.lit(False))
-    model = toxicity.train(*toxicity.sample(docs, _read(spark, sf_dir, "labels").where(~held_out)))
+    model = toxicity.fit(docs, _read(spark, sf_dir, "labels").where(~held_out))
     return toxicity.score(docs.select("doc_id", held_out.alias("held_out"), "text"), model)
 
 

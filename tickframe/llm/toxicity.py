@@ -133,6 +133,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 0) -> dict:
         np.maximum.at(best, doc, z)
         if step >= 2:
             target = np.where((y_doc > 0) & (z < np.minimum(0.0, best[doc])), 0.5, y_doc)  # 0.5: not used this round
+    del features
     features, starts, doc = _bags(texts, SCORE_WINDOW)
     best = np.full(len(texts), -np.inf)
     np.maximum.at(best, doc, _means(per_bucket, features, starts))
@@ -142,8 +143,13 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 0) -> dict:
 
 
 def _means(per_bucket, features, starts):
-    sums = np.concatenate([[0.0], np.cumsum(per_bucket[features])])
-    return (sums[starts[1:]] - sums[starts[:-1]]) / np.maximum(np.diff(starts), 1)
+    """Mean of every window, in chunks of windows."""
+    out = np.zeros(starts.size - 1)
+    for lo in range(0, out.size, 1 << 16):
+        part = starts[lo:lo + (1 << 16) + 1]
+        sums = np.concatenate([[0.0], np.cumsum(per_bucket[features[part[0]:part[-1]]])])
+        out[lo:lo + part.size - 1] = (sums[part[1:] - part[0]] - sums[part[:-1] - part[0]]) / np.maximum(np.diff(part), 1)
+    return out
 
 
 def _threshold(score: np.ndarray, labels: np.ndarray) -> float:
@@ -156,15 +162,29 @@ def _threshold(score: np.ndarray, labels: np.ndarray) -> float:
     return float(s[0] - 1 if k == 0 else s[-1] + 1 if k == s.size else (s[k - 1] + s[k]) / 2)
 
 
-def sample(docs: DataFrame, labels: DataFrame, text: str = "text") -> tuple[list[str], np.ndarray]:
-    """The bounded training sample of docs (doc_id, text) and labels (doc_id, toxic)."""
+def sample(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
+    """The bounded training sample (doc_id, text, toxic) of docs (doc_id, text) and labels (doc_id, toxic)."""
     one = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     picks = [one.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for k, n in ((1, MAX_POSITIVE), (0, MAX_NEGATIVE))]
     chosen = F.broadcast(picks[0].unionByName(picks[1]))  # at most MAX_POSITIVE + MAX_NEGATIVE rows
-    rows = docs.where((F.octet_length(text) <= MAX_TRAIN_BYTES) & (F.octet_length(text) > 0)) \
+    return docs.where((F.octet_length(text) <= MAX_TRAIN_BYTES) & (F.octet_length(text) > 0)) \
         .select("doc_id", F.col(text).alias("text")).join(chosen, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
-    got = rows.orderBy("doc_id").collect()
-    return [r.text for r in got], np.array([r.toxic for r in got], np.int64)
+
+
+def _train_task(batches):
+    """All of the bounded sample in one task -> one row, the model."""
+    rows = sorted((r["doc_id"], r["text"], r["toxic"]) for b in batches for r in b.to_pylist())
+    model = train([t for _, t, _ in rows], np.array([y for *_, y in rows], np.int64))
+    yield pa.RecordBatch.from_pydict({"weight": pa.array([model["weight"].astype(np.float64).tobytes()], pa.binary()),
+                                      "bias": pa.array([model["bias"]], pa.float64()), "constant": pa.array([model["constant"]], pa.float64())})
+
+
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text") -> dict:
+    """The model trained on the sample; a task trains it, the driver gets BUCKETS numbers."""
+    got = sample(docs, labels, text).select("doc_id", "text", "toxic").coalesce(1).mapInArrow(_train_task, "weight binary, bias double, constant double").collect()
+    if not got:
+        return train([], np.zeros(0, np.int64))
+    return {"weight": np.frombuffer(got[0].weight), "bias": got[0].bias, "constant": got[0].constant}
 
 
 def _score_task(model, text: str, keep_text: bool):
