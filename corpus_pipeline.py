@@ -35,18 +35,26 @@ def _recounted(docs: DataFrame, change: Callable[[DataFrame], DataFrame]) -> Dat
     return after.withColumn("n_chars", (F.col("n_chars") + size - F.col("_before")).cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
+def _short_batches(spark: SparkSession) -> None:
+    """Fewer rows in an Arrow batch: texts are long, and the JVM and the Python workers of an executor each hold batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _short_batches(spark)
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model, keep_text=True).where("predicted = 0").select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _short_batches(spark)
     groups = ngramjoin.link_components(docs)
     others = groups.where("doc_id <> component_id").select("doc_id").distinct().checkpoint()
     return docs.join(bounded(others), "doc_id", "left_anti").select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _short_batches(spark)
     return _recounted(docs, lambda d: decontaminate.clean(d, _table(spark, sf_dir, "benchmark")))
 
 
@@ -55,6 +63,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    _short_batches(spark)
     return bpe.encode(docs, vocabulary()).drop("text", "token_ends")
 
 

@@ -43,6 +43,7 @@ def blocks(batches, column: str, max_bytes: int = BLOCK_BYTES) -> Iterator[tuple
             hi = min(n, max(hi, lo + 1))
             yield batch.slice(lo, hi - lo), data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
             lo = hi
+    pa.default_memory_pool().release_unused()  # idle workers keep no batches
 
 
 def slices(mask: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
