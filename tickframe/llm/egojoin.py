@@ -2,7 +2,7 @@
 
 Cosine >= t between unit vectors means a Euclidean distance of at most eps = sqrt(2 - 2 t).  Vectors are projected on
 LEADING principal directions (fitted on a bounded sample of PCA_SAMPLE vectors; they steer the pruning only, never the
-result), sorted by grid cells of side eps on those, and cut into blocks of BLOCK consecutive vectors.  Pairs of blocks
+result), sorted by grid cells of side eps on those, and cut into blocks of consecutive vectors of BLOCK_BYTES.  Pairs of blocks
 meet only if their bounding boxes lie within eps; a task joins two blocks by halving the longer interval again and
 again, leaving out halves that are provably too far apart, and compares what is left in double precision.
 
@@ -27,7 +27,8 @@ from tickframe.llm.components import components
 from tickframe.session import checkpoint_dir
 
 THRESHOLD = 0.98
-LEADING, BLOCK, LEAF, PCA_SAMPLE = 6, 1024, 64, 20_000
+LEADING, BLOCK_BYTES, LEAF, PCA_SAMPLE = 6, 2 << 20, 64, 20_000
+LEAST_BLOCK = 256
 _SLACK = 1e-9
 
 
@@ -66,8 +67,8 @@ def _project(axes_shared, eps: float):
 
 
 def _cut(batches):
-    """Rows in grid order -> blocks of at most BLOCK rows of one label and length."""
-    held, key = [], None
+    """Rows in grid order -> blocks of at most BLOCK_BYTES (or LEAST_BLOCK rows) of one label and length."""
+    held, key, most = [], None, 0
 
     def block():
         at = np.array([r["at"] for r in held])
@@ -76,10 +77,10 @@ def _cut(batches):
                 "ats": [at.tobytes()], "vecs": [np.array([r["vec"] for r in held], np.float64).tobytes()]}
     for b in batches:
         for r in b.to_pylist():
-            if held and (len(held) == BLOCK or key != (r["label"], r["d"])):
+            if held and (len(held) >= most or key != (r["label"], r["d"])):
                 yield pa.RecordBatch.from_pydict(block(), schema=_BLOCKS)
                 held.clear()
-            key = (r["label"], r["d"])
+            key, most = (r["label"], r["d"]), max(LEAST_BLOCK, BLOCK_BYTES // (8 * r["d"]))
             held.append(r)
     if held:
         yield pa.RecordBatch.from_pydict(block(), schema=_BLOCKS)
