@@ -127,3 +127,20 @@ def test_secrets_with_given_findings(spark):
     got = secretscan.scan(docs, findings=labelled)
     assert {r.value for r in got.where("secret").select("value").distinct().collect()} >= {"4111111111111111"}
     assert got.where(F.col("value").isin(list(keys.values())) & F.col("secret") & ~F.col("value").startswith("4")).count() == 0
+
+
+def test_every_run_of_a_token_is_a_candidate(spark):
+    aws, gh, a, b = "AKIA" + "Q7" * 8, "ghp_" + "a1B2" * 9, "0f" * 10, "9e" * 10
+    texts = {1: f'{{"aws":"{aws}","gh":"{gh}"}}', 2: f"https://h.io/x?token={a}&session={b}", 3: f"({aws})", 4: f"see `{aws}`, then", 5: f"<token>{gh}</token>",
+             6: f"schlüssel→{aws}", 7: f"[{a};{b}]", 8: f"my_api_key_for_tests={a}"}
+    docs = spark.createDataFrame([(k, t, "p") for k, t in texts.items()], "doc_id long, text string, source string")
+    got = {}
+    for r in secretscan.candidates(docs).collect():
+        got.setdefault(r.doc_id, {})[r.value] = r
+    want = {1: [aws, gh], 2: [a, b], 3: [aws], 4: [aws], 5: [gh], 6: [aws], 7: [a, b], 8: [a]}
+    assert all(set(got[k]) >= set(v) for k, v in want.items())
+    assert [got[1][v].name for v in (aws, gh)] == ["aws", "gh"] and all(got[1][v].quoted for v in (aws, gh))
+    assert [got[2][v].name for v in (a, b)] == ["token", "session"] and got[2][b].address and not got[1][aws].address
+    assert got[5][gh].name == "token" and got[8][a].name == "my_api_key_for_tests" and got[4][aws].before == "see" and got[4][aws].after == "then"
+    clean = {r.doc_id: r.text for r in secretscan.redact(docs).collect()}
+    assert not any(v in clean[k] for k, vs in want.items() for v in vs if v in (aws, gh) or k in (2, 8) and v == a)

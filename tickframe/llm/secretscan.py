@@ -1,6 +1,7 @@
 """Secret scan: candidates by form, false positives removed by a random forest; DataFrame functions only.
 
-A candidate is a run of at least MIN_LENGTH key characters in a white-space token.  Its features: length, shares of
+A candidate is a run of at least MIN_LENGTH key characters, each run of a white-space token on its own; its name and
+neighbours are the words next to it, in the token or beside it.  Its features: length, shares of
 digits and upper case, transitions between character classes, coverage by dictionary words, its path, and the words
 around it.  The dictionary holds the words that make at least DICTIONARY_SHARE of all words of all documents (so at
 most 1 / DICTIONARY_SHARE words).  The forest is trained on labelled findings: those given, or, without any, the
@@ -27,26 +28,50 @@ MAX_BROADCAST_DOCS = 1_000_000
 _KEY = r"[A-Za-z0-9+/_\-]"
 _LOWER, _UPPER, _DIGIT = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 _SPACE = r"[\x20\x09-\x0D]+"
+_RUN, _NEAR = _KEY + "{%d,}" % MIN_LENGTH, 300
+_DIVIDERS = r"[\"'`<>(){}\[\],;|\\]+"
+_NAME = r"([A-Za-z0-9_\-]+)[\"'`\\\])]*\s*(?:[=:]+>?|>)\s*[\"'`\\(\[{]*$"  # at the end of what stands before a value; of its last _NEAR characters
+_LAST_WORD = r"([\p{L}\p{N}_\-]+)[^\p{L}\p{N}]*$"
 _SECRET_NAMES = r"(?i)(token|secret|passw|pwd|api_?key|access_?key|auth|credential|private)"
 FEATURES = ["length", "digits", "uppers", "to_digit", "to_letter", "case_turns", "distinct_share", "coverage", "path_test", "path_config",
             "named", "assigned", "quoted", "mail_or_url", "word_before", "word_after"]
 
 
+def _get(array: str, at: Column) -> Column:
+    return F.coalesce(F.get(array, at), F.lit(""))
+
+
 def candidates(docs: DataFrame, path: str = "source", text: str = "text") -> DataFrame:
-    """A row per candidate: doc_id, mark (hash of the text), at (token number), value, name, before, after, quoted, token, path."""
+    """A row per candidate: doc_id, mark (hash of the text), at (token, part and run number), value, name, before, after, quoted, address, path."""
     words = F.split(F.coalesce(F.col(text), F.lit("")), _SPACE)
     rows = docs.select("doc_id", F.xxhash64(text).alias("mark"), F.coalesce(F.col(path).cast("string"), F.lit("")).alias("path"), words.alias("w"))
-    hit = lambda i: (F.length(F.get("w", i)) >= MIN_LENGTH) & F.get("w", i).rlike(_KEY + "{%d}" % MIN_LENGTH)
-    rows = rows.withColumn("at", F.explode(F.filter(F.sequence(F.lit(0), F.size("w") - 1), hit)))
-    word = lambda k: F.coalesce(F.get("w", F.col("at") + k), F.lit(""))
-    rows = rows.select("doc_id", "mark", "path", "at", word(0).alias("token"), word(-1).alias("prev"), word(-2).alias("prev2"), word(1).alias("after"))
-    own = F.regexp_extract("token", r"([A-Za-z0-9_\-]+)[\"']?[=:]", 1)
-    bare = F.col("prev").rlike(r"^[=:]+$")
+    hits = lambda a: F.explode(F.filter(F.sequence(F.lit(0), F.size(a) - 1), lambda i: F.get(a, i).rlike(_RUN)))
+    rows = rows.withColumn("t", hits("w"))
+    t = F.col("t")
+    rows = rows.select("doc_id", "mark", "path", "t", _get("w", t).alias("token"), _get("w", t - 1).alias("prev"), _get("w", t - 2).alias("prev2"),
+                       _get("w", t + 1).alias("next"))
+    # a token's parts (one address, word or value each) and what divides them
+    rows = rows.select("*", F.split("token", _DIVIDERS).alias("c"), F.regexp_extract_all("token", F.lit(_DIVIDERS), F.lit(0)).alias("d")).drop("token")
+    rows = rows.withColumn("p", hits("c"))
+    p = F.col("p")
+    rows = rows.select(
+        "doc_id", "mark", "path", "t", "p", _get("c", p).alias("part"), _get("c", p + 1).alias("part_after"), "next",
+        F.concat(_get("c", p - 2), _get("d", p - 2), _get("c", p - 1), _get("d", p - 1)).alias("lead"),
+        F.when(p <= 1, F.concat_ws(" ", "prev2", "prev", F.lit(""))).otherwise("").alias("far"),
+        F.when(F.col("prev").rlike(r"^[=:]+$"), F.col("prev2")).otherwise(F.col("prev")).alias("word"))
+    rows = rows.select("*", F.regexp_extract_all("part", F.lit(_RUN), F.lit(0)).alias("v"), F.split("part", _RUN).alias("g"),
+                       F.col("part").rlike(r"://|@|^www\.").alias("address")).drop("part")
+    rows = rows.select("*", F.posexplode("v").alias("r", "value"))
+    r = F.col("r")
+    rows = rows.withColumns({"lead": F.concat(F.when(r == 0, F.col("lead")).otherwise(_get("v", r - 1)), _get("g", r)),
+                             "rest": F.concat(_get("g", r + 1), _get("v", r + 1), F.lit(" "), F.when(r + 1 == F.size("v"), F.col("part_after")).otherwise(""))})
+    near, letters = F.regexp_extract(F.right("lead", F.lit(_NEAR)), _LAST_WORD, 1), F.regexp_extract("rest", r"(\p{L}[\p{L}\p{N}_\-]*)", 1)
     return rows.select(
-        "doc_id", "mark", "path", "at", "token", F.regexp_extract("token", r"^(?:.*[=:\"'])?(" + _KEY + "{%d,})" % MIN_LENGTH, 1).alias("value"),
-        F.when(own != "", own).when(bare, F.col("prev2")).when(F.col("prev").rlike(r"[=:]$"), F.col("prev")).otherwise("").alias("name"),
-        F.when(bare, F.col("prev2")).otherwise(F.col("prev")).alias("before"), "after",
-        F.col("token").rlike("[\"']" + _KEY + "{%d}" % MIN_LENGTH).alias("quoted")).where("value <> ''").distinct()
+        "doc_id", "mark", "path", F.array("t", "p", "r").alias("at"), "value",
+        F.regexp_extract(F.right(F.when(r == 0, F.concat("far", "lead")).otherwise(F.col("lead")), F.lit(_NEAR)), _NAME, 1).alias("name"),
+        F.when(near == "", F.col("word")).otherwise(near).alias("before"),
+        F.when(letters == "", F.col("next")).otherwise(letters).alias("after"),
+        F.col("lead").rlike("[\"'`]$").alias("quoted"), "address").distinct()
 
 
 def dictionary(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -78,7 +103,7 @@ def features(found: DataFrame, known: DataFrame) -> DataFrame:
         "case_turns": share("l(?=U)") + share("U(?=l)"), "distinct_share": F.size(F.array_distinct(F.split(v, ""))) / size,
         "coverage": F.least(F.lit(1.0), F.coalesce("covered", F.lit(0)) / size), "path_test": yes(F.col("path").rlike("(?i)test|example|sample|mock|fixture")),
         "path_config": yes(F.col("path").rlike(r"(?i)\.env|config|settings|credential|\.ya?ml|\.pem")), "named": yes(F.col("name").rlike(_SECRET_NAMES)),
-        "assigned": yes(F.col("name") != ""), "quoted": yes(F.col("quoted")), "mail_or_url": yes(F.col("token").rlike(r"://|@|^www\."))}).drop("covered")
+        "assigned": yes(F.col("name") != ""), "quoted": yes(F.col("quoted")), "mail_or_url": yes(F.col("address"))}).drop("covered")
 
 
 def label_findings(found: DataFrame) -> DataFrame:
@@ -88,7 +113,7 @@ def label_findings(found: DataFrame) -> DataFrame:
     mixed = v.rlike("[0-9]") & v.rlike("[A-Za-z]")
     keyed = v.rlike(r"^(AKIA|ASIA)[A-Z0-9]{16}$") | v.rlike(r"^gh[pousr]_[A-Za-z0-9]{36}$")
     return found.withColumn("label", F.when(keyed | (F.col("name").rlike(_SECRET_NAMES) & mixed), 1)
-                            .when(~v.rlike("[0-9]") | v.rlike(r"^[0-9\-/+]+$") | F.col("token").rlike("://|@"), 0))
+                            .when(~v.rlike("[0-9]") | v.rlike(r"^[0-9\-/+]+$") | F.col("address"), 0))
 
 
 def scan(docs: DataFrame, findings: DataFrame | None = None, path: str = "source", text: str = "text") -> DataFrame:
