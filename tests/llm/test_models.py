@@ -144,3 +144,23 @@ def test_every_run_of_a_token_is_a_candidate(spark):
     assert got[5][gh].name == "token" and got[8][a].name == "my_api_key_for_tests" and got[4][aws].before == "see" and got[4][aws].after == "then"
     clean = {r.doc_id: r.text for r in secretscan.redact(docs).collect()}
     assert not any(v in clean[k] for k, vs in want.items() for v in vs if v in (aws, gh) or k in (2, 8) and v == a)
+
+
+def test_values_after_a_name_at_any_length_and_dotted_runs(spark):
+    jwt = ".".join(["eyJhbGciOiJIUzI1NiJ9", "eyJzdWIiOiIxMjM0NTY3ODkwIn0", "dBjftJeZ4CVP-mB92K27uhbUJU1p1r_wW1gFWFOEjXk"])
+    texts = {1: ("password=hunter2!xyz ok", "hunter2!xyz"), 2: ('{"db_password":"p@55$w.rd~1","x":1}', "p@55$w.rd~1"), 3: (f"Authorization: Bearer {jwt}.", jwt),
+             4: (f"session {jwt} end", jwt), 5: ("api_key = 'Ab%9'", "Ab%9"), 6: ("<password>Zy9!k.2m</password>", "Zy9!k.2m"), 7: ("u?token=q1w2e3r4&n=5", "q1w2e3r4")}
+    docs = spark.createDataFrame([(k, t, "p") for k, (t, _) in texts.items()] + [(50 + k, f"words kalomirekalomireka{k} kalo lo", "p") for k in range(9)]
+                                 + [(80 + k, "kalomirekalomireka mi", "p") for k in range(9)], "doc_id long, text string, source string")
+    got = {}
+    for r in secretscan.candidates(docs).collect():
+        got.setdefault(r.doc_id, []).append(r.value)
+    assert all(got[k] == [v] for k, (_, v) in texts.items()), got
+    clean = {r.doc_id: r.text for r in secretscan.redact(docs).collect()}
+    assert all(clean[k] == texts[k][0].replace(texts[k][1], "[SECRET]") for k in (1, 2, 3, 6, 7)), clean
+
+
+def test_short_secrets_are_masked_where_they_follow_their_name(spark):
+    docs = spark.createDataFrame([(1, "pwd=ab1 cab12 pwd=ab12x", "p")], "doc_id long, text string, source string")
+    found = secretscan.features(secretscan.candidates(docs), secretscan.dictionary(docs)).withColumn("label", F.lit(1))
+    assert [r.text for r in secretscan.redact(docs, findings=found).collect()] == ["pwd=[SECRET] cab12 pwd=[SECRET]"]

@@ -1,7 +1,9 @@
 """Secret scan: candidates by form, false positives removed by a random forest; DataFrame functions only.
 
-A candidate is a run of at least MIN_LENGTH key characters, each run of a white-space token on its own; its name and
-neighbours are the words next to it, in the token or beside it.  Its features: length, shares of
+Candidates are the values after a secret's name, of any length and any characters but blanks (to the closing quote; a bare one
+to a next pair's divider, without closing brackets and stops), and all other runs of at least MIN_LENGTH key characters, segments
+joined by single dots being one run.  The name and neighbours are the words next to the value, in its token or beside it.
+Its features: length, shares of
 digits and upper case, transitions between character classes, coverage by dictionary words, its path, and the words
 around it.  The dictionary holds the words that make at least DICTIONARY_SHARE of all words of all documents (so at
 most 1 / DICTIONARY_SHARE words).  The forest is trained on labelled findings: those given, or, without any, the
@@ -23,17 +25,25 @@ from pyspark.sql import functions as F
 from tickframe.session import checkpoint_dir
 
 MIN_LENGTH, DICTIONARY_SHARE, MAX_FINDINGS, THRESHOLD = 14, 1e-5, 5000, 0.5
+LABEL_LENGTH = 8  # a shorter value after a secret's name has no label by rule; the forest decides
 TREES, DEPTH, SEED = 20, 6, 7
 MAX_BROADCAST_DOCS = 1_000_000
 _KEY = r"[A-Za-z0-9+/_\-]"
 _LOWER, _UPPER, _DIGIT = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 _SPACE = r"[\x20\x09-\x0D]+"
-_RUN, _NEAR = _KEY + "{%d,}" % MIN_LENGTH, 300
+_RUN, _NEAR = r"[A-Za-z0-9+/_\-.]{%d,}" % MIN_LENGTH, 300
+_OUTER_DOT = r"\.(?!" + _KEY + ")|(?<!" + _KEY + r")\."  # a dot that joins no two key characters
 _DIVIDERS = r"[\"'`<>(){}\[\],;|\\]+"
 _NAME = r"([A-Za-z0-9_\-]+)[\"'`\\\])]*\s*(?:[=:]+>?|>)\s*[\"'`\\(\[{]*$"  # at the end of what stands before a value; of its last _NEAR characters
+_FIRST_WORD = r"(\p{L}[\p{L}\p{N}_\-]*)"
 _LAST_WORD = r"([\p{L}\p{N}_\-]+)[^\p{L}\p{N}]*$"
-_SECRET_NAMES = r"(?i)(token|secret|passw|pwd|api_?key|access_?key|auth|credential|private)"
-FEATURES = ["length", "digits", "uppers", "to_digit", "to_letter", "case_turns", "distinct_share", "coverage", "path_test", "path_config",
+_NAMES, _SCHEMES = "token|secret|passw|pwd|api_?key|access_?key|auth|credential|private", r"(?:(?:bearer|basic|token)[\x20\x09-\x0D]+)?"
+_SECRET_NAMES = "(?i)(" + _NAMES + ")"
+# a secret's name, what assigns (=, :, an element's >), and the opening quote: the value follows
+_LEAD = ("(?i)(?=[acpst])(?:" + _NAMES + r")[A-Za-z0-9_\-]{0,200}+[\"'`\\\])]{0,4}(?:[\x20\x09-\x0D]*[=:]+>?[\x20\x09-\x0D]*|>)"
+         r"(?:[brfu]{0,2}\\?[\"'`])?" + _SCHEMES)
+_TAKEN, _OTHER_DOT = "\x01", "\x02"
+FEATURES = ["length", "digits", "uppers", "to_digit", "to_letter", "case_turns", "distinct_share", "signs", "coverage", "path_test", "path_config",
             "named", "assigned", "quoted", "mail_or_url", "word_before", "word_after"]
 
 
@@ -41,14 +51,56 @@ def _get(array: str, at: Column) -> Column:
     return F.coalesce(F.get(array, at), F.lit(""))
 
 
+def _value(lead: Column, rest: Column) -> Column:
+    """The value at the start of rest: to its closing quote, its element's end, or a blank, without what divides it from a next pair or closes a sentence."""
+    quote = F.regexp_extract(lead, "([\"'`])" + "(?i)" + _SCHEMES + "$", 1)
+    upto = lambda ends: F.regexp_extract(rest, r"^[^\x20\x09-\x0D" + ends + "]+", 0)
+    bare = F.regexp_replace(F.regexp_replace(upto("\"'`"), "</.*$", ""), r"[&,;][{\[]*[\w.\-]+[=:].*$", "")
+    out = F.when(lead.endswith(">") & ~lead.endswith("=>"), upto("<"))
+    for q in "\"'`":
+        out = out.when(quote == q, F.rtrim(upto(q), F.lit("\\")))
+    return out.otherwise(F.rtrim(bare, F.lit(".,;:&)]}\\")))
+
+
+def _split_named(docs: DataFrame, path: str, text: str) -> DataFrame:
+    """doc_id, mark, path, found (lead, value, rest after it, name of each value that follows a secret's name), start (text before the first)."""
+    whole = F.coalesce(F.col(text), F.lit(""))
+    rows = docs.select("doc_id", F.xxhash64(text).alias("mark"), F.coalesce(F.col(path).cast("string"), F.lit("")).alias("path"),
+                       F.regexp_extract_all(whole, F.lit(_LEAD), F.lit(0)).alias("leads"), F.split(whole, _LEAD).alias("parts"))
+    pair = lambda lead, i: F.struct(lead.alias("lead"), _value(lead, F.get("parts", i + 1)).alias("value"), F.get("parts", i + 1).alias("rest"),
+                                    F.concat(F.regexp_extract(F.right(F.get("parts", i), F.lit(_NEAR)), r"[A-Za-z0-9_\-]*$", 0),
+                                             F.regexp_extract(lead, r"^[A-Za-z0-9_\-]+", 0)).alias("name"))
+    return rows.select("doc_id", "mark", "path", F.transform("leads", pair).alias("found"), F.get("parts", F.lit(0)).alias("start"))
+
+
+def _named(rows: DataFrame) -> DataFrame:
+    """The values after a secret's name, of any length and of any characters but blanks."""
+    rows = rows.select("doc_id", "mark", "path", F.posexplode("found").alias("k", "f")).where(F.col("f.value").rlike(r"[\p{L}\p{N}]"))
+    value, rest = F.col("f.value"), F.col("f.rest")
+    return rows.select("doc_id", "mark", "path", F.array(F.lit(-1), "k", F.lit(0)).alias("at"), value.alias("value"), F.col("f.name").alias("name"),
+                       F.col("f.name").alias("before"), F.regexp_extract(F.substr(rest, F.length(value) + 1, F.lit(_NEAR)), _FIRST_WORD, 1).alias("after"),
+                       F.col("f.lead").rlike("[\"'`](?i)" + _SCHEMES + "$").alias("quoted"),
+                       value.rlike(r"://|^[\w.+\-]+@[\w\-]+(\.[\w\-]+)+$").alias("address"), F.col("f.lead").alias("lead"))
+
+
 def candidates(docs: DataFrame, path: str = "source", text: str = "text") -> DataFrame:
-    """A row per candidate: doc_id, mark (hash of the text), at (token, part and run number), value, name, before, after, quoted, address, path."""
-    words = F.split(F.coalesce(F.col(text), F.lit("")), _SPACE)
-    rows = docs.select("doc_id", F.xxhash64(text).alias("mark"), F.coalesce(F.col(path).cast("string"), F.lit("")).alias("path"), words.alias("w"))
+    """A row per candidate: doc_id, mark (hash of the text), at (token, part and run number, or -1, the number of the name, 0), value, name, before,
+    after, quoted, address, lead (the characters from the name to the value; empty for a run), path."""
+    rows = _split_named(docs, path, text)
+    # a value that may hold others stays in the text, too
+    kept = lambda f: F.when(f.value.rlike(r"[,;{}\[\]()|<>]|://"), f.rest).otherwise(
+        F.concat(F.when(f.value == "", "").otherwise(_TAKEN), F.substr(f.rest, F.length(f.value) + 1)))
+    others = rows.select("doc_id", "mark", "path", F.concat("start", F.array_join(F.transform("found", lambda f: F.concat(f.lead, kept(f))), "")).alias("text"))
+    return _named(rows).unionByName(_runs(others)).distinct()
+
+
+def _runs(rows: DataFrame) -> DataFrame:
+    """The runs of key characters in text, dotted ones as one."""
+    rows = rows.select("doc_id", "mark", "path", F.split("text", _SPACE).alias("w"))
     hits = lambda a: F.explode(F.filter(F.sequence(F.lit(0), F.size(a) - 1), lambda i: F.get(a, i).rlike(_RUN)))
     rows = rows.withColumn("t", hits("w"))
     t = F.col("t")
-    rows = rows.select("doc_id", "mark", "path", "t", _get("w", t).alias("token"), _get("w", t - 1).alias("prev"), _get("w", t - 2).alias("prev2"),
+    rows = rows.select("doc_id", "mark", "path", "t", F.regexp_replace(_get("w", t), _OUTER_DOT, _OTHER_DOT).alias("token"), _get("w", t - 1).alias("prev"), _get("w", t - 2).alias("prev2"),
                        _get("w", t + 1).alias("next"))
     # a token's parts (one address, word or value each) and what divides them
     rows = rows.select("*", F.split("token", _DIVIDERS).alias("c"), F.regexp_extract_all("token", F.lit(_DIVIDERS), F.lit(0)).alias("d")).drop("token")
@@ -65,13 +117,13 @@ def candidates(docs: DataFrame, path: str = "source", text: str = "text") -> Dat
     r = F.col("r")
     rows = rows.withColumns({"lead": F.concat(F.when(r == 0, F.col("lead")).otherwise(_get("v", r - 1)), _get("g", r)),
                              "rest": F.concat(_get("g", r + 1), _get("v", r + 1), F.lit(" "), F.when(r + 1 == F.size("v"), F.col("part_after")).otherwise(""))})
-    near, letters = F.regexp_extract(F.right("lead", F.lit(_NEAR)), _LAST_WORD, 1), F.regexp_extract("rest", r"(\p{L}[\p{L}\p{N}_\-]*)", 1)
+    near, letters = F.regexp_extract(F.right("lead", F.lit(_NEAR)), _LAST_WORD, 1), F.regexp_extract("rest", _FIRST_WORD, 1)
     return rows.select(
         "doc_id", "mark", "path", F.array("t", "p", "r").alias("at"), "value",
         F.regexp_extract(F.right(F.when(r == 0, F.concat("far", "lead")).otherwise(F.col("lead")), F.lit(_NEAR)), _NAME, 1).alias("name"),
         F.when(near == "", F.col("word")).otherwise(near).alias("before"),
         F.when(letters == "", F.col("next")).otherwise(letters).alias("after"),
-        F.col("lead").rlike("[\"'`]$").alias("quoted"), "address").distinct()
+        F.col("lead").rlike("[\"'`]$").alias("quoted"), "address", F.lit("").alias("lead"))
 
 
 def dictionary(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -101,19 +153,19 @@ def features(found: DataFrame, known: DataFrame) -> DataFrame:
     return out.withColumns({
         "length": size, "digits": share("d"), "uppers": share("U"), "to_digit": share("[lU](?=d)"), "to_letter": share("d(?=[lU])"),
         "case_turns": share("l(?=U)") + share("U(?=l)"), "distinct_share": F.size(F.array_distinct(F.split(v, ""))) / size,
-        "coverage": F.least(F.lit(1.0), F.coalesce("covered", F.lit(0)) / size), "path_test": yes(F.col("path").rlike("(?i)test|example|sample|mock|fixture")),
+        "signs": share("[^lUd]"), "coverage": F.least(F.lit(1.0), F.coalesce("covered", F.lit(0)) / size), "path_test": yes(F.col("path").rlike("(?i)test|example|sample|mock|fixture")),
         "path_config": yes(F.col("path").rlike(r"(?i)\.env|config|settings|credential|\.ya?ml|\.pem")), "named": yes(F.col("name").rlike(_SECRET_NAMES)),
         "assigned": yes(F.col("name") != ""), "quoted": yes(F.col("quoted")), "mail_or_url": yes(F.col("address"))}).drop("covered")
 
 
 def label_findings(found: DataFrame) -> DataFrame:
-    """found plus label: 1 for provider key forms and hexadecimal or mixed values assigned to a secret's name; 0 for
+    """found plus label: 1 for provider key forms and mixed values of LABEL_LENGTH assigned to a secret's name; 0 for
     values without digits, of digits alone, in addresses; null where no rule decides."""
     v = F.col("value")
     mixed = v.rlike("[0-9]") & v.rlike("[A-Za-z]")
-    keyed = v.rlike(r"^(AKIA|ASIA)[A-Z0-9]{16}$") | v.rlike(r"^gh[pousr]_[A-Za-z0-9]{36}$")
-    return found.withColumn("label", F.when(keyed | (F.col("name").rlike(_SECRET_NAMES) & mixed), 1)
-                            .when(~v.rlike("[0-9]") | v.rlike(r"^[0-9\-/+]+$") | F.col("address"), 0))
+    keyed = v.rlike(r"(^|\.)(AKIA|ASIA)[A-Z0-9]{16}(\.|$)") | v.rlike(r"(^|\.)gh[pousr]_[A-Za-z0-9]{36}(\.|$)")
+    return found.withColumn("label", F.when(keyed | (F.col("name").rlike(_SECRET_NAMES) & mixed & (F.length(v) >= LABEL_LENGTH)), 1)
+                            .when(~v.rlike("[0-9]") | v.rlike(r"^[0-9\-/+.]+$") | F.col("address"), 0))
 
 
 def scan(docs: DataFrame, findings: DataFrame | None = None, path: str = "source", text: str = "text") -> DataFrame:
@@ -154,11 +206,17 @@ def report(docs: DataFrame, **options) -> DataFrame:
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]", **options) -> DataFrame:
-    """docs with every secret value in the text replaced by mark; all rows stay."""
-    found = _per_document(scan(docs, **options)).where("n_secrets > 0").select("doc_id", "mark", F.array_distinct("secrets").alias("secrets")).checkpoint()
+    """docs with every secret value in the text replaced by mark, a value of less than MIN_LENGTH only after its name; all rows stay."""
+    hit = F.array_distinct(F.collect_list(F.struct((-F.length(F.concat("lead", "value"))).alias("size"), "lead", "value")))
+    found = scan(docs, **options).where("secret").groupBy("doc_id", "mark").agg(F.sort_array(hit).alias("secrets")).checkpoint()
     if found.count() <= MAX_BROADCAST_DOCS:  # beyond that the join shuffles
         found = F.broadcast(found)
-    clean = F.aggregate(F.sort_array("r.secrets", False), F.col("l.text"), lambda text, s: F.replace(text, s, F.lit(mark)))
+    # longest first: values where they follow their name, then those of MIN_LENGTH wherever they stand
+    named = F.filter("r.secrets", lambda s: s.lead != "")
+    alone = F.filter("r.secrets", lambda s: F.length(s.value) >= MIN_LENGTH)
+    clean = F.aggregate(named, F.col("l.text"), lambda text, s: F.replace(text, F.concat(s.lead, s.value), F.concat(s.lead, F.lit(mark))))
+    clean = F.aggregate(F.array_sort(F.array_distinct(F.transform(alone, lambda s: F.struct((-F.length(s.value)).alias("size"), s.value.alias("value"))))),
+                        clean, lambda text, s: F.replace(text, s.value, F.lit(mark)))
     rows = docs.alias("l").join(found.alias("r"), _same("doc_id", "doc_id") & (F.xxhash64("l.text") == F.col("r.mark")), "left")
     return rows.select(*[F.when(F.col("r.secrets").isNull(), F.col("l.text")).otherwise(clean).alias("text") if c == "text" else F.col(f"l.`{c}`")
                          for c in docs.columns])
