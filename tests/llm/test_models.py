@@ -164,3 +164,13 @@ def test_short_secrets_are_masked_where_they_follow_their_name(spark):
     docs = spark.createDataFrame([(1, "pwd=ab1 cab12 pwd=ab12x", "p")], "doc_id long, text string, source string")
     found = secretscan.features(secretscan.candidates(docs), secretscan.dictionary(docs)).withColumn("label", F.lit(1))
     assert [r.text for r in secretscan.redact(docs, findings=found).collect()] == ["pwd=[SECRET] cab12 pwd=[SECRET]"]
+
+
+def _words_of(text):
+    data = np.frombuffer(text.encode(), np.uint8)
+    return int(toxicity.subwords(data, np.array([0, data.size]), C.Classes(), 1)[2][-1])
+
+
+def test_toxicity_keeps_digits_and_signs_in_words():
+    assert [_words_of(t) for t in ("m0ron", "tr@sh!", "$hit a$$le", "it costs $100, ok", "12 !?", "Abc, d\u00e9f x")] == [1, 1, 2, 3, 0, 3]
+

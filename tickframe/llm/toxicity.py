@@ -1,7 +1,8 @@
 """Toxicity: bags of subwords, embedded, averaged and fed to a linear softmax; embeddings and weights are trained jointly.
 
 Training cuts a text into windows of WINDOW words, scoring into windows of SCORE_WINDOW, so a few toxic words weigh the
-same in a short and in a very long text.  A window's features are its words and their character 3- to 5-grams (word edges marked), hashed to BUCKETS rows of
+same in a short and in a very long text.  A word is a run of letters, digits and the SIGNS that stand before one of them, with at
+least one letter.  A window's features are its words and their character 3- to 5-grams (word edges marked), hashed to BUCKETS rows of
 the embedding; misspellings share most of their n-grams with the words that were seen.  A document's score comes
 from its most toxic window.  The softmax is linear in the averaged embeddings, so for scoring every bucket reduces to
 one number (embedding times weight difference) and whole texts are scored by one gather and one mean per window.
@@ -28,16 +29,39 @@ from tickframe.llm import codepoints as C
 
 BITS, DIM, WINDOW, SCORE_WINDOW = 17, 8, 24, 1
 BUCKETS = 1 << BITS
+SIGNS = "@$!*#+|'"
 ORDERS = (3, 4, 5)
 MAX_POSITIVE, MAX_NEGATIVE, MAX_TRAIN_BYTES = 1000, 1200, 32_768
 ROUNDS, MIN_STEPS, BATCH, RATE = 4, 300, 512, 0.05
 
 
+def _in_words(classes: C.Classes, cps: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Lower-case letters, digits and signs of words, blanks for all else."""
+    x, number = classes.folded(cps), classes.kinds(cps) == C.NUMBER
+    letter = x != 0x20
+    if not cps.size:
+        return x
+    ahead = np.append((letter | number)[1:], False)
+    ahead[rows[1:][rows[1:] > 0] - 1] = False
+    sign = np.isin(cps, np.array([ord(c) for c in SIGNS], cps.dtype))
+    for _ in range(2):  # a sign before a sign, as in a$$le
+        ahead |= np.append((sign & ahead)[1:], False) & sign
+        ahead[rows[1:][rows[1:] > 0] - 1] = False
+    inside = letter | number | (sign & ahead)
+    starts, ends, _ = B.slices(inside, rows)
+    sums = np.concatenate([[0], np.cumsum(letter)])
+    some = np.zeros(cps.size + 1, np.int64)
+    good = sums[ends] > sums[starts]
+    np.add.at(some, starts[good], 1)
+    np.add.at(some, ends[good], -1)
+    return np.where(np.cumsum(some[:-1]) > 0, np.where(letter, x, cps), 0x20).astype(x.dtype)
+
+
 def subwords(data: np.ndarray, offsets: np.ndarray, classes: C.Classes, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(feature buckets, window of each feature, first window of each row and one past the last); windows in row order."""
     at, cps = C.decode(data)
     rows = np.searchsorted(at, offsets)
-    x = classes.folded(cps)
+    x = _in_words(classes, cps, rows)
     letter = x != 0x20
     starts, ends, firsts = B.slices(letter, rows)
     n_windows = -(-np.diff(firsts) // window)
