@@ -174,3 +174,17 @@ def _words_of(text):
 def test_toxicity_keeps_digits_and_signs_in_words():
     assert [_words_of(t) for t in ("m0ron", "tr@sh!", "$hit a$$le", "it costs $100, ok", "12 !?", "Abc, d\u00e9f x")] == [1, 1, 2, 3, 0, 3]
 
+
+def test_toxicity_sample_refills_and_keeps_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MAX_POSITIVE", 5)
+    monkeypatch.setattr(toxicity, "MAX_NEGATIVE", 5)
+    long_text = " ".join(f"w{k}" for k in range(12_000))
+    docs = spark.createDataFrame([(k, long_text if k % 2 else "kalo mi") for k in range(10)] + [(k, "") for k in range(10, 40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(400)], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.sample(docs, labels).collect()}
+    want = {k for k in range(10) if k % 3 == 0}
+    assert {d for d, r in got.items() if r.toxic} == want and len(got) == len(want) + 5
+    odd = [r.text for d, r in got.items() if d % 2]
+    places = [[int(w[1:]) for w in t.split()] for t in odd]
+    assert odd and all(0.9 * toxicity.MAX_TRAIN_BYTES < len(t.encode()) <= toxicity.MAX_TRAIN_BYTES + 16 for t in odd)
+    assert all(p == sorted(p) and p[0] < 1_500 and p[-1] > 10_000 for p in places)

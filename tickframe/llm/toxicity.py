@@ -7,8 +7,8 @@ the embedding; misspellings share most of their n-grams with the words that were
 from its most toxic window.  The softmax is linear in the averaged embeddings, so for scoring every bucket reduces to
 one number (embedding times weight difference) and whole texts are scored by one gather and one mean per window.
 
-Fit: on a bounded sample of labelled documents, MAX_POSITIVE and MAX_NEGATIVE documents by least hash of doc_id, each
-of at most MAX_TRAIN_BYTES.  A toxic document tells only that some window is toxic: the first rounds count all its
+Fit: on a bounded sample of labelled documents, MAX_POSITIVE and MAX_NEGATIVE documents by least hash of doc_id, of those
+that have a text with a letter; of a text over MAX_TRAIN_BYTES, pieces from hash-chosen places all over it.  A toxic document tells only that some window is toxic: the first rounds count all its
 windows as toxic, later ones those that the model finds toxic, or its most toxic one.
 
 Defined results: null or empty texts and texts without a letter get the score of the prior window (no features);
@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickframe.llm import blocks as B
@@ -31,7 +31,7 @@ BITS, DIM, WINDOW, SCORE_WINDOW = 17, 8, 24, 1
 BUCKETS = 1 << BITS
 SIGNS = "@$!*#+|'"
 ORDERS = (3, 4, 5)
-MAX_POSITIVE, MAX_NEGATIVE, MAX_TRAIN_BYTES = 1000, 1200, 32_768
+MAX_POSITIVE, MAX_NEGATIVE, MAX_TRAIN_BYTES, PIECES = 1000, 1200, 32_768, 8
 ROUNDS, MIN_STEPS, BATCH, RATE = 4, 300, 512, 0.05
 
 
@@ -186,13 +186,25 @@ def _threshold(score: np.ndarray, labels: np.ndarray) -> float:
     return float(s[0] - 1 if k == 0 else s[-1] + 1 if k == s.size else (s[k - 1] + s[k]) / 2)
 
 
+def _pieces(text: str) -> Column:
+    """The text, or, of one longer than MAX_TRAIN_BYTES, PIECES pieces of about that size together, one at a hash-chosen place of each PIECES-th of it."""
+    t, n = F.col(text), F.length(text)
+    each = F.floor(F.lit(MAX_TRAIN_BYTES // PIECES) * n / F.octet_length(text)).cast("int")
+    part = F.floor(n / PIECES).cast("int")
+    at = lambda k: (k * part + F.pmod(F.xxhash64("doc_id", k), part - each + 1)).cast("int")
+    piece = lambda k: F.regexp_replace(F.substr(t, at(k) + 1, each), r"^\S{1,40}\s|\s\S{1,40}$", " ")
+    return F.when(F.octet_length(text) <= MAX_TRAIN_BYTES, t).otherwise(F.array_join(F.transform(F.sequence(F.lit(0), F.lit(PIECES - 1)), piece), " "))
+
+
 def sample(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
-    """The bounded training sample (doc_id, text, toxic) of docs (doc_id, text) and labels (doc_id, toxic)."""
+    """The bounded training sample (doc_id, text, toxic) of docs (doc_id, text) and labels (doc_id, toxic); only labels of documents with letters count."""
+    docs = docs.where(F.col("doc_id").isNotNull() & F.col(text).rlike(r"\p{L}"))
     one = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    one = one.join(docs.select("doc_id"), "doc_id", "left_semi")
     picks = [one.where(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for k, n in ((1, MAX_POSITIVE), (0, MAX_NEGATIVE))]
     chosen = F.broadcast(picks[0].unionByName(picks[1]))  # at most MAX_POSITIVE + MAX_NEGATIVE rows
-    return docs.where((F.octet_length(text) <= MAX_TRAIN_BYTES) & (F.octet_length(text) > 0)) \
-        .select("doc_id", F.col(text).alias("text")).join(chosen, "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
+    return docs.join(chosen, "doc_id").select("doc_id", _pieces(text).alias("text"), "toxic") \
+        .groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"))
 
 
 def _train_task(batches):
