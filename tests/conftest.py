@@ -1,11 +1,7 @@
-import os
-import sys
 import tempfile
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -15,5 +11,3 @@ def spark():
     yield s
     s.stop()
 
-
-SF_SMALL = "/root/testdata/sf0.001"

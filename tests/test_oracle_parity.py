@@ -3,7 +3,7 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from small import SF_SMALL
 from oracle_harness import compare, duck
 
 KEYS = ["r17_portfolio_analytics", "r18_backtest", "r11_risk_metrics", "r12_risk_attribution", "s23_indicator_table",

@@ -5,7 +5,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from small import SF_SMALL
 from tickframe.sources.tables import table
 from tickframe.streaming import ops as O
 from tickframe.streaming import runner as R
