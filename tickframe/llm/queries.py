@@ -8,7 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickframe.llm import bpe, decontaminate, egojoin, langid, ngramjoin, secretscan, substringdedup, suffixdedup, toxicity, warc
+from tickframe.llm import (bpe, decontaminate, egojoin, filteraudit, langid, multiindex, ngramjoin, resample, secretscan, substringdedup,
+                           suffixdedup, toxicity, warc)
 from tickframe.session import checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +165,63 @@ FROM d LEFT JOIN k ON d.doc_id = k.doc_id
 def op8_substring_dedup(spark, sf_dir):
     """Words of each document left after all repeats of 13 words from smaller documents are removed."""
     return substringdedup.deduplicate(_read(spark, sf_dir, "documents"))
+
+
+@_query()
+def op11_multi_index_hashing(spark, sf_dir):
+    """The 20 nearest vectors by inner product of every vector whose id is divisible by 20."""
+    return multiindex.nearest(_read(spark, sf_dir, "embeddings"))
+
+
+_ALL_FEATURES = "unnest(list_concat(w, [w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]))"
+
+
+@_query(f"""
+WITH tab AS (SELECT list(x ORDER BY i) AS t FROM (SELECT i, list_reduce(list_prepend(i::BIGINT, [0::BIGINT FOR _ IN range(8)]),
+  lambda c, b: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS x FROM (SELECT unnest(range(256)) AS i))),
+d AS (SELECT doc_id, row_number() OVER () AS r, {_ITEM_WORDS} AS w FROM documents),
+b AS (SELECT {_ITEM_WORDS} AS w FROM benchmark),
+dc AS (SELECT r, f, count(*) AS n FROM (SELECT r, {_ALL_FEATURES} AS f FROM d) GROUP BY 1, 2),
+bc AS (SELECT f, count(*) AS n FROM (SELECT {_ALL_FEATURES} AS f FROM b) GROUP BY 1),
+u AS (SELECT f, hex(encode(f)) AS h FROM (SELECT f FROM dc UNION SELECT f FROM bc)),
+k AS (SELECT f, xor(list_reduce(list_prepend(4294967295::BIGINT, [('0x' || h[2 * i + 1:2 * i + 2])::BIGINT FOR i IN range(len(h) // 2)]),
+  lambda c, x: xor(c >> 8, tab.t[(xor(c, x) & 255) + 1])), 4294967295) % 10000 AS q FROM u, tab),
+s AS (SELECT q, sum(n)::DOUBLE AS s FROM dc JOIN k USING (f) GROUP BY q),
+t AS (SELECT q, sum(n)::DOUBLE AS t FROM bc JOIN k USING (f) GROUP BY q),
+z AS (SELECT (SELECT coalesce(sum(s), 0) FROM s) AS bs, (SELECT coalesce(sum(t), 0) FROM t) AS bt),
+g AS (SELECT s.q, floor(1000 * ln((coalesce(t, 0) + 1) * (bs + 10000) / ((s + 1) * (bt + 10000)))) AS g FROM s LEFT JOIN t ON s.q = t.q, z),
+m AS (SELECT r, floor(sum(n * g) / sum(n))::BIGINT AS weight FROM dc JOIN k USING (f) JOIN g USING (q) GROUP BY r),
+e AS (SELECT doc_id, len(w) AS words, greatest(2 * len(w) - 1, 0)::BIGINT AS n_features, coalesce(weight, 0) AS weight,
+      coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+      FROM d LEFT JOIN m ON d.r = m.r),
+o AS (SELECT *, words >= 20 AND doc_id IS NOT NULL AS can, row_number() OVER (PARTITION BY words >= 20 AND doc_id IS NOT NULL ORDER BY score DESC, doc_id) AS p,
+      count(*) FILTER (words >= 20 AND doc_id IS NOT NULL) OVER () AS n FROM e)
+SELECT doc_id, n_features, weight, score, CASE WHEN can AND p <= 25 * n // 100 THEN p END AS rank FROM o
+""")
+def op12_importance_resample(spark, sf_dir):
+    """Documents weighed by how much more often their words and word pairs occur in the benchmark; a quarter drawn by Gumbel noise."""
+    return resample.resample(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+@_query(r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^ 	-]+') AS w FROM documents),
+l AS (SELECT doc_id, max((coalesce(quality, 0) = 1)::INT) AS good, max((coalesce(toxic, 0) = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+f AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, (len(w) < 100)::INT + 2 * (100 * len(list_distinct(w)) < 80 * len(w))::INT
+        + 4 * (100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t))::INT + 8 * regexp_matches(t, '[#$%&*|]')::INT
+        + 16 * coalesce(min(d.doc_id) OVER (PARTITION BY t) < d.doc_id, false)::INT AS mask
+      FROM d LEFT JOIN l ON d.doc_id = l.doc_id),
+c AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, mask),
+x AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(k, b)),
+o AS (SELECT a.k || b.k || c.k || d.k || e.k AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS bits FROM x a, x b, x c, x d, x e
+      WHERE a.b + b.b + c.b + d.b + e.b = 31 AND (a.b | b.b | c.b | d.b | e.b) = 31),
+s AS (SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0) AS before FROM (SELECT *, unnest(range(1, 6)) AS step FROM o)),
+r AS (SELECT part, filter_order, step::INT AS step, bit, coalesce(sum(n) FILTER (mask & before = 0 AND mask & bit = 0), 0)::BIGINT AS kept,
+        coalesce(sum(n) FILTER (mask & before = 0 AND mask & bit > 0), 0)::BIGINT AS removed, coalesce(sum(n) FILTER (mask & before > 0 AND mask & bit > 0), 0)::BIGINT AS redundant,
+        coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails, coalesce(sum(good) FILTER (mask & before = 0 AND mask & bit > 0), 0)::BIGINT AS good_lost,
+        coalesce(sum(toxic) FILTER (mask & before = 0 AND mask & bit > 0), 0)::BIGINT AS toxic_lost
+      FROM c, s GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, sum(removed) OVER (PARTITION BY part, bit)::BIGINT AS shapley FROM r
+""")
+def op13_filter_audit(spark, sf_dir):
+    """What five filters remove from each language, in every order."""
+    return filteraudit.audit(spark, f"{sf_dir.rstrip('/')}/documents.parquet", _read(spark, sf_dir, "labels"))
