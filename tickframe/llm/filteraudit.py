@@ -7,9 +7,11 @@ arrives, the rows counted without E are retracted from the counters of their par
 
 Per micro-batch: masks in native expressions (the text goes no further), labels joined by id, then each task combines its
 rows: of a digest only the rows of the task's least id go to the state, all others are copies already and leave as plain
-counts.  So a text that a third of all rows share sends one row per task to its key, and a state value holds a least id and a
-count per part.  Every micro-batch writes its summed changes (part, mask, labels: a few rows) under its own epoch, which
-a repeated epoch overwrites; the counters are the sum of all changes.  State is in RocksDB and commits below the checkpoint.
+counts.  So a text that a third of all rows share sends one row per task to the state, which holds a least id and a count per
+part for it.  A state key stands for about DIGESTS digests (their number of keys grows with the table's rows), since a key costs
+some milliseconds a micro-batch whatever it holds.  Every micro-batch writes its summed changes (part, mask, labels: a few
+rows) under its own epoch, which a repeated epoch overwrites; the counters are the sum of all changes.  The state store is
+the session's (set RocksDB there for states beyond the executors' memory) and commits below the checkpoint folder.
 
 From the counters (32 masks per part) every number of every order follows: filters before a step are a mask of bits.
 
@@ -23,6 +25,7 @@ from __future__ import annotations
 
 import itertools
 import json
+import random
 import uuid
 
 import pyarrow as pa
@@ -35,13 +38,9 @@ from tickframe.session import checkpoint_dir
 
 FILTERS = "ABCDE"
 COPY = 16  # bit of filter E
-MICRO_BATCHES = 4
+MICRO_BATCHES, DIGESTS = 4, 256
 _HELD = 100_000
 _WORD_GAP = r"[\x20\x09-\x0D]+"
-_STATE_STORE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-                "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-                "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-                "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256"}
 
 
 def text_mask(text: Column) -> Column:
@@ -66,81 +65,88 @@ def label_flags(labels: DataFrame, doc_id: str = "doc_id") -> DataFrame:
     return labels.where(F.col(doc_id).isNotNull()).groupBy(F.col(doc_id).cast("long").alias("doc_id")).agg(flag("quality"), flag("toxic"))
 
 
-_COMBINED = "key string, doc_id bigint, part string, mask int, good int, toxic int, n bigint"
-_COMBINED_ARROW = pa.schema([("key", pa.string()), ("doc_id", pa.int64()), ("part", pa.string()), ("mask", pa.int32()), ("good", pa.int32()),
+_COMBINED = "key bigint, digest string, doc_id bigint, part string, mask int, good int, toxic int, n bigint"
+_COMBINED_ARROW = pa.schema([("key", pa.int64()), ("digest", pa.string()), ("doc_id", pa.int64()), ("part", pa.string()), ("mask", pa.int32()), ("good", pa.int32()),
                              ("toxic", pa.int32()), ("n", pa.int64())])
 
 
-def _combine(batches):
+def _combine(keys: int):
     """Rows of a task -> per digest the rows of its least id, by part; all other rows as counts that need no state."""
-    least: dict[str, list] = {}
-    counts: dict[tuple, int] = {}
-
-    def count(part, mask, good, toxic, n=1):
-        key = (part, mask, good, toxic)
-        counts[key] = counts.get(key, 0) + n
-
-    def emit():
-        rows = [(digest, i, part, mask, good, toxic, n) for digest, (i, mask, good, toxic, parts) in least.items() for part, n in parts.items()]
-        # a key of their own for counts: they pass the stateful step without a state, spread over its tasks
-        rows += [(f"+{uuid.uuid4().hex[:8]}", None, *key, n) for key, n in counts.items()]
-        least.clear()
-        counts.clear()
-        for lo in range(0, len(rows), 10_000):
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[lo:lo + 10_000]), _COMBINED_ARROW)], schema=_COMBINED_ARROW)
-    for b in batches:
-        for i, part, digest, mask, good, toxic in zip(*(b.column(c).to_pylist() for c in ("doc_id", "part", "digest", "mask", "good", "toxic"))):
-            if i is None:
-                count(part, mask, good, toxic)
-                continue
-            held = least.get(digest)
-            if held is None:
-                least[digest] = [i, mask, good, toxic, {part: 1}]
-            elif i == held[0]:
-                held[4][part] = held[4].get(part, 0) + 1
-            elif i > held[0]:
-                count(part, mask | COPY, good, toxic)
-            else:
-                for p, n in held[4].items():
-                    count(p, mask | COPY, held[2], held[3], n)
-                least[digest] = [i, mask, good, toxic, {part: 1}]
-        if len(least) >= _HELD:
-            yield from emit()
-    yield from emit()
+    def task(batches):
+        least: dict[str, list] = {}
+        counts: dict[tuple, int] = {}
+
+        def count(part, mask, good, toxic, n=1):
+            key = (part, mask, good, toxic)
+            counts[key] = counts.get(key, 0) + n
+
+        def emit():
+            rows = [(int(digest[:15], 16) % keys, digest, i, part, mask, good, toxic, n)
+                    for digest, (i, mask, good, toxic, parts) in least.items() for part, n in parts.items()]
+            # counts have a negative key of their own: they pass the stateful step without a state, spread over its tasks
+            rows += [(-1 - random.getrandbits(40), None, None, *key, n) for key, n in counts.items()]
+            least.clear()
+            counts.clear()
+            for lo in range(0, len(rows), 10_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows[lo:lo + 10_000]), _COMBINED_ARROW)], schema=_COMBINED_ARROW)
+        for b in batches:
+            for i, part, digest, mask, good, toxic in zip(*(b.column(c).to_pylist() for c in ("doc_id", "part", "digest", "mask", "good", "toxic"))):
+                held = least.get(digest)
+                if i is None:
+                    count(part, mask, good, toxic)
+                elif held is None:
+                    least[digest] = [i, mask, good, toxic, {part: 1}]
+                elif i == held[0]:
+                    held[4][part] = held[4].get(part, 0) + 1
+                elif i > held[0]:
+                    count(part, mask | COPY, good, toxic)
+                else:
+                    for p, n in held[4].items():
+                        count(p, mask | COPY, held[2], held[3], n)
+                    least[digest] = [i, mask, good, toxic, {part: 1}]
+            if len(least) >= _HELD:
+                yield from emit()
+        yield from emit()
+    return task
 
 
 _CHANGES = "part string, mask int, good int, toxic int, n bigint"
-_STATE = "doc_id bigint, mask int, good int, toxic int, parts string"
+_STATE = "texts string"
+
+
+def arrived(texts: dict, digest: str, i: int, part: str, mask: int, good: int, toxic: int, n: int):
+    """Changes of the counters as n rows of one id and digest arrive; texts has each digest's least id and what it was counted as."""
+    held = texts.get(digest)
+    if held is not None and i > held[0]:
+        yield part, mask | COPY, good, toxic, n
+        return
+    if held is not None and i < held[0]:
+        for p, m in held[4].items():  # retract, count again as copies
+            yield p, held[1], held[2], held[3], -m
+            yield p, held[1] | COPY, held[2], held[3], m
+        held = None
+    if held is None:
+        held = texts[digest] = [i, mask, good, toxic, {}]
+    held[4][part] = held[4].get(part, 0) + n
+    yield part, mask, good, toxic, n
 
 
 def _update(key, frames, state):
-    """Changes of the counters when rows of one digest arrive; the state keeps the least id and what it was counted as."""
+    """Changes of the counters, summed, when rows of the digests of one key arrive."""
     import pandas as pd
 
-    out = []
-    if key[0].startswith("+"):
+    if key[0] < 0:
         for f in frames:
             yield f[["part", "mask", "good", "toxic", "n"]]
         return
-    held = None
-    if state.exists:
-        i, mask, good, toxic, parts = state.get
-        held = [i, mask, good, toxic, json.loads(parts)]
+    texts, out = json.loads(state.get[0]) if state.exists else {}, {}
     for f in frames:
-        for i, part, mask, good, toxic, n in zip(*(f[c].tolist() for c in ("doc_id", "part", "mask", "good", "toxic", "n"))):
-            i = int(i)
-            if held is not None and i > held[0]:
-                out.append((part, mask | COPY, good, toxic, n))
-                continue
-            if held is not None and i < held[0]:
-                for p, m in held[4].items():  # retract, count again as copies
-                    out += [(p, held[1], held[2], held[3], -m), (p, held[1] | COPY, held[2], held[3], m)]
-                held = None
-            held = held or [i, mask, good, toxic, {}]
-            held[4][part] = held[4].get(part, 0) + n
-            out.append((part, mask, good, toxic, n))
-    state.update((*held[:4], json.dumps(held[4])))
-    yield pd.DataFrame(out, columns=["part", "mask", "good", "toxic", "n"])
+        f["doc_id"] = f["doc_id"].astype("int64")
+        for row in zip(*(f[c].tolist() for c in ("digest", "doc_id", "part", "mask", "good", "toxic", "n"))):
+            for *cell, n in arrived(texts, *row):
+                out[tuple(cell)] = out.get(tuple(cell), 0) + n
+    state.update((json.dumps(texts, separators=(",", ":")),))
+    yield pd.DataFrame([(*cell, n) for cell, n in out.items() if n or not cell[1] & COPY], columns=["part", "mask", "good", "toxic", "n"])
 
 
 def counters(spark: SparkSession, path: str, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", part: str = "lang",
@@ -153,20 +159,12 @@ def counters(spark: SparkSession, path: str, labels: DataFrame, doc_id: str = "d
     files = f"{path[:-1]}[{path[-1]}]"  # as a pattern, so that a table of one file is streamed like a folder
     stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", per_batch).parquet(files)
     changes = marks(stream, known, doc_id, text, part).select("doc_id", "part", "digest", "mask", "good", "toxic") \
-        .mapInArrow(_combine, _COMBINED).groupBy("key").applyInPandasWithState(_update, _CHANGES, _STATE, "append", GroupStateTimeout.NoTimeout)
+        .mapInArrow(_combine(max(1, -(-table.count() // DIGESTS))), _COMBINED).groupBy("key").applyInPandasWithState(_update, _CHANGES, _STATE, "append", GroupStateTimeout.NoTimeout)
 
     def land(batch: DataFrame, epoch: int) -> None:
         batch.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n")).write.mode("overwrite").parquet(f"{folder}/changes/epoch={epoch}")
-    before = {k: spark.conf.get(k, None) for k in _STATE_STORE}
-    for k, v in _STATE_STORE.items():
-        spark.conf.set(k, v)
-    try:
-        query = changes.writeStream.foreachBatch(land).outputMode("append").option("checkpointLocation", f"{folder}/progress") \
-            .trigger(availableNow=True).start()
-        query.awaitTermination()
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    query = changes.writeStream.foreachBatch(land).outputMode("append").option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True).start()
+    query.awaitTermination()
     if query.lastProgress is None:  # no file, so no micro-batch and no folder of changes
         return spark.createDataFrame([], _CHANGES)
     return spark.read.schema(_CHANGES).parquet(f"{folder}/changes").groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n"))
