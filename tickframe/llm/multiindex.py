@@ -218,39 +218,49 @@ def _search(radius: int, k: int):
 
 
 def _true_neighbours(queries, k: int):
-    """Exact best k of each block for a few broadcast queries (d, key, vector, code), with their Hamming distances."""
+    """Exact best k of each block for a few broadcast queries, with their Hamming distances; none below a query's bound."""
     def task(batches):
         for batch in batches:
             for r in batch.to_pylist():
                 block, out = _Block(r), []
-                for n, (d, key, vec, code) in enumerate(queries.value):
+                for n, (d, key, vec, code, bound) in enumerate(queries.value):
                     if d != block.d:
                         continue
                     score = (block.vecs * vec).sum(axis=1)
                     if key in block.keys:
                         score[block.keys.index(key)] = -np.inf
                     best = _best(score, block.least, k)
-                    best = best[np.isfinite(score[best])]
+                    best = best[np.isfinite(score[best]) & (score[best] >= bound)]
                     out += zip([n] * best.size, score[best].tolist(), hamming(block.codes[best], code).tolist())
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int32(), pa.float64(), pa.int32()))], names=["q", "score", "distance"])
     return task
 
 
-def _coders(rows: DataFrame) -> dict[int, Coder]:
-    """A coder for every vector length that occurs, fitted on at most SAMPLE vectors of all."""
+def _sample(rows: DataFrame) -> dict[int, tuple[list, np.ndarray]]:
+    """(keys, vectors) by length, of at most SAMPLE vectors of all."""
+    found: dict[int, list] = {}
+    for r in rows.select("d", "key", "vec").orderBy(F.xxhash64("key")).limit(SAMPLE).collect():
+        found.setdefault(r.d, []).append((bytes(r.key), r.vec))
+    return {d: ([k for k, _ in x], np.array([v for _, v in x], np.float64)) for d, x in found.items()}
+
+
+def _coders(rows: DataFrame, sample: dict) -> dict[int, Coder]:
+    """A coder for every vector length that occurs."""
     norms = {r.d: r.m for r in rows.groupBy("d").agg(F.max("norm").alias("m")).collect()}  # a row per length
-    sample: dict[int, list] = {}
-    for r in rows.select("d", "vec").orderBy(F.xxhash64("key")).limit(SAMPLE).collect():
-        sample.setdefault(r.d, []).append(r.vec)
-    return {d: Coder(np.array(sample.get(d, []), np.float64).reshape(-1, d), d, m) for d, m in norms.items()}
+    return {d: Coder(sample[d][1] if d in sample else np.zeros((0, d)), d, m) for d, m in norms.items()}
+
 
+def _calibrated(index: DataFrame, queries: DataFrame, coders, sample: dict, k: int) -> int:
+    """The Hamming radius within which KEPT of the true neighbours of CALIBRATION queries lie.
 
-def _calibrated(index: DataFrame, queries: DataFrame, coders, k: int) -> int:
-    """The Hamming radius within which KEPT of the true neighbours of CALIBRATION queries lie."""
+    The k-th best of the sample bounds a query's k-th best of all rows from below, so few rows leave the tasks."""
     spark = index.sparkSession
-    rows = queries.select("d", "key", "vec").orderBy(F.xxhash64("key")).limit(CALIBRATION).collect()
-    asked = [(r.d, bytes(r.key), np.array(r.vec), coders.value[r.d].codes(np.array([r.vec]), False)[0]) for r in rows]
+    asked = []
+    for r in queries.select("d", "key", "vec").orderBy(F.xxhash64("key")).limit(CALIBRATION).collect():
+        vec, (keys, known) = np.array(r.vec), sample.get(r.d, ([], np.zeros((0, r.d))))
+        score = np.sort([s for s, key in zip((known * vec).sum(axis=1).tolist(), keys) if key != bytes(r.key)])
+        asked.append((r.d, bytes(r.key), vec, coders.value[r.d].codes(vec[None, :], False)[0], score[-k] if score.size >= k else -np.inf))
     best = index.mapInArrow(_true_neighbours(spark.sparkContext.broadcast(asked), k), "q int, score double, distance int")
     place = F.row_number().over(Window.partitionBy("q").orderBy(F.desc("score"), "distance"))
     found = sorted(r.distance for r in best.withColumn("p", place).where(F.col("p") <= k).select("distance").collect())  # CALIBRATION * k rows
@@ -268,9 +278,10 @@ def nearest(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedd
                   .agg(F.first("d").alias("d"), F.first("vec").alias("vec"), F.max("norm").alias("norm"), F.array_sort(F.collect_list("vec_id")).alias("ids")))
     asked = rows.where(F.col("vec_id") % every == 0).select("vec_id", "key")
     queries = stored(reps.join(asked.select("key").distinct(), "key", "left_semi"))
-    coders = spark.sparkContext.broadcast(_coders(reps))  # a projection per vector length
+    sample = _sample(reps)
+    coders = spark.sparkContext.broadcast(_coders(reps, sample))  # a projection per vector length
     index = stored(reps.repartition(n, "key").sortWithinPartitions("d").mapInArrow(_blocks(coders, BLOCK_ROWS, True), _BLOCKS))
-    radius, best, open_ = _calibrated(index, queries, coders, k), None, queries
+    radius, best, open_ = _calibrated(index, queries, coders, sample, k), None, queries
     sizes = reps.groupBy("d").agg(F.sum(F.size("ids")).alias("rows"))
     while True:
         found = stored(_round(index, open_, coders, radius, k, n))
