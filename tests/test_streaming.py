@@ -9,6 +9,7 @@ from small import SF_SMALL
 from tickframe.sources.tables import table
 from tickframe.streaming import ops as O
 from tickframe.streaming import runner as R
+from tickframe.streaming import stateful as ST
 
 
 def _rows(df):
@@ -18,7 +19,7 @@ def _rows(df):
 def test_hourly_bars_stream_equals_batch(spark):
     ev = table(spark, SF_SMALL, "events")
     src = R.stage_events(ev, n_batches=3)
-    got = R.run(spark, src, O.ohlc_bars, "complete")
+    got = R.run(spark, src, O.ohlc_bars, "complete")  # append mode is held against SQL
     exp = O.ohlc_bars(O.as_samples(ev))
     assert _rows(got) == _rows(exp)
 
@@ -46,20 +47,56 @@ def test_late_rows_dropped_and_repeats_removed(spark):
     assert total == ev.count()
 
 
-def test_state_does_not_depend_on_arrow_batches(spark):
-    """A series' rows of one micro-batch may come in many Arrow batches and out of order."""
-    from tickframe.streaming import stateful as ST
-    ev = table(spark, SF_SMALL, "events").withColumn("user_id", F.lit(1).cast("bigint")).orderBy("value")
-    src = R.stage_events(ev, n_batches=2)
-    want = _rows(R.run(spark, src, ST.irate, "append", watermark=None))
+def _irates(spark, ev, **stage):
+    out = R.run(spark, R.stage_events(ev, end_marker=True, **stage), ST.irate, "append")
+    return _rows(out.where(F.col("instance") != R.MARKER_INSTANCE))
+
+
+def test_state_does_not_depend_on_intervals_or_arrow_batches(spark):
+    """A series' rows may come out of order, in many Arrow batches and in one interval or several: the same rows come out."""
+    ev = table(spark, SF_SMALL, "events").where("event_id % 5 = 0").withColumn("user_id", F.lit(1).cast("bigint")).orderBy("value")
+    want = _irates(spark, ev, n_batches=1)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
-        got = _rows(R.run(spark, R.stage_events(ev, n_batches=2), ST.irate, "append", watermark=None))
+        got = _irates(spark, ev, n_batches=6)
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert got == want and len(got) == ev.count()
 
 
+def _ruled(rule, samples, until=None):
+    state, out = None, []
+    for ts, v in samples:
+        state, rows = rule.step(state, ts * ST.SECOND, v)
+        out += rows
+    return out + (rule.passed(state, until * ST.SECOND)[1] if until is not None else [])
+
+
+def _seconds(rows):
+    return [tuple(x // ST.SECOND if isinstance(x, int) and x >= ST.SECOND else x for x in r) for r in rows]
+
+
+def test_rules_step_by_step():
+    assert _seconds(_ruled(ST.InstantRate(), [(10, 5.0), (20, 9.0), (20, 1.0), (30, 0.5), (40, None), (50, 3.0)])) == \
+        [(10, 5.0, None), (20, 9.0, 0.4), (20, 1.0, None), (30, 0.5, 0.05), (40, None, None), (50, 3.0, None)]
+    assert _seconds(_ruled(ST.Held(1.0, 20), [(10, 2.0), (20, 2.0), (30, 2.0), (35, 2.0), (40, 1.0), (50, 2.0), (90, None), (95, 2.0)])) == \
+        [(30, 2.0, 10), (35, 2.0, 10)]
+    assert _seconds(_ruled(ST.Silence(60), [(10, 0.0), (69, 0.0), (129, 0.0)], 188)) == [("down", 69, 129), ("up", 69, 129)]
+    assert _seconds(_ruled(ST.Silence(60), [(10, 0.0)], 70)) == [("down", 10, 70)] and _ruled(ST.Silence(60), [(10, 0.0)], 69) == []
+    sent = _seconds(_ruled(ST.Notify(10, 100), [(1, 1.0), (5, 1.0), (14, 1.0), (15, 0.0), (30, 1.0), (60, 1.0), (125, 1.0)], 200))
+    assert sent == [(1, 24, 3, 3), (125, 135, 1, 3)]
+    firing = [(60, 1.0), (120, 1.0), (180, 1.0), (240, 0.0), (300, 1.0), (360, 1.0), (480, 1.0), (540, 1.0), (600, 1.0)]
+    assert _seconds(_ruled(ST.Firing(120, 60), firing, 661)) == [(60, 180, 240), (480, 600, 660)]
+    assert _seconds(_ruled(ST.Firing(120, 60), firing, 660)) == [(60, 180, 240)]
+
+
+def test_provider_is_given_back(spark):
+    before = spark.conf.get(ST.PROVIDER)
+    with ST.rocksdb(spark):
+        assert spark.conf.get(ST.PROVIDER) == ST.ROCKSDB
+    assert spark.conf.get(ST.PROVIDER) == before
+
+
 def test_many_small_files_lose_nothing(spark):
     ev = table(spark, SF_SMALL, "events").repartition(40)
     got = R.run(spark, R.stage_events(ev, n_batches=4, end_marker=True), O.sessions, "append", "10 minutes")

@@ -29,10 +29,15 @@ def _ntz(df, *cols):
     return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-def _stream(spark, sf, build, mode="complete", watermark="10 minutes", **stage):
+def _stream(spark, sf, build, mode="append", watermark="10 minutes", end_marker=True, **stage):
+    """Append mode: a heartbeat of an instance of its own, a day after the data, moves the watermark past the last window."""
     ev = Views(spark, sf).table("events")
-    src = RUN.stage_events(ev, **stage)
-    return RUN.run(spark, src, build, mode, watermark)
+    src = RUN.stage_events(ev, end_marker=end_marker and mode == "append", **stage)
+    out = RUN.run(spark, src, build, mode, watermark)
+    for c, marker in (("instance", RUN.MARKER_INSTANCE), ("event_type", "heartbeat")):
+        if c in out.columns:
+            out = out.where(F.col(c) != marker)
+    return out
 
 
 def _floor(secs):
@@ -92,7 +97,7 @@ SELECT event_type, instance, ts, value, CASE WHEN pts IS NOT NULL AND epoch_us(t
   (CASE WHEN value >= pv THEN value - pv ELSE value END) / ((epoch_us(ts) - epoch_us(pts)) / 1e6) END AS irate FROM l""", ["irate"], 9))
 def st04(spark, sf):
     """ST-04: instant rate per series from the last two samples; a drop is a counter reset."""
-    out = _stream(spark, sf, ST.irate, mode="append", watermark=None)
+    out = _stream(spark, sf, ST.irate)
     return rounded(_ntz(out, "ts"), 9)
 
 
@@ -108,14 +113,14 @@ SELECT event_type, instance, ts, value, first_ts AS run_start FROM r WHERE (epoc
 @query("st05_sustained_condition", _sustained_sql(100.0, 600))
 def st05(spark, sf):
     """ST-05: a condition that must hold continuously for a duration before the rule fires."""
-    out = _stream(spark, sf, lambda s: ST.sustained(s, 100.0, 600), mode="append", watermark=None)
+    out = _stream(spark, sf, lambda s: ST.sustained(s, 100.0, 600))
     return _ntz(out, "ts", "run_start")
 
 
 @query("st16_level_above_limit", _sustained_sql(20.0, 120))
 def st16(spark, sf):
     """ST-16: level above a limit (connections > 20) for 2 minutes."""
-    out = _stream(spark, sf, lambda s: ST.sustained(s, 20.0, 120), mode="append", watermark=None)
+    out = _stream(spark, sf, lambda s: ST.sustained(s, 20.0, 120))
     return _ntz(out, "ts", "run_start")
 
 
@@ -127,10 +132,69 @@ SELECT instance, MIN(ts) AS session_start, MAX(ts) + INTERVAL 10 MINUTE AS sessi
 FROM g GROUP BY instance, sid""")
 def st06(spark, sf):
     """ST-06: sessions per instance (gap 10 minutes); a gap is a silence of the instance."""
-    # a heartbeat of a separate instance after the data moves the watermark past the last
-    # sessions so append mode emits them; it is not part of the result
-    out = _stream(spark, sf, O.sessions, mode="append", watermark="10 minutes", end_marker=True)
-    return _ntz(out.filter(F.col("instance") != RUN.MARKER_INSTANCE), "session_start", "session_end")
+    return _ntz(_stream(spark, sf, O.sessions), "session_start", "session_end")
+
+
+@query("st06_instance_silences", f"""
+WITH {SAMPLES}, n AS (SELECT instance, ts, LEAD(ts) OVER (PARTITION BY instance ORDER BY ts) AS nts FROM s),
+q AS (SELECT * FROM n WHERE nts IS NULL OR nts >= ts + INTERVAL 10 MINUTE)
+SELECT instance, 'down' AS status, ts AS silent_since, ts + INTERVAL 10 MINUTE AS at FROM q
+UNION ALL SELECT instance, 'up', ts, nts FROM q WHERE nts IS NOT NULL""")
+def st06_silences(spark, sf):
+    """ST-06: an instance without a sample for 10 minutes is down (a timer fires without input), its next sample ends the silence."""
+    return _ntz(_stream(spark, sf, ST.silences), "silent_since", "at")
+
+
+def _firing_sql(windows, keys, hold, slide):
+    """Runs of consecutive windows of the condition that lasted long enough; windows: keys, e (window end), alert."""
+    return f"""
+WITH {SAMPLES}, k AS (SELECT UNNEST(range(0, 5)) AS k), win AS ({windows}),
+g AS (SELECT *, epoch_us(e) - ROW_NUMBER() OVER (PARTITION BY {keys} ORDER BY e) * {slide} * 1000000 AS run FROM win WHERE alert)
+SELECT {keys}, MIN(e) AS pending_since, MIN(e) + to_seconds({hold}) AS firing_from, MAX(e) + to_seconds({slide}) AS resolved_at
+FROM g GROUP BY {keys}, run HAVING epoch_us(MAX(e)) - epoch_us(MIN(e)) >= {hold} * 1000000"""
+
+
+def _firing(spark, sf, windows, keys, hold, slide):
+    """ST-05 behind a windowed aggregate of the same query: a rule fires once its condition has held, and until it no longer does.
+    Both steps are stateful; the aggregate passes the watermark on."""
+    out = _stream(spark, sf, lambda s: ST.firing(windows(s), keys, hold, slide))
+    # window ends reach the rule as their last microsecond
+    return _ntz(out.select(*keys, *(F.timestamp_micros(F.unix_micros(c) + 1).alias(c) for c in ("pending_since", "firing_from", "resolved_at"))),
+                "pending_since", "firing_from", "resolved_at")
+
+
+# limits of the fixture's sparse events: two in five minutes; the reference's limits for latency, hit ratio and share
+@query("st05_rate_firing", _firing_sql(f"""SELECT event_type, {_floor(60)} - to_minutes(k.k) + INTERVAL 5 MINUTE AS e, COUNT(*) / 300.0 > 0.005 AS alert
+  FROM s, k GROUP BY 1, 2""", "event_type", 120, 60))
+def st05_rate(spark, sf):
+    """ST-05 on ST-01: a rate above the limit for 2 minutes."""
+    return _firing(spark, sf, lambda s: O.rate_windows(s, limit=0.005), ["event_type"], 120, 60)
+
+
+@query("st05_latency_firing", f"""
+WITH lat AS ({_p95_sql()}), g AS (SELECT *, window_start + INTERVAL 5 MINUTE AS e FROM lat WHERE p95_seconds > 2),
+r AS (SELECT *, epoch_us(e) - ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY e) * 60000000 AS run FROM g)
+SELECT event_type, MIN(e) AS pending_since, MIN(e) + INTERVAL 5 MINUTE AS firing_from, MAX(e) + INTERVAL 1 MINUTE AS resolved_at
+FROM r GROUP BY event_type, run HAVING MAX(e) - MIN(e) >= INTERVAL 5 MINUTE""")
+def st05_latency(spark, sf):
+    """ST-05 on ST-02: a 95th percentile above 2 seconds for 5 minutes."""
+    return _firing(spark, sf, O.latency_windows, ["event_type"], 300, 60)
+
+
+@query("st05_hit_ratio_firing", _firing_sql(f"""SELECT 'cache' AS series, {_floor(600)} + INTERVAL 10 MINUTE AS e,
+  COUNT_IF(event_type = 'view') * 100.0 / NULLIF(COUNT_IF(event_type = 'view') + COUNT_IF(event_type = 'click'), 0) < 70 AS alert FROM s GROUP BY 1, 2""",
+    "series", 600, 600))
+def st05_hit_ratio(spark, sf):
+    """ST-05 on ST-03: a hit ratio below 70 % for 10 minutes."""
+    return _firing(spark, sf, lambda s: O.hit_ratio_windows(s).withColumn("series", F.lit("cache")), ["series"], 600, 600)
+
+
+@query("st05_resource_firing", _firing_sql(f"""SELECT 'host' AS host, {_floor(3600)} + INTERVAL 1 HOUR AS e,
+  ARG_MAX(value, ts) FILTER (WHERE event_type = 'click') * 100.0 / NULLIF(ARG_MAX(value, ts) FILTER (WHERE event_type = 'view'), 0) > 80 AS alert
+  FROM s GROUP BY 1, 2""", "host", 300, 3600))
+def st05_resource(spark, sf):
+    """ST-05 on ST-15: a used share above 80 % for 5 minutes, of all instances together (single ones are too sparse to run on)."""
+    return _firing(spark, sf, lambda s: O.share_windows(s.withColumn("host", F.lit("host")), keys=("host",)), ["host"], 300, 3600)
 
 
 ALERTS_SQL = f"""
@@ -143,25 +207,28 @@ FROM s JOIN th ON s.metric = th.metric WHERE value > lim"""
 @query("st07_threshold_alerts", ALERTS_SQL)
 def st07(spark, sf):
     """ST-07 / J-16: one alert row per sample above its metric's limit (stateless, append)."""
-    out = _stream(spark, sf, O.threshold_alerts, mode="append", watermark=None)
+    out = _stream(spark, sf, O.threshold_alerts, watermark=None, end_marker=False)
     return _ntz(out, "ts")
 
 
 @query("st08_freshness_status", oround(f"""
-WITH {SAMPLES}, k AS (SELECT event_type, MAX(ts) AS last_ts, CAST(COUNT(*) AS BIGINT) AS n FROM s GROUP BY 1),
-a AS (SELECT MAX(last_ts) AS as_of FROM k)
-SELECT event_type, last_ts, n, (epoch_us(as_of) - epoch_us(last_ts)) / 3.6e9 AS hours_since,
-  CASE WHEN (epoch_us(as_of) - epoch_us(last_ts)) / 3.6e9 > 48 THEN 'stale_data' ELSE 'healthy' END AS status FROM k, a""",
-    ["hours_since"], 9))
+WITH {SAMPLES}, k AS (SELECT event_type, MAX(ts) AS last_ts, ARG_MAX(value, ts) AS v, CAST(COUNT(*) AS BIGINT) AS n FROM s GROUP BY 1),
+a AS (SELECT MAX(last_ts) AS as_of, MAX(v) FILTER (WHERE event_type = 'purchase') / 10 AS db, MAX(v) FILTER (WHERE event_type = 'view') AS cpu,
+      MAX(v) FILTER (WHERE event_type = 'click') AS mem FROM k),
+h AS (SELECT *, (epoch_us(as_of) - epoch_us(last_ts)) / 3.6e9 AS hours_since FROM k, a)
+SELECT event_type, last_ts, n, hours_since, db AS db_seconds, cpu, mem AS memory, CASE WHEN hours_since > 48 THEN 'stale_data' WHEN db > 5 THEN 'db_slow'
+  WHEN cpu > 80 OR mem > 85 THEN 'resource_high' ELSE 'healthy' END AS status FROM h""", ["hours_since", "db_seconds"], 9))
 def st08(spark, sf):
-    """ST-08 + F-23: running last-sample time per series; hours since it and pipeline status."""
+    """ST-08 + F-23: latest sample time per series, hours since it, and the pipeline's status from it and from the latest
+    database seconds, CPU and memory samples of the same stream."""
     from pyspark.sql import Window
-    k = _stream(spark, sf, lambda s: O.latest_per_key(s, ["event_type"]))
-    # five series: the as-of time is a window over their five latest times
-    k = k.withColumn("as_of", F.max("last_ts").over(Window.partitionBy()))
+    k = _stream(spark, sf, lambda s: O.latest_per_key(s, ["event_type"]), mode="complete")
+    every = Window.partitionBy()  # five rows, one per series
+    last = lambda event: F.max(F.when(F.col("event_type") == event, F.col("last_value"))).over(every)
+    k = k.withColumns({"as_of": F.max("last_ts").over(every), "db_seconds": last("purchase") / 10, "cpu": last("view"), "memory": last("click")})
     hrs = (F.unix_micros("as_of") - F.unix_micros("last_ts")) / 3.6e9
-    st = SCR.pipeline_status(hrs, F.lit(0.0), F.lit(0.0), F.lit(0.0))
-    return rounded(_ntz(k.select("event_type", "last_ts", "n", hrs.alias("hours_since"), st.alias("status")), "last_ts"), 9)
+    st = SCR.pipeline_status(hrs, F.col("db_seconds"), F.col("cpu"), F.col("memory"))
+    return rounded(_ntz(k.select("event_type", "last_ts", "n", hrs.alias("hours_since"), "db_seconds", "cpu", "memory", st.alias("status")), "last_ts"), 9)
 
 
 @query("st09_streaming_upsert", f"""
@@ -201,22 +268,43 @@ def st10(spark, sf):
     return _ntz(_stream(spark, sf, O.ohlc_bars), "bucket")
 
 
+@query("st10_late_rows", """
+SELECT (SELECT COUNT(*) FROM events) AS kept, (SELECT COUNT(*) FROM events WHERE ts < (SELECT MIN(ts) FROM events) + INTERVAL 6 HOUR) AS dropped""")
+def st10_late(spark, sf):
+    """ST-10: the bars of a stream in which rows of its first six hours come again, under new ids, after its end: the bars hold
+    every row but those, and the dropped rows are counted.  De-duplication turns them away one by one before the partial
+    aggregate could merge them."""
+    ev = Views(spark, sf).table("events")
+    lo = ev.agg(F.min("ts").alias("lo"))  # one row
+    late = ev.join(F.broadcast(lo)).where(F.col("ts") < F.col("lo") + F.expr("INTERVAL 6 HOURS")).drop("lo").withColumn("event_id", F.col("event_id") + 10**9)
+    src, out, ck = RUN.stage_events(ev, late_rows=late, end_marker=True), FS.scratch(spark, "late-out"), FS.scratch(spark, "late-ckpt")
+
+    def start(folder):
+        s = O.as_samples(RUN.read_stream(spark, folder)).withWatermark("ts", "10 minutes").dropDuplicatesWithinWatermark(["event_id"])
+        return O.ohlc_bars(s).writeStream.outputMode("append").foreachBatch(lambda b, epoch: b.write.mode("overwrite").parquet(f"{out}/{epoch:09d}")) \
+            .option("checkpointLocation", ck).trigger(availableNow=True).start()
+    dropped = RUN.late_rows(RUN.drive(spark, src, start))
+    bars = spark.read.parquet(*[f"{out}/{e}" for e in RUN.folders(spark, out)])
+    return bars.agg(F.sum("n").alias("kept"), F.lit(dropped).cast("bigint").alias("dropped"))
+
+
 @query("st11_alert_notifications", f"""
 WITH RECURSIVE {SAMPLES}, {THRESH},
-a AS (SELECT s.metric, instance, s.ts, ROW_NUMBER() OVER (PARTITION BY s.metric, instance ORDER BY s.ts, event_id) AS n
-      FROM s JOIN th ON s.metric = th.metric WHERE value > lim),
-sent AS (SELECT metric, instance, ts, n, CAST(1 AS BIGINT) AS alerts_since_last FROM a WHERE n = 1
-  UNION ALL SELECT metric, instance, ts, n, alerts_since_last FROM (
-    SELECT a.metric, a.instance, a.ts, a.n, CAST(a.n - sent.n AS BIGINT) AS alerts_since_last,
-           ROW_NUMBER() OVER (PARTITION BY a.metric, a.instance ORDER BY a.n) AS k
-    FROM sent JOIN a ON a.metric = sent.metric AND a.instance = sent.instance AND a.n > sent.n
-                    AND a.ts >= sent.ts + INTERVAL 1 HOUR) WHERE k = 1)
-SELECT metric, instance, ts, alerts_since_last FROM sent""")
+a AS (SELECT s.metric, s.ts, LAG(s.ts) OVER (PARTITION BY s.metric ORDER BY s.ts) AS pts FROM s JOIN th ON s.metric = th.metric WHERE value > lim),
+g AS (SELECT *, SUM(CASE WHEN pts IS NULL OR ts >= pts + INTERVAL 10 SECOND THEN 1 ELSE 0 END)
+        OVER (PARTITION BY metric ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS k FROM a),
+b AS (SELECT metric, k, MIN(ts) AS group_start, MAX(ts) + INTERVAL 10 SECOND AS sent_at, COUNT(*) AS alerts FROM g GROUP BY metric, k),
+c AS (SELECT *, SUM(alerts) OVER (PARTITION BY metric ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto FROM b),
+sent AS (SELECT metric, k, group_start, sent_at, alerts, upto, alerts AS since FROM c WHERE k = 1
+  UNION ALL SELECT metric, k, group_start, sent_at, alerts, upto, since FROM (
+    SELECT c.metric, c.k, c.group_start, c.sent_at, c.alerts, c.upto, c.upto - sent.upto AS since, ROW_NUMBER() OVER (PARTITION BY c.metric ORDER BY c.k) AS n
+    FROM sent JOIN c ON c.metric = sent.metric AND c.k > sent.k AND c.sent_at >= sent.sent_at + INTERVAL 1 HOUR) WHERE n = 1)
+SELECT metric, group_start, sent_at, CAST(alerts AS BIGINT) AS alerts, CAST(since AS BIGINT) AS alerts_since_last FROM sent""")
 def st11(spark, sf):
-    """ST-11: alerts grouped per name and instance; a notification at most once per hour, carrying how many alerts it
-    covers."""
-    out = _stream(spark, sf, lambda s: ST.notifications(O.threshold_alerts(s)), mode="append", watermark=None)
-    return _ntz(out, "ts")
+    """ST-11: alerts of a name less than 10 seconds apart are one group; a group is notified when it ends, at most once an hour per
+    name, with the number of alerts since the last notification."""
+    out = _stream(spark, sf, lambda s: ST.notifications(O.alert_flags(s)))
+    return _ntz(out, "group_start", "sent_at")
 
 
 BUCKET_COLS = ", ".join(f"CAST(COUNT_IF(value / 10 <= {e}) AS BIGINT) AS le_{str(e).replace('.', '_')}"
@@ -224,11 +312,11 @@ BUCKET_COLS = ", ".join(f"CAST(COUNT_IF(value / 10 <= {e}) AS BIGINT) AS le_{str
 
 
 @query("st12_labelled_histograms", oround(f"""
-WITH {SAMPLES} SELECT event_type, {BUCKET_COLS}, CAST(COUNT(*) AS BIGINT) AS total, SUM(value / 10) AS sum FROM s GROUP BY 1""",
+WITH {SAMPLES} SELECT event_type, label, {BUCKET_COLS}, CAST(COUNT(*) AS BIGINT) AS total, SUM(value / 10) AS sum FROM s GROUP BY 1, 2""",
     ["sum"], 6))
 def st12(spark, sf):
-    """ST-12: labelled counters and cumulative fixed-bucket histograms per series."""
-    out = _stream(spark, sf, lambda s: O.bucket_counts(s, ["event_type"]))
+    """ST-12: counters and cumulative fixed-bucket histograms per series and label."""
+    out = _stream(spark, sf, lambda s: O.bucket_counts(s, ["event_type", "label"]), mode="complete")
     return rounded(out, 6)
 
 
@@ -240,7 +328,7 @@ def st13(spark, sf):
     as_of = ev.agg(F.max("ts")).first()[0]
     lo = F.lit(as_of).cast("timestamp") - F.expr("INTERVAL 1 HOUR")
     out = _stream(spark, sf, lambda s: s.filter(F.col("ts") >= lo).select("event_id", "ts", "metric", "value"),
-                  mode="append", watermark=None)
+                  watermark=None, end_marker=False)
     return _ntz(out, "ts")
 
 

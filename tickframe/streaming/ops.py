@@ -25,6 +25,7 @@ DURATION_BUCKETS = [0.1, 0.5, 1.0, 2.0, 5.0, 10.0, 30.0, 60.0]
 # rule windows and limits
 RATE_WINDOW, RATE_SLIDE, RATE_LIMIT = "5 minutes", "1 minute", 0.1
 HIT_RATIO_FLOOR = 70.0
+LATENCY_LIMIT = 2.0
 SESSION_GAP = "10 minutes"
 RESOURCE_LIMIT_PCT = 80.0
 # -------------------------------------------------------------------------------------------
@@ -40,13 +41,16 @@ def as_samples(events: DataFrame) -> DataFrame:
                          F.get_json_object("props", "$.k").cast("int").alias("label"))
 
 
-def rate_alerts(s: DataFrame, window=RATE_WINDOW, slide=RATE_SLIDE, limit=RATE_LIMIT) -> DataFrame:
-    """ST-01: per-second rate over a sliding 5-minute window per series, flagged above the limit."""
+def rate_windows(s: DataFrame, window=RATE_WINDOW, slide=RATE_SLIDE, limit=RATE_LIMIT) -> DataFrame:
+    """Windows of ST-01 with their window column."""
     secs = 300.0
     g = s.groupBy(F.window("ts", window, slide).alias("w"), "event_type").agg(F.count("*").alias("n"))
-    return g.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "event_type",
-                    F.col("n").cast("bigint").alias("n"), (F.col("n") / secs).alias("rate"),
-                    (F.col("n") / secs > limit).alias("alert"))
+    return g.select("w", "event_type", F.col("n").cast("bigint").alias("n"), (F.col("n") / secs).alias("rate"), (F.col("n") / secs > limit).alias("alert"))
+
+
+def rate_alerts(s: DataFrame, window=RATE_WINDOW, slide=RATE_SLIDE, limit=RATE_LIMIT) -> DataFrame:
+    """ST-01: per-second rate over a sliding 5-minute window per series, flagged above the limit."""
+    return rate_windows(s, window, slide, limit).select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "event_type", "n", "rate", "alert")
 
 
 def bucket_counts(s: DataFrame, keys, edges=DURATION_BUCKETS, scale: float = 10.0) -> DataFrame:
@@ -74,19 +78,28 @@ def histogram_quantile(counts: DataFrame, q: float = 0.95, edges=DURATION_BUCKET
 
 def p95_windows(s: DataFrame, window="5 minutes", slide="1 minute", q=0.95) -> DataFrame:
     """ST-02: windowed bucket counts then the interpolated quantile."""
+    return latency_windows(s, window, slide, q).select(F.col("w.start").alias("window_start"), "event_type", "total", "p95_seconds")
+
+
+def latency_windows(s: DataFrame, window="5 minutes", slide="1 minute", q=0.95, limit=LATENCY_LIMIT) -> DataFrame:
+    """Windows of ST-02 with their window column, flagged above the limit."""
     c = bucket_counts(s, [F.window("ts", window, slide).alias("w"), "event_type"])
-    return c.select(F.col("w.start").alias("window_start"), "event_type", "total",
-                    histogram_quantile(c, q).alias("p95_seconds"))
+    c = c.select("w", "event_type", "total", histogram_quantile(c, q).alias("p95_seconds"))
+    return c.withColumn("alert", F.col("p95_seconds") > limit)
 
 
 def hit_ratio(s: DataFrame, window="10 minutes", floor=HIT_RATIO_FLOOR) -> DataFrame:
     """ST-03 / A-30: hits (view) and misses (click) per tumbling window, ratio in percent."""
+    return hit_ratio_windows(s, window, floor).select(F.col("w.start").alias("window_start"), "hits", "misses", "hit_ratio", "alert")
+
+
+def hit_ratio_windows(s: DataFrame, window="10 minutes", floor=HIT_RATIO_FLOOR) -> DataFrame:
+    """Windows of ST-03 with their window column."""
     g = s.groupBy(F.window("ts", window).alias("w")).agg(
         F.count_if(F.col("event_type") == "view").cast("bigint").alias("hits"),
         F.count_if(F.col("event_type") == "click").cast("bigint").alias("misses"))
     ratio = F.try_divide(F.col("hits") * 100.0, F.col("hits") + F.col("misses"))
-    return g.select(F.col("w.start").alias("window_start"), "hits", "misses", ratio.alias("hit_ratio"),
-                    (ratio < floor).alias("alert"))
+    return g.select("w", "hits", "misses", ratio.alias("hit_ratio"), (ratio < floor).alias("alert"))
 
 
 def sessions(s: DataFrame, gap=SESSION_GAP) -> DataFrame:
@@ -109,6 +122,14 @@ def threshold_alerts(s: DataFrame) -> DataFrame:
                     F.concat(F.col("title"), F.lit(": "), shown).alias("message"))
 
 
+def alert_flags(s: DataFrame) -> DataFrame:
+    """Every sample with value 1 if it is an alert and 0 if not.  Nothing is filtered away: a filter on the value would be pushed
+    below the watermark, which then stands still while all is well."""
+    th = s.sparkSession.createDataFrame([t[:2] for t in ALERT_THRESHOLDS], "metric STRING, limit DOUBLE")
+    return s.join(F.broadcast(th), "metric", "left").select(F.coalesce("metric", F.lit("heartbeat")).alias("metric"), "ts", "event_id",
+                                                          F.coalesce((F.col("value") > F.col("limit")).cast("double"), F.lit(0.0)).alias("value"))
+
+
 def ohlc_bars(s: DataFrame, window="1 hour") -> DataFrame:
     """ST-10: tumbling-window bars per series: open / close by event time, high, low, count, total."""
     g = s.groupBy(F.window("ts", window).alias("w"), "event_type").agg(
@@ -120,8 +141,8 @@ def ohlc_bars(s: DataFrame, window="1 hour") -> DataFrame:
 
 
 def latest_per_key(s: DataFrame, keys) -> DataFrame:
-    """ST-08: running last sample time per key (the freshness input)."""
-    return s.groupBy(*keys).agg(F.max("ts").alias("last_ts"), F.count("*").cast("bigint").alias("n"))
+    """ST-08: running last sample time and value per key (the freshness input)."""
+    return s.groupBy(*keys).agg(F.max("ts").alias("last_ts"), F.max_by("value", "ts").alias("last_value"), F.count("*").cast("bigint").alias("n"))
 
 
 def instance_average(s: DataFrame, window="5 minutes") -> DataFrame:
@@ -133,12 +154,16 @@ def instance_average(s: DataFrame, window="5 minutes") -> DataFrame:
 
 def resource_share(s: DataFrame, window="1 hour", used="click", total="view", limit=RESOURCE_LIMIT_PCT) -> DataFrame:
     """ST-15: per window and instance, the last 'used' and last 'total' sample, used share in percent."""
-    g = s.groupBy(F.window("ts", window).alias("w"), "instance").agg(
+    return share_windows(s, window, used, total, limit).select(F.col("w.start").alias("window_start"), "instance", "used", "capacity", "used_pct", "alert")
+
+
+def share_windows(s: DataFrame, window="1 hour", used="click", total="view", limit=RESOURCE_LIMIT_PCT, keys=("instance",)) -> DataFrame:
+    """Windows of ST-15 with their window column."""
+    g = s.groupBy(F.window("ts", window).alias("w"), *keys).agg(
         F.max_by(F.when(F.col("event_type") == used, F.col("value")), F.when(F.col("event_type") == used, F.col("ts")))
         .alias("used"),
         F.max_by(F.when(F.col("event_type") == total, F.col("value")), F.when(F.col("event_type") == total, F.col("ts")))
         .alias("capacity"))
     pct = F.try_divide(F.col("used") * 100.0, F.col("capacity"))
-    return g.select(F.col("w.start").alias("window_start"), "instance", "used", "capacity", pct.alias("used_pct"),
-                    (pct > limit).alias("alert"))
+    return g.select("w", *keys, "used", "capacity", pct.alias("used_pct"), (pct > limit).alias("alert"))
 

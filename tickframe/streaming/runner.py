@@ -55,15 +55,25 @@ def read_stream(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(EVENT_SCHEMA).option("recursiveFileLookup", True).parquet(path)
 
 
-def drive(spark: SparkSession, source: str, start) -> None:
-    """start(folder) starts a query that watches folder; it is started once per interval folder of source, in order."""
+def drive(spark: SparkSession, source: str, start) -> list:
+    """start(folder) starts a query that watches folder; it is started once per interval folder of source, in order.
+    Returns the progress records of all starts."""
     watched = scratch(spark, "stream-in")
     fs, to = _fs(spark, watched)
     fs.mkdirs(to)
+    progress = []
     for name in folders(spark, source) or [None]:
         if name:
             fs.rename(_fs(spark, f"{source}/{name}")[1], _fs(spark, f"{watched}/{name.replace('=', '-')}")[1])
-        start(watched).awaitTermination()
+        query = start(watched)
+        query.awaitTermination()
+        progress += query.recentProgress
+    return progress
+
+
+def late_rows(progress: list) -> int:
+    """Rows that a stateful operator turned away because they were older than the watermark."""
+    return sum(o.numRowsDroppedByWatermark for p in progress for o in p.stateOperators)
 
 
 def run(spark: SparkSession, source: str, build, mode: str = "complete", watermark: str | None = "10 minutes") -> DataFrame:
@@ -73,6 +83,7 @@ def run(spark: SparkSession, source: str, build, mode: str = "complete", waterma
     (stateless or watermark-finalised rows).
     """
     from tickframe.streaming.ops import as_samples
+    from tickframe.streaming.stateful import rocksdb
     out, ck = scratch(spark, "stream-out"), scratch(spark, "stream-ckpt")
     schema = None
 
@@ -88,7 +99,8 @@ def run(spark: SparkSession, source: str, build, mode: str = "complete", waterma
         schema = res.schema
         return res.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", ck).trigger(availableNow=True).start()
 
-    drive(spark, source, start)
+    with rocksdb(spark):
+        drive(spark, source, start)
     epochs = folders(spark, out)
     if not epochs:  # no micro-batch ran
         return spark.createDataFrame([], schema)

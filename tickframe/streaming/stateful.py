@@ -1,96 +1,261 @@
-"""Per-series state across micro-batches (ST-04, ST-05 / ST-16, ST-11) with
-``applyInPandasWithState``: the state per key is a handful of scalars, so it stays
-small however long the stream runs.  All rows that a series has in one micro-batch are put in
-event-time order first, however many Arrow batches they come in; the batch twins in SQL give the
-same rows when the micro-batches come in order of time.
+"""Rules with state per series (ST-04, ST-05 / ST-16, ST-06, ST-11) on ``transformWithState`` and event-time timers.
+
+Rows of a series wait in map state, in slots of event time, until the watermark has passed their slot; a timer then
+releases slot after slot in order of (ts, event_id), so a rule sees each series in event-time order however its rows are
+spread over files, micro-batches and Arrow batches, and a task holds one slot of one series at a time, never a key's whole
+interval.  A rule may also name a deadline: a timer calls it when event time gets there without input (silences, closed
+bursts, ended runs).  What a rule keeps is a handful of scalars.
+
+The rules themselves are plain classes over (state, time in microseconds, value), tested without a stream.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-def _ordered(pdfs) -> pd.DataFrame:
-    """A series' rows of one micro-batch by event time, ties by event id."""
-    return pd.concat(list(pdfs)).sort_values(["ts", "event_id"], kind="stable")
+SECOND = 1_000_000  # microseconds
+SLOT = 60 * SECOND
+SERIES = ("event_type", "instance")
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-SERIES = ("event_type", "instance")
-IRATE_SCHEMA = "event_type STRING, instance BIGINT, ts TIMESTAMP, value DOUBLE, irate DOUBLE"
-IRATE_STATE = "last_ts TIMESTAMP, last_value DOUBLE"
+@contextmanager
+def rocksdb(spark: SparkSession) -> Iterator[None]:
+    """Timers and map state need the RocksDB provider; a query keeps the one that it was started with."""
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
+
+
+class Rule:
+    """state: DDL of what is kept (or None); output: DDL of a row without the key.  Times are microseconds."""
+
+    state: str
+    output: str
+    times: tuple[str, ...]  # output columns that are timestamps
+
+    def step(self, state: tuple | None, ts: int, value: float | None) -> tuple[tuple | None, list[tuple]]:
+        """The next sample of the series."""
+        raise NotImplementedError
+
+    def passed(self, state: tuple | None, until: int) -> tuple[tuple | None, list[tuple]]:
+        """Event time has come to ``until``; every earlier sample has been seen."""
+        return state, []
+
+    def deadline(self, state: tuple | None) -> int | None:
+        """When ``passed`` has something to say if no sample comes."""
+        return None
+
+
+class InstantRate(Rule):
+    """ST-04: rate from the last two samples; a drop is a counter reset, so the new value itself is the increase."""
 
+    state, output, times = "ts BIGINT, value DOUBLE", "ts TIMESTAMP, value DOUBLE, irate DOUBLE", ("ts",)
 
-def _irate(key, pdfs, state):
-    """ST-04: instant rate from the last two samples; a drop means a counter reset, so the
-    new value itself is the increase."""
-    last_ts, last_v = (state.get if state.exists else (None, None))
-    out = []
-    for ts, v in _ordered(pdfs)[["ts", "value"]].itertuples(index=False):
+    def step(self, state, ts, value):
         rate = None
-        if last_ts is not None:
-            dt = (ts - last_ts).total_seconds()
-            if dt > 0:
-                rate = ((v - last_v) if v >= last_v else v) / dt
-        out.append((*key, ts, v, rate))
-        last_ts, last_v = ts, v
-    if last_ts is not None:
-        state.update((last_ts, last_v))
-    yield pd.DataFrame(out, columns=["event_type", "instance", "ts", "value", "irate"])
+        if state is not None and ts > state[0] and value is not None and state[1] is not None:
+            rate = ((value - state[1]) if value >= state[1] else value) / ((ts - state[0]) / SECOND)
+        return (ts, value), [(ts, value, rate)]
 
 
-def irate(s: DataFrame) -> DataFrame:
-    return s.groupBy(*SERIES).applyInPandasWithState(
-        _irate, IRATE_SCHEMA, IRATE_STATE, "append", GroupStateTimeout.NoTimeout)
+class Held(Rule):
+    """ST-05 / ST-16: samples at which ``value > limit`` has held, sample after sample, for at least ``hold`` seconds."""
 
+    state, output, times = "run_start BIGINT", "ts TIMESTAMP, value DOUBLE, run_start TIMESTAMP", ("ts", "run_start")
 
-HOLD_SCHEMA = "event_type STRING, instance BIGINT, ts TIMESTAMP, value DOUBLE, run_start TIMESTAMP"
-HOLD_STATE = "run_start TIMESTAMP"
+    def __init__(self, limit: float, hold: float):
+        self.limit, self.hold = limit, int(hold * SECOND)
 
+    def step(self, state, ts, value):
+        if value is None or not value > self.limit:
+            return None, []
+        start = ts if state is None else state[0]
+        return (start,), [(ts, value, start)] if ts - start >= self.hold else []
 
-def sustained(s: DataFrame, limit: float, hold_seconds: float) -> DataFrame:
-    """ST-05 / ST-16: samples at which ``value > limit`` has held continuously (every sample
-    since ``run_start`` above the limit) for at least ``hold_seconds`` -- the rule is firing."""
-
-    def fn(key, pdfs, state):
-        run = state.get[0] if state.exists else None
-        out = []
-        for ts, v in _ordered(pdfs)[["ts", "value"]].itertuples(index=False):
-            if v > limit:
-                run = ts if run is None else run
-                if (ts - run).total_seconds() >= hold_seconds:
-                    out.append((*key, ts, v, run))
-            else:
-                run = None
-        if run is None:
-            if state.exists:
-                state.remove()
+
+class Silence(Rule):
+    """ST-06: a series without a sample for ``gap`` seconds is down from then on, and up again with its next sample."""
+
+    state, output, times = "last BIGINT, down BOOLEAN", "status STRING, silent_since TIMESTAMP, at TIMESTAMP", ("silent_since", "at")
+
+    def __init__(self, gap: float):
+        self.gap = int(gap * SECOND)
+
+    def step(self, state, ts, value):
+        state, rows = self.passed(state, ts)
+        return (ts, False), rows + ([("up", state[0], ts)] if state is not None and state[1] else [])
+
+    def passed(self, state, until):
+        if state is None or state[1] or until < state[0] + self.gap:
+            return state, []
+        return (state[0], True), [("down", state[0], state[0] + self.gap)]
+
+    def deadline(self, state):
+        return None if state is None or state[1] else state[0] + self.gap
+
+
+class Notify(Rule):
+    """ST-11: alerts of one name less than ``wait`` seconds apart are one group, which ends that long after its last alert; a
+    group that ends is notified unless a notification went out less than ``repeat`` seconds before.  The next one counts what
+    was kept back."""
+
+    state = "first BIGINT, last BIGINT, n BIGINT, sent BIGINT, pending BIGINT"
+    output, times = "group_start TIMESTAMP, sent_at TIMESTAMP, alerts BIGINT, alerts_since_last BIGINT", ("group_start", "sent_at")
+
+    def __init__(self, wait: float, repeat: float):
+        self.wait, self.repeat = int(wait * SECOND), int(repeat * SECOND)
+
+    def step(self, state, ts, value):
+        state, rows = self.passed(state, ts)
+        if not value:  # a sample that is no alert
+            return state, rows
+        first, _, n, sent, pending = state or (None, None, 0, None, 0)
+        return (ts if first is None else first, ts, n + 1, sent, pending), rows
+
+    def passed(self, state, until):
+        if state is None or state[0] is None or until < state[1] + self.wait:
+            return state, []
+        first, last, n, sent, pending = state
+        end, pending = last + self.wait, pending + n
+        if sent is not None and end - sent < self.repeat:
+            return (None, None, 0, sent, pending), []
+        return (None, None, 0, end, 0), [(first, end, n, pending)]
+
+    def deadline(self, state):
+        return None if state is None or state[0] is None else state[1] + self.wait
+
+
+class Firing(Rule):
+    """ST-05 behind a windowed aggregate: windows arrive by their end, value 1 where the condition is met.  Windows that
+    follow each other by ``slide`` are one run; a run that lasted ``hold`` seconds is one row when it ends."""
+
+    state, times = "first BIGINT, last BIGINT", ("pending_since", "firing_from", "resolved_at")
+    output = "pending_since TIMESTAMP, firing_from TIMESTAMP, resolved_at TIMESTAMP"
+
+    def __init__(self, hold: float, slide: float):
+        self.hold, self.slide = int(hold * SECOND), int(slide * SECOND)
+
+    def _closed(self, state):
+        first, last = state
+        return [(first, first + self.hold, last + self.slide)] if last - first >= self.hold else []
+
+    def step(self, state, ts, value):
+        met = value is not None and value > 0
+        if state is not None and met and ts == state[1] + self.slide:
+            return (state[0], ts), []
+        return (ts, ts) if met else None, self._closed(state) if state is not None else []
+
+    def passed(self, state, until):
+        if state is None or until <= state[1] + self.slide:  # a window that ends at ``until`` may still come
+            return state, []
+        return None, self._closed(state)
+
+    def deadline(self, state):
+        return None if state is None else state[1] + self.slide + 1
+
+
+class InOrder(StatefulProcessor):
+    """Runs a rule over every series in event-time order."""
+
+    def __init__(self, rule: Rule, keys: int, columns: list[str], slot: int = SLOT):
+        self.rule, self.keys, self.columns, self.slot = rule, keys, columns, slot
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.parts = handle.getMapState("parts", "slot BIGINT", "n INT")
+        self.waiting = handle.getMapState("waiting", "slot BIGINT, part INT", "ts ARRAY<BIGINT>, id ARRAY<BIGINT>, value ARRAY<DOUBLE>")
+        self.kept = handle.getValueState("kept", self.rule.state)
+
+    def handleInputRows(self, key, rows, timerValues):
+        for f in rows:
+            ts = f["ts"].to_numpy().astype("datetime64[us]").astype("int64")
+            f = pd.DataFrame({"slot": ts // self.slot, "ts": ts, "id": f["event_id"].to_numpy(), "value": f["value"].to_numpy()})
+            for slot, g in f.groupby("slot"):
+                slot, n = int(slot), 0
+                if self.parts.containsKey((slot,)):
+                    n = self.parts.getValue((slot,))[0]
+                else:
+                    self.handle.registerTimer((slot + 1) * self.slot // 1000)
+                values = [None if v is None or v != v else float(v) for v in g["value"].tolist()]
+                self.waiting.updateValue((slot, n), ([int(x) for x in g["ts"]], [int(x) for x in g["id"]], values))
+                self.parts.updateValue((slot,), (n + 1,))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        border = timerValues.getCurrentWatermarkInMs() * 1000 // self.slot * self.slot
+        state = self.kept.get() if self.kept.exists() else None
+        state = tuple(state) if state is not None else None
+        for slot in sorted(k[0] for k in self.parts.keys() if (k[0] + 1) * self.slot <= border):
+            rows, out = [], []
+            for part in range(self.parts.getValue((slot,))[0]):
+                rows += zip(*self.waiting.getValue((slot, part)))
+                self.waiting.removeKey((slot, part))
+            self.parts.removeKey((slot,))
+            for ts, _, value in sorted(rows, key=lambda r: r[:2]):
+                state, new = self.rule.step(state, ts, value)
+                out += new
+            if out:
+                yield self._frame(key, out)
+        state, out = self.rule.passed(state, border)
+        if out:
+            yield self._frame(key, out)
+        if state is None:
+            self.kept.clear()
         else:
-            state.update((run,))
-        yield pd.DataFrame(out, columns=["event_type", "instance", "ts", "value", "run_start"])
+            self.kept.update(state)
+            due = self.rule.deadline(state)
+            if due is not None:
+                self.handle.registerTimer(-(-due // self.slot) * self.slot // 1000)
+
+    def _frame(self, key, rows):
+        f = pd.DataFrame([(*key[:self.keys], *r) for r in rows], columns=self.columns)
+        for c in self.rule.times:
+            f[c] = pd.to_datetime(f[c], unit="us")
+        return f
+
+    def close(self) -> None:
+        pass
+
+
+def in_order(s: DataFrame, rule: Rule, keys, slot: int = SLOT) -> DataFrame:
+    """rule over every series of s (ts with a watermark, event_id, value, keys): append mode, a row as soon as it is certain."""
+    kinds = [f"{k} {s.schema[k].dataType.simpleString()}" for k in keys]
+    schema = ", ".join([*kinds, rule.output])
+    columns = [*keys, *(c.split()[0] for c in rule.output.split(", "))]
+    return s.select(*keys, "ts", "event_id", "value").groupBy(*keys).transformWithStateInPandas(InOrder(rule, len(keys), columns, slot), schema, "append", "eventTime")
+
+
+def irate(s: DataFrame) -> DataFrame:
+    return in_order(s, InstantRate(), SERIES)
+
+
+def sustained(s: DataFrame, limit: float, hold_seconds: float) -> DataFrame:
+    return in_order(s, Held(limit, hold_seconds), SERIES)
 
-    return s.groupBy(*SERIES).applyInPandasWithState(
-        fn, HOLD_SCHEMA, HOLD_STATE, "append", GroupStateTimeout.NoTimeout)
 
+def silences(s: DataFrame, gap_seconds: float = 600.0) -> DataFrame:
+    return in_order(s, Silence(gap_seconds), ("instance",))
 
-NOTIFY_SCHEMA = "metric STRING, instance BIGINT, ts TIMESTAMP, alerts_since_last BIGINT"
-NOTIFY_STATE = "last_sent TIMESTAMP, pending BIGINT"
 
+def notifications(samples: DataFrame, wait_seconds: float = 10.0, repeat_seconds: float = 3600.0) -> DataFrame:
+    """samples: metric, ts, event_id, value (1 for an alert, 0 for none)."""
+    return in_order(samples, Notify(wait_seconds, repeat_seconds), ("metric",))
 
-def notifications(alerts: DataFrame, repeat_seconds: float = 3600.0) -> DataFrame:
-    """ST-11: per alert name and instance, notify on the first alert and then only when the repeat interval
-    has passed since the last notification; suppressed alerts are counted into the next one."""
 
-    def fn(key, pdfs, state):
-        last, pending = state.get if state.exists else (None, 0)
-        out = []
-        for ts in _ordered(pdfs)["ts"]:
-            pending += 1
-            if last is None or (ts - last).total_seconds() >= repeat_seconds:
-                out.append((*key, ts, pending))
-                last, pending = ts, 0
-        state.update((last, pending))
-        yield pd.DataFrame(out, columns=["metric", "instance", "ts", "alerts_since_last"])
+def firing(windows: DataFrame, keys, hold_seconds: float, slide_seconds: float) -> DataFrame:
+    """ST-05 behind a windowed aggregate: windows has a window column ``w`` that still carries the watermark, keys, and alert."""
+    from pyspark.sql import functions as F
 
-    return alerts.groupBy("metric", "instance").applyInPandasWithState(
-        fn, NOTIFY_SCHEMA, NOTIFY_STATE, "append", GroupStateTimeout.NoTimeout)
+    ts = (F.window_time("w")).alias("ts")  # the window's end less a microsecond, with the watermark of the stream
+    rows = windows.select(*keys, ts, F.lit(0).cast("bigint").alias("event_id"), F.coalesce(F.col("alert").cast("double"), F.lit(0.0)).alias("value"))
+    return in_order(rows, Firing(hold_seconds, slide_seconds), keys)
