@@ -119,10 +119,37 @@ def portfolio_analytics(bars: DataFrame, holdings: DataFrame, start=None, end=No
          .otherwise(F.lit(1.0)).alias("diversification_ratio"))
 
 
+# first day of the holding period that a date falls in
+REBALANCE = {"daily": lambda d: F.col(d), "weekly": lambda d: F.trunc(d, "week"), "monthly": lambda d: F.trunc(d, "month"),
+             "quarterly": lambda d: F.trunc(d, "quarter"), "yearly": lambda d: F.trunc(d, "year"), "never": lambda d: F.lit("1900-01-01").cast("date")}
+
+
+def value_path(bars: DataFrame, holdings: DataFrame, start=None, end=None, initial: float = 10000.0, price: str = "close",
+               rebalance: str = "daily") -> DataFrame:
+    """R-18: (portfolio_name, date, value) on every portfolio's union calendar, the first date at the initial value.
+
+    At the start of a period (``rebalance``: daily, weekly, monthly, quarterly, yearly, never) the value is dealt by the stored
+    weights, not renormalised; inside it holdings drift with their prices:
+    V_t = V_0 (1 + sum_s w_s (G_s(t) - 1)), G_s the growth of symbol s since the period began.  Sparse: G_s moves only on days with a
+    bar, so a day's level is a running sum of w_s dG_s over the bars that exist, and the value carried into a period is the product
+    of the growths of the periods before it."""
+    h = held_returns(bars, holdings, start, end, price).withColumn("_p", REBALANCE[rebalance]("date"))
+    own = Window.partitionBy(PKEY, "symbol", "_p").orderBy("date")
+    grown = F.product(1 + F.coalesce("r", F.lit(0.0))).over(own.rowsBetween(Window.unboundedPreceding, 0))
+    moved = h.withColumn("_g", grown).withColumn("_dg", F.col("_g") - F.lag("_g", 1, 1.0).over(own))
+    daily = moved.groupBy(PKEY, "_p", "date").agg(F.sum(F.col("weight") * F.col("_dg")).alias("_d"))
+    level = 1 + F.sum("_d").over(Window.partitionBy(PKEY, "_p").orderBy("date").rowsBetween(Window.unboundedPreceding, 0))
+    daily = daily.withColumn("_level", level)
+    # one row per portfolio and period
+    ends = daily.groupBy(PKEY, "_p").agg(F.max_by("_level", "date").alias("_growth"))
+    before = F.product("_growth").over(Window.partitionBy(PKEY).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
+    ends = ends.select(PKEY, "_p", (initial * F.coalesce(before, F.lit(1.0))).alias("_start"))
+    return daily.join(ends, [PKEY, "_p"]).select(PKEY, "date", (F.col("_start") * F.col("_level")).alias("value"))
+
+
 def backtest(bars: DataFrame, holdings: DataFrame, start=None, end=None, initial: float = 10000.0,
-             price: str = "close") -> DataFrame:
-    """R-18: value path V_t = initial * prod(1 + sum w*r), daily rebalanced (Q-04: the
-    reference ignores its rebalance argument).
+             price: str = "close", rebalance: str = "daily") -> DataFrame:
+    """R-18 summary of ``value_path`` (Q-04: the reference ignores its rebalance argument and always deals daily).
 
     Weights are the stored ones, not renormalised (reference), matched to symbols
     by key rather than by position (Q-03 fixed).  Summary per portfolio:
@@ -130,22 +157,12 @@ def backtest(bars: DataFrame, holdings: DataFrame, start=None, end=None, initial
     dates including the first), max_value / min_value (the initial value is part
     of the path), final_value.
     """
-    h = held_returns(bars, holdings, start, end, price).withColumn("w", F.col("weight"))
-    pr = portfolio_returns(bars, holdings, held=h)
-    cal = h.groupBy(PKEY).agg(F.countDistinct("date").alias("n_dates"))
-    path = pr.withColumn("value", initial * F.product(1 + F.col("r")).over(
-        Window.partitionBy(PKEY).orderBy("date").rowsBetween(Window.unboundedPreceding, 0)))
-    s = path.groupBy(PKEY).agg(F.max_by("value", "date").alias("last_value"),
-                               F.max("value").alias("mx"), F.min("value").alias("mn"))
-    s = cal.join(s, PKEY, "left")
-    fv = F.coalesce("last_value", F.lit(initial))
-    tr = fv / initial - 1
+    path = value_path(bars, holdings, start, end, initial, price, rebalance)
+    s = path.groupBy(PKEY).agg(F.count(F.lit(1)).alias("n_dates"), F.max_by("value", "date").alias("fv"), F.max("value").alias("mx"), F.min("value").alias("mn"))
+    tr = F.col("fv") / initial - 1
     return s.select(PKEY, (tr * 100).alias("total_return_pct"),
                     ((F.when(1 + tr > 0, F.pow(1 + tr, TRADING_DAYS / F.col("n_dates"))) - 1) * 100)
-                    .alias("annualized_return_pct"),
-                    F.greatest(F.coalesce("mx", F.lit(initial)), F.lit(initial)).alias("max_value"),
-                    F.least(F.coalesce("mn", F.lit(initial)), F.lit(initial)).alias("min_value"),
-                    fv.alias("final_value"))
+                    .alias("annualized_return_pct"), F.col("mx").alias("max_value"), F.col("mn").alias("min_value"), F.col("fv").alias("final_value"))
 
 
 def risk_attribution(bars: DataFrame, holdings: DataFrame, start=None, end=None,

@@ -64,3 +64,43 @@ FROM nd LEFT JOIN s ON nd.portfolio_name = s.portfolio_name"""), R18_COLS)
 def r18_backtest(spark, sf_dir):
     v = Views(spark, sf_dir)
     return rounded(P.backtest(v.bars, v.holdings))
+
+
+def _path_sql(period: str) -> str:
+    """Dense: every holding's growth since its period began, dealt by stored weights, periods chained."""
+    return with_views(["bars", "holdings"], "WITH " + DENSE_PORTFOLIO + f""",
+gr AS (SELECT portfolio_name, symbol, date, weight, {period} AS p, PRODUCT(1 + COALESCE(r, 0)) OVER (PARTITION BY portfolio_name, symbol, {period}
+         ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS g FROM rets),
+lv AS (SELECT portfolio_name, p, date, 1 + SUM(weight * (g - 1)) AS level FROM gr GROUP BY 1, 2, 3),
+en AS (SELECT portfolio_name, p, ARG_MAX(level, date) AS growth FROM lv GROUP BY 1, 2),
+st AS (SELECT portfolio_name, p, 10000 * COALESCE(PRODUCT(growth) OVER (PARTITION BY portfolio_name ORDER BY p
+         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 1) AS v0 FROM en)
+SELECT lv.portfolio_name, lv.date, v0 * level AS value FROM lv JOIN st ON lv.portfolio_name = st.portfolio_name AND lv.p = st.p""")
+
+
+def _register_path(name: str, rebalance: str, period: str):
+    @query(name, oround(_path_sql(period), ["value"]))
+    def path(spark, sf_dir):
+        v = Views(spark, sf_dir)
+        return rounded(P.value_path(v.bars, v.holdings, rebalance=rebalance))
+    path.__doc__ = f"R-18: value path, weights restored {rebalance}."
+
+
+_register_path("r18_value_path_daily", "daily", "date")
+_register_path("r18_value_path_monthly", "monthly", "DATE_TRUNC('month', date)")
+_register_path("r18_value_path_buy_and_hold", "never", "0")
+
+
+@query("r18_backtest_by_rebalance", oround(" UNION ALL ".join(f"""
+SELECT '{name}' AS rebalance, portfolio_name, (ARG_MAX(value, date) / 10000 - 1) * 100 AS total_return_pct,
+  (POWER(ARG_MAX(value, date) / 10000, 252.0 / COUNT(*)) - 1) * 100 AS annualized_return_pct, MAX(value) AS max_value, MIN(value) AS min_value,
+  ARG_MAX(value, date) AS final_value FROM ({_path_sql(period)}) GROUP BY portfolio_name"""
+    for name, period in (("daily", "date"), ("monthly", "DATE_TRUNC('month', date)"), ("quarterly", "DATE_TRUNC('quarter', date)"), ("never", "0"))), R18_COLS))
+def r18_by_rebalance(spark, sf_dir):
+    """R-18: the backtest's summary for each way to rebalance."""
+    v = Views(spark, sf_dir)
+    runs = [P.backtest(v.bars, v.holdings, rebalance=k).select(F.lit(k).alias("rebalance"), "*") for k in ("daily", "monthly", "quarterly", "never")]
+    out = runs[0]
+    for r in runs[1:]:
+        out = out.unionByName(r)
+    return rounded(out)

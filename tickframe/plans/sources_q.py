@@ -27,6 +27,26 @@ def s08(spark, sf):
     return back.select(*BARS8.split(", "), "data_source")
 
 
+@query("s08_landing_stream", with_views(["bars"], f"""
+SELECT 'row' AS kind, CAST(COUNT(*) AS BIGINT) AS n, CAST(COUNT(DISTINCT symbol || date::VARCHAR) AS BIGINT) AS n_distinct, CAST(SUM(volume) AS BIGINT) AS total FROM bars
+UNION ALL SELECT 'reject', COUNT(DISTINCT symbol), COUNT(DISTINCT symbol), NULL FROM bars"""))
+def s08_stream(spark, sf):
+    """S-08: files land in two parts, with one unreadable line for every symbol, and the stream is started anew after each part and
+    once more without new files: every line is read once, rejects are kept."""
+    b = Views(spark, sf).bars
+    landing, table, rejects, progress = (FS.scratch(spark, k) for k in ("landing", "landed", "landed-rejects", "landed-progress"))
+    early = F.col("date") < F.lit("1995-01-01").cast("date")
+    bad = b.select("symbol", "data_source").distinct().select("symbol", F.lit("no date").alias("date"), *(F.lit("x").alias(c) for c in BARS8.split(", ")[2:]), "data_source")
+    for part in (b.where(early), b.where(~early), bad):
+        part.write.mode("append").partitionBy("data_source", "symbol").option("header", True).csv(landing)
+        FS.stream_landing_csv(spark, landing, table, rejects, progress)
+    FS.stream_landing_csv(spark, landing, table, rejects, progress)
+    rows, lines = spark.read.parquet(table), spark.read.parquet(rejects)
+    read = rows.agg(F.lit("row").alias("kind"), F.count(F.lit(1)).alias("n"), F.countDistinct("symbol", "date").alias("n_distinct"), F.sum("volume").alias("total"))
+    return read.unionByName(lines.agg(F.lit("reject").alias("kind"), F.count(F.lit(1)).alias("n"), F.countDistinct("source_file").alias("n_distinct"),
+                                      F.lit(None).cast("bigint").alias("total")))
+
+
 @query("s09_parse_vendor_bars", with_views(["bars"], """
 SELECT symbol, date, open, high, low, close, volume, 'alpha_vantage' AS data_source FROM bars"""))
 def s09(spark, sf):
@@ -229,6 +249,28 @@ def s21(spark, sf):
     return rounded(twice)
 
 
+@query("s21_upsert_partitions", with_views(["bars"], """
+SELECT CAST(YEAR(date) * 100 + MONTH(date) AS INTEGER) AS month, YEAR(date) * 100 + MONTH(date) IN (199503, 199611) AS rewritten,
+  CAST(COUNT(*) AS BIGINT) AS n, CAST(COUNT(*) FILTER (DAYOFMONTH(date) = 15 AND YEAR(date) * 100 + MONTH(date) IN (199503, 199611)) AS BIGINT) AS corrected
+FROM bars GROUP BY 1, 2"""))
+def s21_partitions(spark, sf):
+    """S-21 on a stored table, partitioned by month: corrections of two months rewrite the files of those two, and applying them
+    twice changes nothing more."""
+    b = Views(spark, sf).bars.select("symbol", "date", "close", F.lit("2024-01-01").cast("timestamp").alias("loaded_at"),
+                                     (F.year("date") * 100 + F.month("date")).alias("month"))
+    path = FS.scratch(spark, "monthly_prices")
+    FS.upsert_partitions(spark, path, b, "month")
+    files = lambda: spark.read.parquet(path).select("month", F.input_file_name().alias("file")).distinct()
+    before = files().checkpoint()
+    fixed = b.where((F.dayofmonth("date") == 15) & F.col("month").isin(199503, 199611)) \
+        .withColumns({"close": F.col("close") * 1.01, "loaded_at": F.lit("2024-01-02").cast("timestamp")})
+    FS.upsert_partitions(spark, path, fixed, "month")
+    FS.upsert_partitions(spark, path, fixed, "month")
+    same = before.join(files(), ["month", "file"]).select("month").distinct().withColumn("_same", F.lit(True))
+    rows = spark.read.parquet(path).groupBy("month").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("loaded_at") > F.lit("2024-01-01")).alias("corrected"))
+    return rows.join(same, "month", "left").select("month", F.col("_same").isNull().alias("rewritten"), "n", "corrected")
+
+
 @query("s22_replace_table", oround(with_views(["stock_info"], "SELECT symbol, market_cap FROM stock_info"), ["market_cap"], 2))
 def s22(spark, sf):
     """S-22: overwrite replaces the whole table (the second write wins)."""
@@ -316,6 +358,38 @@ def s28(spark, sf):
     return FS.apply_changes(cur, new.withColumn("sequence", F.lit(0)).unionByName(feed), key="name")
 
 
+@query("s28_validated_writes", with_views(["holdings"], """
+WITH p AS (SELECT portfolio_name AS name, list(symbol ORDER BY pos) AS s, list(weight ORDER BY pos) AS w FROM holdings GROUP BY 1),
+v AS (SELECT * FROM (VALUES ('ok'), ('short'), ('sum'), ('bounds'), ('unreadable'), ('null'), ('no name'), ('empty')) t(fault)),
+r AS (SELECT CASE WHEN fault = 'no name' THEN ' ' ELSE name END AS name, fault, CASE fault WHEN 'empty' THEN [] ELSE s END AS s,
+        CASE fault WHEN 'short' THEN w[:-2] WHEN 'sum' THEN [x * 1.5 FOR x IN w] WHEN 'bounds' THEN [1.2, -0.2] || [0.0 FOR x IN w[3:]]
+          WHEN 'unreadable' THEN NULL WHEN 'null' THEN [NULL] || w[2:] WHEN 'empty' THEN [] ELSE w END AS w FROM p, v)
+SELECT name, fault, array_to_string(list_filter([CASE WHEN trim(name) = '' THEN 'no_name' END, CASE WHEN w IS NULL THEN 'weights_unreadable' END,
+  CASE WHEN len(s) <> len(w) THEN 'length_mismatch' END, CASE WHEN w IS NOT NULL AND len(s) NOT BETWEEN 1 AND 50 THEN 'symbol_count' END,
+  CASE WHEN list_count(w) < len(w) THEN 'null_entry' END,
+  CASE WHEN len(s) = len(w) AND list_count(w) = len(w) AND abs(coalesce(list_sum(w), 0) - 1) > 0.01 THEN 'weights_sum' END,
+  CASE WHEN len(s) = len(w) AND list_count(w) = len(w) AND len(list_filter(w, lambda x: x < 0.01 OR x > 1)) > 0 THEN 'weight_bounds' END],
+  lambda x: x IS NOT NULL), ',') AS reasons FROM r"""))
+def s28_validated(spark, sf):
+    """S-28 with F-09 and F-10: portfolio writes, good ones and ones with every kind of fault, split by the constraints; the accepted
+    rows and the rejects are written as tables and read back."""
+    from tickframe.operators import quality as Q
+    p = Q.portfolio_arrays(Views(spark, sf).holdings).select(F.col("portfolio_name").alias("name"), "symbols", "weights")
+    faults = spark.createDataFrame([(f,) for f in ("ok", "short", "sum", "bounds", "unreadable", "null", "no name", "empty")], "fault string")
+    p = p.join(F.broadcast(faults))  # a fixed list of eight
+    w, fault, none = F.col("weights"), F.col("fault"), F.array().cast("array<double>")
+    broken = (F.when(fault == "short", F.slice(w, F.lit(1), F.size(w) - 1)).when(fault == "sum", F.transform(w, lambda x: x * 1.5))
+              .when(fault == "bounds", F.concat(F.array(F.lit(1.2), F.lit(-0.2)), F.transform(F.slice(w, F.lit(3), F.size(w)), lambda x: F.lit(0.0))))
+              .when(fault == "null", F.concat(F.array(F.lit(None).cast("double")), F.slice(w, F.lit(2), F.size(w)))).when(fault == "empty", none).otherwise(w))
+    rows = p.select(F.when(fault == "no name", F.lit(" ")).otherwise(F.col("name")).alias("name"), "fault",
+                    F.when(fault == "empty", F.lit("[]")).otherwise(F.to_json("symbols")).alias("symbols"),
+                    F.when(fault == "unreadable", F.lit("no weights")).otherwise(F.to_json(broken, {"ignoreNullFields": "false"})).alias("weights"))
+    good, rejects = FS.validated_portfolios(rows)
+    a, b = FS.write_table(good, FS.scratch(spark, "portfolios")), FS.write_table(rejects, FS.scratch(spark, "portfolio_rejects"))
+    return spark.read.parquet(a).select("name", "fault", F.lit("").alias("reasons")).unionByName(
+        spark.read.parquet(b).select("name", "fault", F.array_join("reasons", ",").alias("reasons")))
+
+
 @query("s27_run_keys", with_views(["holdings"], """
 SELECT portfolio_name, 'portfolio_analytics:' || md5('1992-01-01|1998-12-31|' || string_agg(symbol || '=' || printf('%.6f', weight), ',' ORDER BY symbol))
          AS run_key,

@@ -239,24 +239,19 @@ def st09(spark, sf):
     an exact repeat and is removed with dropDuplicatesWithinWatermark before the upsert."""
     ev = Views(spark, sf).table("events")
     src = RUN.stage_events(ev, repeat_batch=1)
-    table = FS.scratch(spark, "ticks")
-    ck = FS.scratch(spark, "ticks-ckpt")
+    table, ck = FS.scratch(spark, "ticks"), FS.scratch(spark, "ticks-ckpt")
 
     def upsert_batch(batch, epoch):
-        # the version of an epoch is made from that of the epoch before, so a repeated epoch makes the same version again
-        b = batch.withColumnRenamed("ts", "loaded_at")
-        before = [v for v in RUN.folders(spark, table) if v < f"{epoch:09d}"]
-        cur = spark.read.schema(b.schema).parquet(f"{table}/{before[-1]}") if before else b.limit(0)
-        FS.upsert(cur, b, keys=("event_type", "minute")).write.mode("overwrite").parquet(f"{table}/{epoch:09d}")
+        # an upsert leaves the same rows when an epoch is repeated; files of days without ticks in the batch stay
+        FS.upsert_partitions(spark, table, batch, "day", ("event_type", "minute"))
 
     def start(folder):
         s = O.as_samples(RUN.read_stream(spark, folder)).withWatermark("ts", "10 minutes").dropDuplicatesWithinWatermark(["event_id"])
-        s = s.select("event_type", F.date_trunc("minute", "ts").alias("minute"), "value", "ts")
+        s = s.select("event_type", F.date_trunc("minute", "ts").alias("minute"), "value", F.col("ts").alias("loaded_at"), F.to_date("ts").alias("day"))
         return s.writeStream.outputMode("append").foreachBatch(upsert_batch).option("checkpointLocation", ck).trigger(availableNow=True).start()
 
     RUN.drive(spark, src, start)
-    out = spark.read.parquet(f"{table}/{RUN.folders(spark, table)[-1]}")
-    return _ntz(out.select("event_type", "minute", "value", F.col("loaded_at").alias("ts")), "minute", "ts")
+    return _ntz(spark.read.parquet(table).select("event_type", "minute", "value", F.col("loaded_at").alias("ts")), "minute", "ts")
 
 
 @query("st10_hourly_bars", f"""

@@ -70,6 +70,25 @@ def landing_rejects(landed: DataFrame) -> DataFrame:
     return landed.where(F.col("corrupt").isNotNull() & _parsed(landed)).select("source_file", F.col("corrupt").alias("line"))
 
 
+def stream_landing_csv(spark: SparkSession, path: str, table: str, rejects: str, progress: str, schema: T.StructType = BAR_SCHEMA) -> None:
+    """S-08 as a file stream: the files that came to the landing folder since the last call go to table, lines that do not fit the
+    schema to rejects.  ``progress`` remembers the files, so a call after a restart repeats none; a repeated micro-batch
+    overwrites the folder of its epoch.  data_source and symbol come back from the folder names."""
+    kept = [f for f in schema.fields if f.name not in ("data_source", "symbol")] + [T.StructField("corrupt", T.StringType())]
+    folders = [f for f in schema.fields if f.name in ("data_source", "symbol")]
+    lines = (spark.readStream.schema(T.StructType(kept + folders)).option("header", True).option("mode", "PERMISSIVE")
+             .option("columnNameOfCorruptRecord", "corrupt").csv(path).withColumn("source_file", F.input_file_name()))
+
+    def land(batch: DataFrame, epoch: int) -> None:
+        batch = batch.persist()  # parsed once for both outputs; a lost part is parsed again from the files
+        try:
+            landing_rows(batch).drop("source_file").write.mode("overwrite").parquet(f"{table}/epoch={epoch}")
+            landing_rejects(batch).write.mode("overwrite").parquet(f"{rejects}/epoch={epoch}")
+        finally:
+            batch.unpersist()
+    lines.writeStream.foreachBatch(land).option("checkpointLocation", progress).trigger(availableNow=True).start().awaitTermination()
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by=()) -> str:
     """S-20 / S-22 / S-23 / S-29: set-based write (append or replace), optional partitioning."""
     w = df.write.mode(mode)
@@ -208,6 +227,26 @@ def upsert(current: DataFrame, updates: DataFrame, keys=("symbol", "date"), vers
     return u.groupBy(*keys).agg(best.alias("_r")).select(*keys, "_r.*")
 
 
+def upsert_partitions(spark: SparkSession, path: str, updates: DataFrame, partition: str, keys=("symbol", "date"), version: str = "loaded_at") -> None:
+    """S-21 / ST-09 on a stored table: reads and rewrites the partitions that the updates touch, and no others.
+
+    Dynamic partition overwrite replaces their files; files of all other partitions stay as they are.  Applied again, the
+    same updates leave the same rows, so a repeated batch does no harm.  updates carries the partition column, which must be
+    a function of the keys."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stored = fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(fs_path)
+    merged = updates
+    if stored:
+        touched = [r[0] for r in updates.select(partition).distinct().collect()]  # partitions of one batch, for static pruning
+        if not touched:
+            return
+        current = spark.read.schema(updates.schema).parquet(path).where(F.col(partition).isin(touched))
+        merged = upsert(current, updates, (*keys, partition), version)
+    merged = upsert(updates.limit(0), updates, (*keys, partition), version) if not stored else merged
+    merged.select(*updates.columns).hint("rebalance", F.col(partition)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy(partition).parquet(path)
+
+
 PORTFOLIO_JSON_SCHEMA = T.StructType([
     T.StructField("id", T.LongType()), T.StructField("name", T.StringType()),
     T.StructField("symbols", T.StringType()), T.StructField("weights", T.StringType()),
@@ -245,6 +284,32 @@ def apply_changes(current: DataFrame, changes: DataFrame, key: str = "id") -> Da
         key, *[F.coalesce(F.col(f"_n_{c}"), F.when(F.coalesce(fresh, F.lit(False)), F.lit(None)).otherwise(F.col(c))).alias(c) for c in data_cols])
 
 
+# fixed values: tolerance of the weights' sum, bounds of a weight and of the number of symbols
+WEIGHT_TOLERANCE, WEIGHT_BOUNDS, SYMBOL_BOUNDS = 0.01, (0.01, 1.0), (1, 50)
+
+
+def validated_portfolios(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """S-28 with F-09 and F-10: (rows fit to be written, rejects with reasons) of portfolio writes.
+
+    rows carries name and the JSON texts symbols and weights; rejects keep their columns and gain ``reasons``, all that apply:
+    no_name, symbols_unreadable, weights_unreadable, length_mismatch, symbol_count, null_entry, weights_sum, weight_bounds.
+    Weights of unreadable or unequal arrays are not judged further.  The two outputs share one pass."""
+    symbols, weights = F.from_json("symbols", "array<string>"), F.from_json("weights", "array<double>")
+    # JSON that is no array of the kind comes back as null or, inside an otherwise good array, as null entries
+    d = rows.withColumns({"_s": symbols, "_w": weights})
+    both = F.col("_s").isNotNull() & F.col("_w").isNotNull()
+    fit = both & (F.size("_s") == F.size("_w"))
+    null_in = F.exists("_s", lambda x: x.isNull()) | F.exists("_w", lambda x: x.isNull())
+    whole = fit & ~F.coalesce(null_in, F.lit(False))
+    total = F.aggregate("_w", F.lit(0.0), lambda a, x: a + x)
+    checks = [("no_name", F.col("name").isNull() | (F.trim("name") == "")), ("symbols_unreadable", F.col("_s").isNull()),
+              ("weights_unreadable", F.col("_w").isNull()), ("length_mismatch", both & ~fit), ("symbol_count", both & ~F.size("_s").between(*SYMBOL_BOUNDS)),
+              ("null_entry", both & null_in), ("weights_sum", whole & (F.abs(total - 1.0) > WEIGHT_TOLERANCE)),
+              ("weight_bounds", whole & F.exists("_w", lambda x: (x < WEIGHT_BOUNDS[0]) | (x > WEIGHT_BOUNDS[1])))]
+    judged = d.withColumn("reasons", F.array_compact(F.array(*(F.when(bad, F.lit(name)) for name, bad in checks)))).drop("_s", "_w")
+    return judged.where(F.size("reasons") == 0).drop("reasons"), judged.where(F.size("reasons") > 0)
+
+
 def history_entries(name: str, criteria: dict, result_count_df: DataFrame, at) -> DataFrame:
     """S-24: one history row (filter_name, filter_criteria JSON, result_count, created_at)."""
     crit = F.to_json(F.struct(*[F.lit(v if not isinstance(v, (list, tuple)) else list(v)).alias(k)
