@@ -13,10 +13,18 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BLOCK_BYTES = 1 << 20
-_MASK = (1 << 64) - 1
-_BASE = 0x9E3779B97F4A7C15 | 1
-_BASE_INV = pow(_BASE, -1, 1 << 64)
-_powers = {"n": 0, "p": None, "q": None}
+# Slices are hashed by polynomials modulo the prime 2**31 - 1, for two bases at once (62 bits).  Modulo a power of two there
+# are short words (Thue-Morse) that collide for every base; modulo a prime two words of n places collide for n bases at most.
+_PRIME = np.uint64((1 << 31) - 1)
+_BASES = (0x3C6EF372, 0x5BE0CD19)
+_powers: list[dict] = [{"n": 0, "p": None, "q": None} for _ in _BASES]
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """x (below 2**63) modulo the prime, without a division."""
+    x = (x & _PRIME) + (x >> np.uint64(31))
+    x = (x & _PRIME) + (x >> np.uint64(31))
+    return np.where(x >= _PRIME, x - _PRIME, x)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -64,15 +72,20 @@ def slices(mask: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if _powers["n"] < n:
+def _power_run(base: int, n: int) -> np.ndarray:
+    """base**0, base**1, ... modulo the prime, by doubling."""
+    out = np.ones(1, np.uint64)
+    while out.size < n:
+        out = np.concatenate([out, _reduced(out * np.uint64(pow(base, out.size, int(_PRIME))))])
+    return out[:n]
+
+
+def _power_tables(k: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    table = _powers[k]
+    if table["n"] < n:
         m = max(n, BLOCK_BYTES + 1)
-        for k, base in (("p", _BASE), ("q", _BASE_INV)):
-            a = np.full(m, base, np.uint64)
-            a[0] = 1
-            _powers[k] = np.multiply.accumulate(a)
-        _powers["n"] = m
-    return _powers["p"][:n], _powers["q"][:n]
+        table |= {"p": _power_run(_BASES[k], m), "q": _power_run(pow(_BASES[k], -1, int(_PRIME)), m), "n": m}
+    return table["p"][:n], table["q"][:n]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -93,18 +106,21 @@ def value_table(seed: int = 1, lower: bool = False) -> np.ndarray:
     return t
 
 
-def prefix_sums(values: np.ndarray) -> np.ndarray:
-    """Polynomial prefix sums modulo 2**64: the hash of any slice is a difference (see slice_hash)."""
-    p, _ = _power_tables(values.size + 1)
-    out = np.zeros(values.size + 1, np.uint64)
-    np.cumsum(values * p[:values.size], out=out[1:])
-    return out
+def prefix_sums(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Polynomial prefix sums of the low and the high half of the values: the hash of any slice is a difference (see slice_hash)."""
+    out = []
+    for k, part in enumerate((values & _PRIME, (values >> np.uint64(32)) & _PRIME)):
+        p, _ = _power_tables(k, values.size + 1)
+        sums = np.zeros(values.size + 1, np.uint64)
+        np.cumsum(_reduced(part * p[:values.size]), out=sums[1:])  # below 2**31 times the values, so exact up to 2**32 of them
+        out.append(sums)
+    return out[0], out[1]
 
 
-def slice_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Mixed 64-bit hashes of slices; equal slices have equal hashes wherever they start."""
-    _, q = _power_tables(sums.size)
-    return mix((sums[ends] - sums[starts]) * q[starts] + (ends - starts).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+def slice_hash(sums: tuple[np.ndarray, np.ndarray], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Mixed 64-bit hashes of slices (62 bits of information); equal slices have equal hashes wherever they start."""
+    one, two = (_reduced(_reduced(s[ends] - s[starts]) * _power_tables(k, s.size)[1][starts]) for k, s in enumerate(sums))
+    return mix((one | two << np.uint64(32)) + (ends - starts).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
 
 
 def sliding_min(h: np.ndarray, w: int) -> np.ndarray:
