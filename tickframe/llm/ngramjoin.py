@@ -103,6 +103,12 @@ def global_order(loads: np.ndarray) -> dict[str, np.ndarray]:
     return {"loads": loads, "cuts": cuts, "salts": (1 + np.maximum(0, loads - 2 * mean) // SPLIT).astype(np.int64)}
 
 
+def _equal_overlap(n):
+    """Least overlap of a set of n shingles with one that is no smaller."""
+    both = NUMERATOR + DENOMINATOR
+    return (2 * NUMERATOR * n + both - 1) // both
+
+
 def _prefixes(order_shared):
     def task(batches):
         order, seen = order_shared.value, set()
@@ -119,11 +125,12 @@ def _prefixes(order_shared):
                     seen.add(s)
                     fresh[k] = True
             keep = (at < length[row]) & fresh[row]
+            short = (at < (n - _equal_overlap(n) + 1)[row])[keep]
             row, h = row[keep], h[keep]
             salts, s = order["salts"][_bucket(h)], sig[row]
             yield pa.RecordBatch.from_pydict({
                 "token": pa.array(h.view(np.int64), pa.int64()), "sig": pa.array(s, pa.int64()),
-                "salt": pa.array(np.where(salts > 1, s % salts, 0).astype(np.int16), pa.int16()), "split": pa.array(salts > 1, pa.bool_())})
+                "salt": pa.array(np.where(salts > 1, s % salts, 0).astype(np.int16), pa.int16()), "split": pa.array(salts > 1, pa.bool_()), "short": pa.array(short, pa.bool_())})
     return task
 
 
@@ -261,17 +268,13 @@ def _overlaps(docs: DataFrame, pairs: DataFrame, order) -> DataFrame:
     return both.where(DENOMINATOR * F.col("common") >= NUMERATOR * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
 
 
-def _prefix_rest(n):
-    """Shingles of a set behind its prefix."""
-    return F.floor((NUMERATOR * n + DENOMINATOR - 1) / F.lit(DENOMINATOR)) - 1
-
-
 def _may_reach(c, na, nb):
-    """Whether c common prefix shingles leave the threshold possible: behind the prefix that ends first no more than the rest
-    of that set can be common."""
-    sizes = DENOMINATOR * F.least(na, nb) >= NUMERATOR * F.greatest(na, nb)
-    bound = c + F.greatest(_prefix_rest(na), _prefix_rest(nb))
-    return sizes & ((NUMERATOR + DENOMINATOR) * bound >= NUMERATOR * (na + nb))
+    """Whether c shingles common to the smaller set's short prefix and the larger set's prefix leave the threshold possible:
+    behind the prefix that ends first no more than the rest of that set can be common."""
+    small, large, both = F.least(na, nb), F.greatest(na, nb), NUMERATOR + DENOMINATOR
+    rest_small = F.floor((2 * NUMERATOR * small + both - 1) / F.lit(both)) - 1
+    rest_large = F.floor((NUMERATOR * large + DENOMINATOR - 1) / F.lit(DENOMINATOR)) - 1
+    return (DENOMINATOR * small >= NUMERATOR * large) & (both * (c + F.greatest(rest_small, rest_large)) >= NUMERATOR * (na + nb))
 
 
 def _open(members: DataFrame) -> DataFrame:
@@ -282,17 +285,22 @@ def _open(members: DataFrame) -> DataFrame:
 
 
 def _cross(members: DataFrame) -> DataFrame:
-    """A row (a, b, na, nb) for every shingle that two documents of different components share; a < b."""
+    """A row (a, b, na, nb) for every shingle that two documents of different components share; a < b.
+
+    The shingle must lie in the short prefix of the smaller one: a set and one that is no smaller overlap in 2t / (1 + t) of the
+    smaller at least, so they share one of its first n - ceil(2t n / (1 + t)) + 1.  Only that side's rows are joined, so documents
+    that have nothing but a common line in common, which comes late in their order, do not meet at all."""
     members = members.join(_open(members).select("token", "big"), "token")
-    side = lambda s: [F.col(c).alias(c + s) for c in ("rep", "n", "comp")]
+    side = lambda s: [F.col(c).alias(c + s) for c in ("rep", "n", "comp", "short")]
     few = members.where("comp <> big").select("token", *side("1"))
     rest = members.select("token", (F.col("comp") == F.col("big")).alias("main"), *side("2"))
     fit = (F.col("comp1") != F.col("comp2")) & (F.col("main") | (F.col("rep1") < F.col("rep2"))) \
         & (DENOMINATOR * F.least("n1", "n2") >= NUMERATOR * F.greatest("n1", "n2"))
+    pairs = few.where("short1").join(rest, "token").where(fit & (F.col("n1") <= F.col("n2"))) \
+        .unionByName(few.join(rest.where("short2"), "token").where(fit & (F.col("n2") < F.col("n1"))))
     swap = F.col("rep1") > F.col("rep2")
-    return few.join(rest, "token").where(fit).select(
-        F.least("rep1", "rep2").alias("a"), F.greatest("rep1", "rep2").alias("b"),
-        F.when(swap, F.col("n2")).otherwise(F.col("n1")).alias("na"), F.when(swap, F.col("n1")).otherwise(F.col("n2")).alias("nb"))
+    return pairs.select(F.least("rep1", "rep2").alias("a"), F.greatest("rep1", "rep2").alias("b"),
+                        F.when(swap, F.col("n2")).otherwise(F.col("n1")).alias("na"), F.when(swap, F.col("n1")).otherwise(F.col("n2")).alias("nb"))
 
 
 def link_components(docs: DataFrame) -> DataFrame:
@@ -310,9 +318,9 @@ def link_components(docs: DataFrame) -> DataFrame:
     named = docs.where("doc_id IS NOT NULL")
     # prefix shingles of more than one set; pivot: the least set of the shingle, or of its salted group
     group = Window.partitionBy("token", "salt")
-    shared = named.mapInArrow(_prefixes(order), "token bigint, sig bigint, salt smallint, split boolean") \
+    shared = named.mapInArrow(_prefixes(order), "token bigint, sig bigint, salt smallint, split boolean, short boolean") \
         .withColumns({"pivot": F.min("sig").over(group), "top": F.max("sig").over(group)}) \
-        .where("split OR pivot <> top").select("token", "sig", "pivot", "split").distinct().transform(stored)
+        .where("split OR pivot <> top").select("token", "sig", "pivot", "split", "short").distinct().transform(stored)
     met = shared.where("sig <> pivot").groupBy("sig", "pivot").agg(F.count(F.lit(1)).alias("c"))
     tops = shared.where("split").groupBy("token").agg(F.min("pivot").alias("top"))
     again = shared.where("split").select("token", "pivot").distinct().join(tops, "token").where("pivot <> top") \
@@ -326,7 +334,7 @@ def link_components(docs: DataFrame) -> DataFrame:
     # second round: sets of different components that share a prefix shingle
     near = components(links)
     at = nodes.join(near, F.col("rep") == F.col("id"), "left").select("sig", "rep", "n", F.coalesce("component", "rep").alias("comp"))
-    members = shared.select("token", "sig").distinct().join(at, "sig").select("token", "rep", "n", "comp")
+    members = shared.select("token", "sig", "short").distinct().join(at, "sig").select("token", "rep", "n", "comp", "short")
     # a dense shingle is one of a large group of near copies: documents meet the others of it in blocks; pairs that share no
     # dense shingle have all that they share below
     dense = (F.col("k") > HOT) & (F.col("most") * DENSE >= F.col("k"))
