@@ -13,7 +13,7 @@ the same place, so a shard sees all partners.
    A gram in more than SPLIT contexts is dealt by whole windows instead (``_deal``), so that no shard grows with the corpus.
 
 Defined results: null is the empty text; fewer than WINDOW words keep everything; rows without an id count as larger
-than all ids; rows of the same id are not smaller than one another; an empty table gives no rows.
+than all ids (which lie below NULL_IDS) and none smaller than another; rows of the same id are not smaller than one another; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -34,6 +34,7 @@ WINDOW, GRAM = 13, 5
 REACH = WINDOW - GRAM
 SPLIT = 20_000
 NO_ID = (1 << 63) - 1
+NULL_IDS = NO_ID - (1 << 61)  # ids of documents lie below; rows without one get keys above, and all rank as this value
 
 
 def _words(data: np.ndarray, offsets: np.ndarray):
@@ -112,6 +113,7 @@ def _shard(batches):
     for b in batches:
         out = {k: [] for k in ("gram", "context", "least", "greatest")}
         for gram, part, context, i, before, text in zip(*(b.column(c).to_pylist() for c in ("gram", "part", "context", "id", "before", "words"))):
+            i = min(i, NULL_IDS)  # rows without an id are not smaller than each other
             if key != (gram, part):
                 key, who, automaton, waiting = (gram, part), i, SuffixAutomaton(), []
             elif who != i:  # the contexts of smaller ids are references now
@@ -131,12 +133,13 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """For docs (id, text): word spans (id, starts, ends) to remove, and the ids of which the whole text has a copy of smaller id."""
     spark = docs.sparkSession
     checkpoint_dir(spark)
-    texts = docs.where(F.octet_length("text") >= 2 * WINDOW - 1).select("id", F.sha2("text", 256).alias("digest"))
-    firsts = texts.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    whole = texts.join(firsts, "digest").where("id <> first").select("id").distinct().checkpoint()
+    place = F.least("id", F.lit(NULL_IDS))  # in the order of ids
+    texts = docs.where(F.octet_length("text") >= 2 * WINDOW - 1).select("id", place.alias("place"), F.sha2("text", 256).alias("digest"))
+    firsts = texts.groupBy("digest").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    whole = texts.join(firsts, "digest").where("place <> first").select("id").distinct().checkpoint()
     unique = docs.join(bounded(whole), "id", "left_anti")
     tuples = unique.mapInArrow(_tuples, _TUPLES)
-    again = tuples.groupBy("gram").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a <> b").select("gram")
+    again = tuples.groupBy("gram").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("gram")
     tuples = stored(tuples.join(again, "gram", "left_semi"))
     kinds = tuples.groupBy("gram", "context").agg(F.min(F.struct("id", "at")).alias("one")).transform(stored)
     several = kinds.groupBy("gram").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
@@ -149,8 +152,8 @@ def repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = dealt.repartition(n, "gram", "part").sortWithinPartitions("gram", "part", "id") \
         .mapInArrow(_shard, "gram bigint, context bigint, least bigint, greatest bigint") \
         .groupBy("gram", "context").agg(F.min("least").alias("least"), F.max("greatest").alias("greatest"))
-    first = kinds.select("gram", "context", F.col("one.id").alias("first")).join(found, ["gram", "context"], "left")
-    hits = tuples.join(first, ["gram", "context"]).withColumn("later", F.col("id") > F.col("first"))
+    first = kinds.select("gram", "context", F.least("one.id", F.lit(NULL_IDS)).alias("first")).join(found, ["gram", "context"], "left")
+    hits = tuples.join(first, ["gram", "context"]).withColumn("later", place > F.col("first"))
     least = F.when(F.col("later"), F.greatest(F.lit(0), REACH - F.col("behind"))).otherwise(F.col("least"))
     greatest = F.when(F.col("later"), F.col("before")).otherwise(F.col("greatest"))
     spans = hits.where("later OR least IS NOT NULL").select("id", (F.col("at") - greatest).cast("long").alias("start"), (F.col("at") - least + WINDOW).cast("long").alias("end")) \
@@ -184,7 +187,7 @@ def _cut(keep_text: bool):
 def deduplicate(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     """A row per row of docs (doc_id, text): doc_id, n_words, n_removed, kept_sha256, with keep_text the words left as text."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    docs = docs.withColumn("id", F.coalesce("doc_id", F.lit(NO_ID) - F.pmod(F.xxhash64("text"), F.lit(1 << 40))))
+    docs = docs.withColumn("id", F.coalesce("doc_id", F.lit(NO_ID) - F.pmod(F.xxhash64("text"), F.lit(1 << 61))))
     spans, whole = repeats(docs.select("id", "text"))
     marks = spans.join(whole.withColumn("whole", F.lit(True)), "id", "full")
     rows = docs.join(marks, "id", "left").select("doc_id", "text", "starts", "ends", "whole")
