@@ -9,6 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tickframe.llm import decontaminate, ngramjoin, substringdedup, suffixdedup
+from tickframe.llm import blocks as B
 from tickframe.llm.automaton import SuffixAutomaton
 
 COLS = "doc_id long, text string, n_words string, id string"
@@ -131,3 +132,73 @@ def test_induced_offsets(rows):
         fits = [o for o in range(width + 1) if len(f) >= o and len(b) >= width - o and any(
             j != i and g2 == g and f2[:o] == f[:o] and len(f2) >= o and len(b2) >= width - o and b2[:width - o] == b[:width - o] for j, (g2, f2, b2) in enumerate(rows))]
         assert (least[i], greatest[i]) == ((min(fits), max(fits)) if fits else (width + 1, -1)), (rows, i)
+
+
+def _thue_morse(n):
+    return "".join("ab"[bin(i).count("1") & 1] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_words_that_collide_modulo_powers_of_two(spark, n):
+    word, other = _thue_morse(n), _thue_morse(2 * n)[n:]
+    assert word != other and len(word) == len(other)
+    docs = spark.createDataFrame([(1, word), (2, other)], "doc_id long, text string")
+    assert sorted(r.component_id for r in ngramjoin.link_components(docs).collect()) == [1, 2]
+    rest = " ".join(f"w{k}" for k in range(12))
+    docs = spark.createDataFrame([(1, f"{rest} {word}"), (2, f"{rest} {other}")], "doc_id long, text string")
+    assert [r.n_removed for r in substringdedup.deduplicate(docs).collect()] == [0, 0]
+    got = suffixdedup.deduplicate(spark.createDataFrame([(1, word * 2), (2, other * 2 + "c")], "doc_id long, text string"))
+    assert sorted(tuple(r)[:4] for r in got.collect()) == [x[:4] for x in H.repeats_of_bytes([(1, word * 2), (2, other * 2 + "c")])]
+
+
+def test_slice_hash_of_equal_slices():
+    rng = np.random.default_rng(3)
+    data = rng.integers(0, 256, 3000, dtype=np.uint8)
+    both = np.concatenate([data, data[:1000], data])
+    sums = B.prefix_sums(B.value_table(5)[both])
+    a, n = rng.integers(0, 900, 500), rng.integers(0, 100, 500)
+    h = B.slice_hash(sums, a, a + n)
+    assert (h == B.slice_hash(sums, a + 3000, a + 3000 + n)).all() and (h == B.slice_hash(sums, a + 4000, a + 4000 + n)).all()
+    assert len(set(h.tolist())) == len({data[x:x + m].tobytes() for x, m in zip(a, n)})
+
+
+def test_rows_without_ids_are_not_smaller_than_each_other(spark):
+    common = " ".join(f"c{k}" for k in range(20))
+    rows = [(None, f"one {common}"), (None, f"two {common} end"), (None, f"two {common} end")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((tuple(r) for r in substringdedup.deduplicate(df).collect()), key=str) == H.repeats_of_words(rows)
+    rows += [(7, f"zero {common}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((tuple(r) for r in substringdedup.deduplicate(df).collect()), key=str) == H.repeats_of_words(rows)
+
+
+def test_a_common_line_does_not_pair_documents(spark):
+    """Short documents with one common line and a word of their own: no link, and no pair either."""
+    rows = [(i, f"a b c d e f g x{i}") for i in range(400)] + [(1000, "a b c d e f g x1 x1"), (1001, "a b c d e f g x1 x1")]
+    seen = []
+    cross = ngramjoin._cross
+    ngramjoin._cross = lambda members: seen.append(cross(members)) or seen[-1]
+    try:
+        got = ngramjoin.link_components(spark.createDataFrame(rows, "doc_id long, text string"))
+        assert sorted((tuple(r) for r in got.collect()), key=str) == H.jaccard_components(rows)
+        assert seen[0].count() <= 2 * len(rows)
+    finally:
+        ngramjoin._cross = cross
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_links_of_sets_of_different_sizes(spark, seed):
+    """Near copies with words added, cut or changed, around common lines: links between sets of equal and of different sizes."""
+    rng = random.Random(seed)
+    lines = [" ".join(f"l{k}w{j}" for j in range(12)) for k in range(4)]
+    rows = []
+    for g in range(25):
+        base = [f"g{g}w{j}" for j in range(rng.randint(6, 40))] + rng.choice(lines).split()
+        for _ in range(rng.randint(1, 5)):
+            w = list(base)
+            for _ in range(rng.randint(0, 3)):
+                k = rng.randrange(len(w))
+                w[k:k + 1] = rng.choice([[], ["new"], [w[k], f"add{rng.randrange(9)}"]])
+            rows.append((len(rows), " ".join(w + rng.choice([[], rng.choice(lines).split()]))))
+    got = ngramjoin.link_components(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted((tuple(r) for r in got.collect()), key=str) == H.jaccard_components(rows)
