@@ -6,6 +6,8 @@ The helpers run inside ``mapInArrow`` tasks.  A block is a run of whole rows who
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,11 +22,15 @@ _BASES = (0x3C6EF372, 0x5BE0CD19)
 _powers: list[dict] = [{"n": 0, "p": None, "q": None} for _ in _BASES]
 
 
+def _folded(x: np.ndarray) -> np.ndarray:
+    """A smaller number of the same remainder: below 2**33 for any x, below 2**32 for products of two remainders."""
+    return (x & _PRIME) + (x >> np.uint64(31))
+
+
 def _reduced(x: np.ndarray) -> np.ndarray:
-    """x (below 2**63) modulo the prime, without a division."""
-    x = (x & _PRIME) + (x >> np.uint64(31))
-    x = (x & _PRIME) + (x >> np.uint64(31))
-    return np.where(x >= _PRIME, x - _PRIME, x)
+    """x modulo the prime, without a division."""
+    x = _folded(_folded(x))
+    return np.minimum(x, x - _PRIME)  # what is below the prime wraps round to a large number
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -39,8 +45,20 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def release() -> None:
+    """Gives back what earlier tasks of this Python worker left: functions sent by value (with their tables) go in cycles, Arrow and
+    the C library keep freed pages; workers of an executor outlive stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 def blocks(batches, column: str, max_bytes: int = BLOCK_BYTES) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """(rows, data, offsets) for runs of rows of about max_bytes of text."""
+    release()
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -51,7 +69,7 @@ def blocks(batches, column: str, max_bytes: int = BLOCK_BYTES) -> Iterator[tuple
             hi = min(n, max(hi, lo + 1))
             yield batch.slice(lo, hi - lo), data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
             lo = hi
-    pa.default_memory_pool().release_unused()  # idle workers keep no batches
+    release()  # idle workers keep no batches
 
 
 def slices(mask: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -112,14 +130,14 @@ def prefix_sums(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     for k, part in enumerate((values & _PRIME, (values >> np.uint64(32)) & _PRIME)):
         p, _ = _power_tables(k, values.size + 1)
         sums = np.zeros(values.size + 1, np.uint64)
-        np.cumsum(_reduced(part * p[:values.size]), out=sums[1:])  # below 2**31 times the values, so exact up to 2**32 of them
+        np.cumsum(_folded(part * p[:values.size]), out=sums[1:])  # below 2**32 times the values, so exact up to 2**31 of them
         out.append(sums)
     return out[0], out[1]
 
 
 def slice_hash(sums: tuple[np.ndarray, np.ndarray], starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Mixed 64-bit hashes of slices (62 bits of information); equal slices have equal hashes wherever they start."""
-    one, two = (_reduced(_reduced(s[ends] - s[starts]) * _power_tables(k, s.size)[1][starts]) for k, s in enumerate(sums))
+    one, two = (_reduced(_folded(s[ends] - s[starts]) * _power_tables(k, s.size)[1][starts]) for k, s in enumerate(sums))
     return mix((one | two << np.uint64(32)) + (ends - starts).astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
 
 

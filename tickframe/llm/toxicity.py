@@ -29,6 +29,7 @@ from tickframe.llm import codepoints as C
 
 BITS, DIM, WINDOW, SCORE_WINDOW = 17, 8, 24, 1
 BUCKETS = 1 << BITS
+_CHUNK = 1 << 11
 SIGNS = "@$!*#+|'"
 ORDERS = (3, 4, 5)
 MAX_POSITIVE, MAX_NEGATIVE, MAX_TRAIN_BYTES, PIECES = 1000, 1200, 32_768, 8
@@ -93,16 +94,19 @@ def subwords(data: np.ndarray, offsets: np.ndarray, classes: C.Classes, window:
 
 
 def _bags(texts: list[str], window: int):
-    """Features sorted by window, their window starts, and the document of each window."""
-    classes, features, sizes, docs = C.Classes(), [], [], []
-    for k, text in enumerate(texts):
-        data = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
-        f, w, firsts = subwords(data, np.array([0, data.size]), classes, window)
-        order = np.argsort(w, kind="stable")
-        features.append(f[order].astype(np.int32))
+    """Features sorted by window, their window starts, and the document of each window.  Features are written to their final
+    place as they come, so the bounded sample is held once."""
+    data = [np.frombuffer(t.encode("utf-8", "replace"), np.uint8) for t in texts]
+    # a word, and per character and edge mark at most one n-gram of each length; memory is taken as it is written
+    features, n = np.empty(sum(5 * d.size + 16 for d in data), np.int32), 0
+    classes, sizes, docs = C.Classes(), [], []
+    for k, d in enumerate(data):
+        f, w, firsts = subwords(d, np.array([0, d.size]), classes, window)
+        features[n:n + f.size] = f[np.argsort(w, kind="stable")]
+        n += f.size
         sizes.append(np.bincount(w, minlength=int(firsts[-1])))
         docs.append(np.full(int(firsts[-1]), k))
-    return np.concatenate(features), np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int64), np.concatenate(docs)
+    return features[:n], np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int64), np.concatenate(docs)
 
 
 def _take(features, starts, chosen):
@@ -157,10 +161,12 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 0) -> dict:
         np.maximum.at(best, doc, z)
         if step >= 2:
             target = np.where((y_doc > 0) & (z < np.minimum(0.0, best[doc])), 0.5, y_doc)  # 0.5: not used this round
-    del features
-    features, starts, doc = _bags(texts, SCORE_WINDOW)
+    del features, starts, doc, emb, g2_emb
     best = np.full(len(texts), -np.inf)
-    np.maximum.at(best, doc, _means(per_bucket, features, starts))
+    for k, text in enumerate(texts):  # one text's features at a time
+        features, starts, doc = _bags([text], SCORE_WINDOW)
+        if doc.size:
+            best[k] = _means(per_bucket, features, starts).max()
     seen = np.isfinite(best)
     cut = _threshold(best[seen], labels[seen])
     return {"weight": per_bucket, "bias": -cut, "constant": None}
@@ -169,8 +175,8 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 0) -> dict:
 def _means(per_bucket, features, starts):
     """Mean of every window, in chunks of windows."""
     out = np.zeros(starts.size - 1)
-    for lo in range(0, out.size, 1 << 16):
-        part = starts[lo:lo + (1 << 16) + 1]
+    for lo in range(0, out.size, _CHUNK):  # a chunk's features take 16 bytes each while it is summed
+        part = starts[lo:lo + _CHUNK + 1]
         sums = np.concatenate([[0.0], np.cumsum(per_bucket[features[part[0]:part[-1]]])])
         out[lo:lo + part.size - 1] = (sums[part[1:] - part[0]] - sums[part[:-1] - part[0]]) / np.maximum(np.diff(part), 1)
     return out
