@@ -29,11 +29,11 @@ def _ntz(df, *cols):
     return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-def _stream(spark, sf, build, mode="append", watermark="10 minutes", end_marker=True, **stage):
+def _stream(spark, sf, build, mode="append", watermark="10 minutes", end_marker=True, timers=False, **stage):
     """Append mode: a heartbeat of an instance of its own, a day after the data, moves the watermark past the last window."""
     ev = Views(spark, sf).table("events")
     src = RUN.stage_events(ev, end_marker=end_marker and mode == "append", **stage)
-    out = RUN.run(spark, src, build, mode, watermark)
+    out = RUN.run(spark, src, build, mode, watermark, timers)
     for c, marker in (("instance", RUN.MARKER_INSTANCE), ("event_type", "heartbeat")):
         if c in out.columns:
             out = out.where(F.col(c) != marker)
@@ -97,7 +97,7 @@ SELECT event_type, instance, ts, value, CASE WHEN pts IS NOT NULL AND epoch_us(t
   (CASE WHEN value >= pv THEN value - pv ELSE value END) / ((epoch_us(ts) - epoch_us(pts)) / 1e6) END AS irate FROM l""", ["irate"], 9))
 def st04(spark, sf):
     """ST-04: instant rate per series from the last two samples; a drop is a counter reset."""
-    out = _stream(spark, sf, ST.irate)
+    out = _stream(spark, sf, ST.irate, timers=True)
     return rounded(_ntz(out, "ts"), 9)
 
 
@@ -113,14 +113,14 @@ SELECT event_type, instance, ts, value, first_ts AS run_start FROM r WHERE (epoc
 @query("st05_sustained_condition", _sustained_sql(100.0, 600))
 def st05(spark, sf):
     """ST-05: a condition that must hold continuously for a duration before the rule fires."""
-    out = _stream(spark, sf, lambda s: ST.sustained(s, 100.0, 600))
+    out = _stream(spark, sf, lambda s: ST.sustained(s, 100.0, 600), timers=True)
     return _ntz(out, "ts", "run_start")
 
 
 @query("st16_level_above_limit", _sustained_sql(20.0, 120))
 def st16(spark, sf):
     """ST-16: level above a limit (connections > 20) for 2 minutes."""
-    out = _stream(spark, sf, lambda s: ST.sustained(s, 20.0, 120))
+    out = _stream(spark, sf, lambda s: ST.sustained(s, 20.0, 120), timers=True)
     return _ntz(out, "ts", "run_start")
 
 
@@ -142,7 +142,7 @@ SELECT instance, 'down' AS status, ts AS silent_since, ts + INTERVAL 10 MINUTE A
 UNION ALL SELECT instance, 'up', ts, nts FROM q WHERE nts IS NOT NULL""")
 def st06_silences(spark, sf):
     """ST-06: an instance without a sample for 10 minutes is down (a timer fires without input), its next sample ends the silence."""
-    return _ntz(_stream(spark, sf, ST.silences), "silent_since", "at")
+    return _ntz(_stream(spark, sf, ST.silences, timers=True), "silent_since", "at")
 
 
 def _firing_sql(windows, keys, hold, slide):
@@ -157,7 +157,7 @@ FROM g GROUP BY {keys}, run HAVING epoch_us(MAX(e)) - epoch_us(MIN(e)) >= {hold}
 def _firing(spark, sf, windows, keys, hold, slide):
     """ST-05 behind a windowed aggregate of the same query: a rule fires once its condition has held, and until it no longer does.
     Both steps are stateful; the aggregate passes the watermark on."""
-    out = _stream(spark, sf, lambda s: ST.firing(windows(s), keys, hold, slide))
+    out = _stream(spark, sf, lambda s: ST.firing(windows(s), keys, hold, slide), timers=True)
     # window ends reach the rule as their last microsecond
     return _ntz(out.select(*keys, *(F.timestamp_micros(F.unix_micros(c) + 1).alias(c) for c in ("pending_since", "firing_from", "resolved_at"))),
                 "pending_since", "firing_from", "resolved_at")
@@ -298,7 +298,7 @@ SELECT metric, group_start, sent_at, CAST(alerts AS BIGINT) AS alerts, CAST(sinc
 def st11(spark, sf):
     """ST-11: alerts of a name less than 10 seconds apart are one group; a group is notified when it ends, at most once an hour per
     name, with the number of alerts since the last notification."""
-    out = _stream(spark, sf, lambda s: ST.notifications(O.alert_flags(s)))
+    out = _stream(spark, sf, lambda s: ST.notifications(O.alert_flags(s)), timers=True)
     return _ntz(out, "group_start", "sent_at")
 
 
