@@ -258,4 +258,5 @@ def firing(windows: DataFrame, keys, hold_seconds: float, slide_seconds: float)
 
     ts = (F.window_time("w")).alias("ts")  # the window's end less a microsecond, with the watermark of the stream
     rows = windows.select(*keys, ts, F.lit(0).cast("bigint").alias("event_id"), F.coalesce(F.col("alert").cast("double"), F.lit(0.0)).alias("value"))
-    return in_order(rows, Firing(hold_seconds, slide_seconds), keys)
+    # a slot costs some state calls whatever it holds: up to 60 windows of a series share one, an hour at most
+    return in_order(rows, Firing(hold_seconds, slide_seconds), keys, int(min(3600, 60 * slide_seconds) * SECOND))
