@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickframe.functions.ema import with_ema
+from tickframe.functions.ema import block_rows, with_blocks, with_ema
 from tickframe.functions.exprs import SQRT_YEAR, c, min_periods, rolling, safe_div, series_window
 
 
@@ -34,15 +34,15 @@ def with_rolling_std(df, col, n, out, keys=("symbol",), order="date", scale=1.0,
 def with_macd(df, col="close", keys=("symbol",), order="date"):
     """W-04 / W-05: ema_12, ema_26, macd, macd_signal (EMA9 of macd), macd_histogram.
 
-    The three EMAs share one calendar-block column (the smallest safe block), so their
-    windows have identical specs and Spark sorts each partition fewer times."""
-    from tickframe.functions.ema import block_rows
+    The three EMAs share one block column (the smallest safe block), so their
+    windows share one sort."""
     blk = min(block_rows(s) for s in (12, 26, 9))
+    df = with_blocks(df, blk, "_ema_blk", keys, order)
     df = with_ema(df, col, 12, "ema_12", keys, order, blk, "_ema_blk")
     df = with_ema(df, col, 26, "ema_26", keys, order, blk, "_ema_blk")
     df = df.withColumn("macd", F.col("ema_12") - F.col("ema_26"))
     df = with_ema(df, "macd", 9, "macd_signal", keys, order, blk, "_ema_blk")
-    return df.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal")).drop("_ema_blk")
+    return df.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal")).drop("_ema_blk", "_ema_blk_row")
 
 
 def with_rsi(df, col="close", n=14, keys=("symbol",), order="date", out="rsi"):
@@ -90,15 +90,16 @@ def with_volatility(df, col="returns", n=30, keys=("symbol",), order="date"):
 
 
 def technical_indicators(bars: DataFrame, keys=("symbol",), order="date") -> DataFrame:
-    """S-23 / W-03..W-09: the full indicator row per (symbol, date), one sort per family."""
+    """S-23 / W-03..W-09: the full indicator row per (symbol, date).  The rolling windows share the sort
+    by date; the moving averages by blocks come last, on one sort by block and date."""
     from tickframe.operators.returns import with_returns
     d = with_returns(bars.select(*keys, order, "close", "volume"), "close", keys, order)
     d = with_sma(d, "close", (20, 50), keys, order)
-    d = with_macd(d, "close", keys, order)
     d = with_rsi(d, "close", 14, keys, order)
     d = with_bollinger(d, "close", 20, 2.0, keys, order)
     d = with_volume_sma(d, "volume", 20, keys, order)
-    return with_volatility(d, "returns", 30, keys, order)
+    d = with_volatility(d, "returns", 30, keys, order)
+    return with_macd(d, "close", keys, order)
 
 
 def rolling_portfolio_metrics(pr: DataFrame, keys=("portfolio_name",), col="r", n=30,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tickframe.functions.ema import with_ema
+from tickframe.functions.ema import with_emas
 from tickframe.operators import portfolio as P
 from tickframe.operators import windows as W
 from tickframe.operators.returns import with_returns
@@ -72,8 +72,7 @@ FROM m JOIN s ON m.symbol = s.symbol AND m.date = s.date""")
 def w04(spark, sf):
     v = Views(spark, sf)
     d = v.bars.select("symbol", "date", "close")
-    d = with_ema(with_ema(d, "close", 12, "ema_12"), "close", 26, "ema_26")
-    return rounded(d.drop("close"))
+    return rounded(with_emas(d, "close", (12, 26)).drop("close"))
 
 
 MACD_COLS = ["macd", "macd_signal", "macd_histogram"]
