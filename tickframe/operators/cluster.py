@@ -5,15 +5,16 @@ training cost, k chosen by silhouette), bisecting k-means for the hierarchical
 grouping, and DBSCAN as an exact grid-bucketed range self-join (cells of size eps
 on two coordinates: points within eps differ by at most one cell there) followed
 by connected components through iterative min-label propagation, checkpointed in
-the shared checkpoint folder.  Silhouette comes from ``ClusteringEvaluator``
-(squared Euclidean, O(N k) instead of all point pairs); Calinski-Harabasz from
-per-cluster sums.
+the shared checkpoint folder.  Silhouettes are exact (Euclidean distances of all
+points, tile by tile; sums per point and cluster leave a task, never pairs);
+Calinski-Harabasz from per-cluster sums.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import BisectingKMeans, KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
@@ -63,13 +64,11 @@ def search(df: DataFrame, n_rows: int, method: str = "kmeans", max_k: int = MAX_
         if k not in best or cost < best[k][0]:
             best[k] = (cost, m)
 
-    def score(k):
-        p = best[k][1].transform(df)
-        return k, (silhouette(p) if p.select("cluster").distinct().count() > 1 else 0.0)
-
-    with ThreadPoolExecutor(max_workers=threads) as pool:
-        scores = list(pool.map(score, ks))
-    k, sil = max(scores, key=lambda t: (t[1], -t[0]))
+    labelled = df
+    for k in ks:
+        labelled = best[k][1].copy().setPredictionCol(f"_k{k}").transform(labelled)
+    scores = silhouette_scores(labelled, [f"_k{k}" for k in ks]).collect()  # one row per k, at most 9
+    k, sil = max(((int(r.labelling[2:]), r.silhouette) for r in scores), key=lambda t: (t[1], -t[0]))
     return k, best[k][1], sil
 
 
@@ -84,8 +83,89 @@ def kmeans_best(df: DataFrame, k: int, n_init: int = N_INIT, seed: int = SEED):
     return best[1]
 
 
-def silhouette(pred: DataFrame) -> float:
-    return ClusteringEvaluator(featuresCol="features", predictionCol="cluster").evaluate(pred)
+def silhouettes(df: DataFrame, labellings, key: str = "symbol", x: str = "x", tile_rows: int = 2048) -> DataFrame:
+    """M-19: exact Euclidean silhouette of every point under each of the label columns ``labellings``:
+    (key, labelling, cluster, silhouette).
+
+    ``key`` is unique and not null.  Points are dealt to tiles of about ``tile_rows`` by a hash of the key;
+    every unordered pair of tiles is one group, which computes each distance once for all labellings and
+    emits sums per (point, labelling, cluster) of the other tile.  A point alone in its cluster, or one whose
+    two distances are both 0, has 0; with a single cluster there is no other one and every silhouette is 0.
+    Points without a label take no part in that labelling.
+    """
+    labellings = list(labellings)
+    pts = df.select(F.col(key).alias("_key"), F.col(x).alias("_x"),
+                    F.array(*[F.col(c).cast("int") for c in labellings]).alias("_labels"))
+    tiles = max(1, -(-pts.count() // tile_rows))
+    tile = F.pmod(F.xxhash64("_key"), F.lit(tiles)).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.lit(tiles - 1))).alias("_other")
+    dealt = pts.select("*", tile.alias("_tile")).select("*", other)
+    dealt = dealt.select("_key", "_x", "_labels", "_tile", F.least("_tile", "_other").alias("_lo"),
+                         F.greatest("_tile", "_other").alias("_hi"))
+
+    def sums(pdf: pd.DataFrame) -> pd.DataFrame:
+        lo, hi = int(pdf["_lo"].iloc[0]), int(pdf["_hi"].iloc[0])
+        a, b = pdf[pdf["_tile"] == lo], pdf[pdf["_tile"] == hi]
+        out = []
+        if len(a) and len(b):
+            xa, xb = (np.stack([np.asarray(v, float) for v in t["_x"]]) for t in (a, b))
+            la, lb = ([[None if v is None or v != v else int(v) for v in r] for r in t["_labels"]] for t in (a, b))
+            to_b, of_b = _one_hot(lb)
+            to_a, of_a = _one_hot(la)
+            sa, sb = np.zeros((len(a), to_b.shape[1])), np.zeros((len(b), to_a.shape[1]))
+            step = max(1, (1 << 20) // len(b))
+            for i in range(0, len(a), step):
+                d = np.zeros((len(xa[i:i + step]), len(b)))
+                for t in range(xa.shape[1]):
+                    d += (xa[i:i + step, t, None] - xb[None, :, t]) ** 2
+                d = np.sqrt(d)
+                sa[i:i + step] = d @ to_b
+                if lo != hi:
+                    sb += d.T @ to_a[i:i + step]
+            out.append(_long(a["_key"], sa, of_b))
+            if lo != hi:
+                out.append(_long(b["_key"], sb, of_a))
+        out = [t for t in out if len(t)]
+        return pd.concat(out) if out else pd.DataFrame({"_key": [], "l": [], "c": [], "s": []})
+
+    kind = pts.schema["_key"].dataType.simpleString()
+    part = dealt.groupBy("_lo", "_hi").applyInPandas(sums, f"_key {kind}, l INT, c INT, s DOUBLE")
+    total = part.groupBy("_key", "l", "c").agg(F.sum("s").alias("s"))
+    own = pts.select("_key", F.posexplode("_labels").alias("l", "own")).filter(F.col("own").isNotNull())
+    size = own.groupBy("l", F.col("own").alias("c")).agg(F.count("*").alias("n"))
+    d = total.join(size, ["l", "c"]).join(own, ["_key", "l"])
+    is_own = F.col("c") == F.col("own")
+    d = d.groupBy("_key", "l", "own").agg(
+        F.max(F.when(is_own & (F.col("n") > 1), F.col("s") / (F.col("n") - 1))).alias("a"),
+        F.min(F.when(~is_own, F.col("s") / F.col("n"))).alias("b"))
+    sil = F.coalesce(F.try_divide(F.col("b") - F.col("a"), F.greatest("a", "b")), F.lit(0.0))
+    names = F.array(*[F.lit(c) for c in labellings])
+    return d.select(F.col("_key").alias(key), F.element_at(names, F.col("l") + 1).alias("labelling"),
+                    F.col("own").alias("cluster"),
+                    F.when(F.col("a").isNull() | F.col("b").isNull(), F.lit(0.0)).otherwise(sil).alias("silhouette"))
+
+
+def _one_hot(labels):
+    """0/1 columns for every (labelling, cluster) that occurs, and these pairs."""
+    pairs = sorted({(i, c) for row in labels for i, c in enumerate(row) if c is not None})
+    at = {p: k for k, p in enumerate(pairs)}
+    hot = np.zeros((len(labels), len(pairs)))
+    for r, row in enumerate(labels):
+        for i, c in enumerate(row):
+            if c is not None:
+                hot[r, at[i, c]] = 1.0
+    return hot, pairs
+
+
+def _long(keys, sums, pairs) -> pd.DataFrame:
+    n = len(keys)
+    return pd.DataFrame({"_key": np.repeat(keys.to_numpy(), len(pairs)), "l": np.tile([p[0] for p in pairs], n),
+                         "c": np.tile([p[1] for p in pairs], n), "s": sums.reshape(-1)})
+
+
+def silhouette_scores(df: DataFrame, labellings, key: str = "symbol", x: str = "x") -> DataFrame:
+    """M-19: the mean silhouette of each labelling."""
+    return silhouettes(df, labellings, key, x).groupBy("labelling").agg(F.avg("silhouette").alias("silhouette"))
 
 
 def calinski_harabasz(pred: DataFrame, dims: int) -> DataFrame:
