@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tickframe.operators import cluster as CL
 from tickframe.plans.catalog import ORACLES, QUERIES, query  # noqa: F401
-from tickframe.plans.common import rounded
+from tickframe.plans.common import materialise, oround, rounded
 
 CLUSTER_FEATURES = ["mean_return", "volatility", "skewness", "kurtosis", "sharpe_like", "volatility_5d",
                     "volatility_20d", "volatility_60d", "volatility_of_volatility", "last_price_sma20_ratio",
@@ -52,11 +52,36 @@ def register():
     """The feature oracle joins the oracles of its four parts, so it is built after them."""
     if "m15_cluster_features" not in QUERIES:
         query("m15_cluster_features", _m15_sql())(m15)
+        query("m19_silhouette_of_bands", oround(_m19_sql(), ["silhouette"]))(m19)
 
 
 def _prepared(spark, sf):
-    f = cluster_features(spark, sf).cache()
-    return CL.scaled_features(f, CLUSTER_FEATURES).cache(), f.count()
+    f = materialise(cluster_features(spark, sf))
+    return materialise(CL.scaled_features(f, CLUSTER_FEATURES)), f.count()
+
+
+def m19(spark, sf):
+    """M-19: exact silhouette of every symbol in bands of scaled volatility (below -0.5, below 0.5, the rest)."""
+    x, _ = _prepared(spark, sf)
+    z = F.col("x")[CLUSTER_FEATURES.index("volatility")]
+    banded = x.withColumn("band", F.when(z < -0.5, 0).when(z < 0.5, 1).otherwise(2))
+    return rounded(CL.silhouettes(banded, ["band"]).select("symbol", F.col("cluster").alias("band"), "silhouette"))
+
+
+def _m19_sql():
+    fs = CLUSTER_FEATURES
+    gap = " + ".join(f"POWER(p.{c} - q.{c}, 2)" for c in fs)
+    return f"""
+WITH f AS ({_m15_sql()}),
+med AS (SELECT {', '.join(f'MEDIAN({c}) AS {c}' for c in fs)} FROM f),
+g AS (SELECT f.symbol, {', '.join(f'COALESCE(f.{c}, med.{c}) AS {c}' for c in fs)} FROM f, med),
+z AS (SELECT symbol, {', '.join(f'COALESCE(({c} - AVG({c}) OVER ()) / NULLIF(STDDEV_POP({c}) OVER (), 0), 0) AS {c}' for c in fs)} FROM g),
+b AS (SELECT *, CASE WHEN volatility < -0.5 THEN 0 WHEN volatility < 0.5 THEN 1 ELSE 2 END AS band FROM z),
+d AS (SELECT p.symbol, p.band, q.band AS c, SUM(SQRT({gap})) AS s, COUNT(*) AS n FROM b p, b q GROUP BY p.symbol, p.band, q.band),
+ab AS (SELECT symbol, band, MAX(CASE WHEN c = band AND n > 1 THEN s / (n - 1) END) AS own,
+              MIN(CASE WHEN c <> band THEN s / n END) AS other FROM d GROUP BY symbol, band)
+SELECT symbol, band, CASE WHEN own IS NULL OR other IS NULL OR GREATEST(own, other) = 0 THEN 0.0
+                          ELSE (other - own) / GREATEST(own, other) END AS silhouette FROM ab"""
 
 
 @query("m16_kmeans")
