@@ -97,3 +97,35 @@ def test_search_takes_the_best_exact_silhouette(spark, method):
     assert k == 3
     assert sil == pytest.approx(np.mean(_plain_silhouettes(x, [labels[f"p{i:02d}"] for i in range(len(x))])))
     df.unpersist()
+
+
+def _plain_dbscan(x, eps, min_samples):
+    near = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(-1)) <= eps
+    core = near.sum(1) >= min_samples
+    label, free = np.full(len(x), -1), 0
+    for i in range(len(x)):
+        if not core[i] or label[i] >= 0:
+            continue
+        stack = [i]
+        while stack:
+            p = stack.pop()
+            if label[p] < 0:
+                label[p] = free
+                if core[p]:
+                    stack += list(np.flatnonzero(near[p] & (label < 0)))
+        free += 1
+    return label.tolist()
+
+
+@pytest.mark.parametrize("dims,eps,min_samples", [(6, 0.9, 4), (1, 0.05, 3), (3, 0.5, 2)])
+def test_dbscan_equals_a_plain_version(spark, dims, eps, min_samples):
+    x = np.random.default_rng(8).normal(size=(80, dims))
+    df = spark.createDataFrame([(f"p{i:03d}", x[i].tolist()) for i in range(80)], "symbol string, x array<double>")
+    got = {r.symbol: r.cluster for r in CL.dbscan(df, eps=eps, min_samples=min_samples).collect()}
+    assert [got[f"p{i:03d}"] for i in range(80)] == _plain_dbscan(x, eps, min_samples)
+
+
+def test_dbscan_of_one_point_and_of_none(spark):
+    schema = "symbol string, x array<double>"
+    assert CL.dbscan(spark.createDataFrame([], schema)).count() == 0
+    assert CL.dbscan(spark.createDataFrame([("a", [1.0, 2.0, 3.0])], schema)).collect()[0].cluster == -1

@@ -3,7 +3,7 @@
 The feature table has one row per symbol.  K-means (best of ``n_init`` seeds by
 training cost, k chosen by silhouette), bisecting k-means for the hierarchical
 grouping, and DBSCAN as an exact grid-bucketed range self-join (cells of size eps
-on two coordinates: points within eps differ by at most one cell there) followed
+on two principal directions: points within eps differ by at most one cell there) followed
 by connected components through iterative min-label propagation, checkpointed in
 the shared checkpoint folder.  Silhouettes are exact (Euclidean distances of all
 points, tile by tile; sums per point and cluster leave a task, never pairs);
@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +37,6 @@ def scaled_features(features: DataFrame, cols, key: str = "symbol") -> DataFrame
     # Spark scales by the sample std; sklearn by the population std: multiply by sqrt(n / (n - 1))
     factor = (n / (n - 1)) ** 0.5 if n > 1 else 1.0
     out = sc.transform(va).withColumn("x", F.transform(vector_to_array("_s"), lambda v: v * factor))
-    from pyspark.ml.functions import array_to_vector
     return out.select(key, *cols, array_to_vector("x").alias("features"), "x")
 
 
@@ -200,11 +199,26 @@ def centre_importance(model, cols, spark) -> DataFrame:
     return d.groupBy("feature").agg(F.stddev_pop("value").alias("importance"))
 
 
+def _plane(pts: DataFrame) -> DataFrame:
+    """``pts`` with ``_p``: two coordinates whose differences never exceed the distance of two points: the leading
+    principal directions, or the points themselves when they have no more than two dimensions."""
+    size = pts.agg(F.count("*").alias("n"), F.max(F.size("x")).alias("d")).first()
+    if size["n"] > 1 and size["d"] > 2:
+        vec = pts.withColumn("_v", array_to_vector("x"))
+        model = PCA(k=2, inputCol="_v", outputCol="_pc").fit(vec)
+        return model.transform(vec).select(*pts.columns, vector_to_array("_pc").alias("_p"))
+    return pts.withColumn("_p", F.array(*[F.coalesce(F.get("x", F.lit(i)), F.lit(0.0)) for i in (0, 1)]))
+
+
 def dbscan(df: DataFrame, key: str = "symbol", eps: float = DBSCAN_EPS, min_samples: int = DBSCAN_MIN_SAMPLES) -> DataFrame:
-    """M-18 / J-11: labels 0.. in order of each cluster's first point, noise -1."""
-    spark = df.sparkSession
-    pts = df.select(key, "x").withColumn("_id", F.dense_rank().over(Window.orderBy(key)) - 1)
-    cells = pts.select("_id", "x", F.floor(F.col("x")[0] / eps).alias("_c0"), F.floor(F.col("x")[1] / eps).alias("_c1"))
+    """M-18 / J-11: labels 0.. in order of each cluster's first core point by key, noise -1.
+
+    Candidates are points of neighbouring cells of a grid on the two leading principal directions, where the
+    points spread most; the distance itself is exact.  The key is the id: no global numbering of points, only
+    the clusters are ranked."""
+    pts = df.select(F.col(key).alias("_id"), "x")
+    width = eps * (1 + 1e-9)  # rounding of the projection must not part two points at a distance of just eps
+    cells = _plane(pts).select("_id", "x", F.floor(F.col("_p")[0] / width).alias("_c0"), F.floor(F.col("_p")[1] / width).alias("_c1"))
     offsets = F.explode(F.expr("flatten(transform(array(-1, 0, 1), a -> transform(array(-1, 0, 1), "
                                "b -> named_struct('d0', a, 'd1', b))))")).alias("_d")
     probe = cells.select(F.col("_id").alias("a"), F.col("x").alias("xa"), "_c0", "_c1", offsets).select(
@@ -216,7 +230,7 @@ def dbscan(df: DataFrame, key: str = "symbol", eps: float = DBSCAN_EPS, min_samp
     core = deg.filter(F.col("deg") >= min_samples).select(F.col("a").alias("_id"))
     ce = (edges.join(core.withColumnRenamed("_id", "a"), "a").join(core.withColumnRenamed("_id", "b"), "b")
           .select("a", "b"))
-    checkpoint_dir(spark)
+    checkpoint_dir(df.sparkSession)
     ce = ce.checkpoint()
     labels = core.select("_id", F.col("_id").alias("label")).checkpoint()
     while True:  # the least label among neighbours, then the label of that label: rounds grow with the logarithm of a chain
@@ -233,10 +247,10 @@ def dbscan(df: DataFrame, key: str = "symbol", eps: float = DBSCAN_EPS, min_samp
     border = (edges.join(labels.withColumnRenamed("_id", "b"), "b").groupBy("a")
               .agg(F.min("label").alias("blabel")).withColumnRenamed("a", "_id"))
     lab = pts.join(labels, "_id", "left").join(border, "_id", "left").select(
-        key, "_id", F.coalesce("label", "blabel").alias("root"))
-    rank = F.dense_rank().over(Window.orderBy("root"))
-    comp = lab.filter(F.col("root").isNotNull()).select(key, (rank - 1).alias("cluster"))
-    return pts.select(key).join(comp, key, "left").select(key, F.coalesce("cluster", F.lit(-1)).cast("int").alias("cluster"))
+        F.col("_id").alias(key), F.coalesce("label", "blabel").alias("_root"))
+    ranked = labels.select(F.col("label").alias("_root")).distinct().withColumn(
+        "cluster", F.row_number().over(Window.orderBy("_root")) - 1)
+    return lab.join(ranked, "_root", "left").select(key, F.coalesce("cluster", F.lit(-1)).cast("int").alias("cluster"))
 
 
 def pca2(df: DataFrame, key: str = "symbol"):
