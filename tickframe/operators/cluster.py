@@ -20,6 +20,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickframe.operators.clean import median_fill
 from tickframe.session import checkpoint_dir
 
 # fixed values: clustering parameters of the reference
@@ -29,8 +30,7 @@ DBSCAN_EPS, DBSCAN_MIN_SAMPLES = 0.5, 2
 
 def scaled_features(features: DataFrame, cols, key: str = "symbol") -> DataFrame:
     """Median-filled (C-11) and standardised (population std, as sklearn) feature vectors."""
-    med = features.agg(*[F.median(c).alias(c) for c in cols]).first().asDict()
-    f = features.fillna({c: float(v) for c, v in med.items() if v is not None})
+    f = median_fill(features, cols)
     va = VectorAssembler(inputCols=list(cols), outputCol="raw").transform(f)
     n = f.count()
     sc = StandardScaler(inputCol="raw", outputCol="_s", withMean=True, withStd=True).fit(va)

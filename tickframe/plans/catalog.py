@@ -16,7 +16,7 @@ ORACLES: dict[str, str] = {}
 
 PLAN_MODULES = ("scans", "portfolio_q", "windows_q", "cleaning_q", "risk_q", "joins_q", "screening_q",
                 "matrices_q", "sources_q", "models_q", "cluster_q", "optimize_q",
-                "streams_q")
+                "streams_q", "vendor_q")
 
 
 def query(key: str, oracle: str | None = None):

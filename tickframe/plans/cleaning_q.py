@@ -90,6 +90,13 @@ def c01(spark, sf):
     return rounded(C.null_fractions(d).withColumn("dropped", F.col("null_fraction") > 0.1), 9)
 
 
+@query("c01_columns_kept", with_views(["stock_info"], """
+SELECT symbol, market_cap, current_price, volume, peg_ratio, dividend_yield, beta, debt_to_equity, return_on_equity, profit_margins FROM stock_info"""))
+def c01_kept(spark, sf):
+    """C-01: the frame without the columns of which more than a tenth is missing (a seventh of the P/E ratios is)."""
+    return C.drop_sparse_columns(Views(spark, sf).stock_info.drop("name", "sector", "industry"))
+
+
 def _iqr_sql(src, col):
     return f"""SELECT s.* FROM {src} s JOIN (SELECT symbol, QUANTILE_CONT({col}, 0.25) AS q1,
       QUANTILE_CONT({col}, 0.75) AS q3 FROM {src} GROUP BY symbol) q ON s.symbol = q.symbol
@@ -188,9 +195,7 @@ SELECT symbol, COALESCE(pe_ratio, (SELECT MEDIAN(pe_ratio) FROM stock_info)) AS
        COALESCE(peg_ratio, (SELECT MEDIAN(peg_ratio) FROM stock_info)) AS peg_ratio FROM stock_info"""))
 def c11(spark, sf):
     si = Views(spark, sf).stock_info.select("symbol", "pe_ratio", "peg_ratio")
-    # one row per listed symbol: the exact median runs over the symbol universe
-    med = si.agg(F.median("pe_ratio").alias("pe"), F.median("peg_ratio").alias("peg")).first()
-    return si.fillna({"pe_ratio": med["pe"], "peg_ratio": med["peg"]})
+    return C.median_fill(si, ["pe_ratio", "peg_ratio"])
 
 
 @query("c12_target_alignment", oround(with_views(["bars"], f"""
