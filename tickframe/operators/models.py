@@ -15,9 +15,14 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.tuning import CrossValidator
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickframe.functions.exprs import SQRT_YEAR, safe_div
@@ -200,17 +205,40 @@ def strategy_backtest(pred: DataFrame, key: str = "symbol", cost: float = TRANSA
         F.min("_dd").alias("max_drawdown"))
 
 
-def tree_model(train: DataFrame, cols, kind: str = "rf", seed: int = 42, max_depth: int = 5):
-    """M-08 / M-09: pooled random forest (100 trees, all features per split, of depth ``max_depth``: at most 30 in Spark ML,
-    where the reference lets trees grow without a limit) or gradient-boosted trees (100 rounds, depth 3, step 0.1) with
+def tree_pipeline(cols, kind: str = "rf", seed: int = 42, max_depth: int = 5, rounds: int = 100) -> Pipeline:
+    """M-08 / M-09: pooled random forest (``rounds`` trees, all features per split, of depth ``max_depth``: at most 30 in Spark ML,
+    where the reference lets trees grow without a limit) or gradient-boosted trees (``rounds`` rounds, depth 3, step 0.1) with
     Spark ML on unscaled features."""
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-    va = VectorAssembler(inputCols=list(cols), outputCol="features")
     if kind == "rf":
-        est = RandomForestRegressor(labelCol="target", numTrees=100, featureSubsetStrategy="all", maxDepth=max_depth, seed=seed)
+        est = RandomForestRegressor(labelCol="target", numTrees=rounds, featureSubsetStrategy="all", maxDepth=max_depth, seed=seed)
     else:
-        est = GBTRegressor(labelCol="target", maxIter=100, maxDepth=3, stepSize=0.1, seed=seed)
-    model = est.fit(va.transform(train))
-    return va, model
+        est = GBTRegressor(labelCol="target", maxIter=rounds, maxDepth=3, stepSize=0.1, seed=seed)
+    return Pipeline(stages=[VectorAssembler(inputCols=list(cols), outputCol="features"), est])
 
+
+def cross_validated(train: DataFrame, pipeline: Pipeline, folds: int = 5, threads: int = 5) -> tuple[PipelineModel, float, float]:
+    """M-11 for any Spark ML pipeline: (model of all training rows, mean and population deviation of the folds' R^2).
+
+    ``fold`` numbers the rows' folds 0 .. folds - 1 (``split``: contiguous ones per series).  The fits of the folds are
+    independent jobs, ``threads`` at a time."""
+    cv = CrossValidator(estimator=pipeline, estimatorParamMaps=[{}], numFolds=folds, foldCol="fold", parallelism=threads,
+                        evaluator=RegressionEvaluator(labelCol="target", metricName="r2"))
+    model = cv.fit(train)
+    return model.bestModel, float(model.avgMetrics[0]), float(model.stdMetrics[0])
+
+
+def store_model(model: PipelineModel, path: str) -> str:
+    """M-13: the assembler and the fitted trees as one saved pipeline in a shared folder."""
+    model.write().overwrite().save(path)
+    return path
+
+
+def score(df: DataFrame, path: str) -> DataFrame:
+    """M-13: the rows with the ``prediction`` of a stored pipeline."""
+    return PipelineModel.load(path).transform(df).drop("features")
+
+
+def tree_importance(spark: SparkSession, model: PipelineModel, cols, kind: str) -> DataFrame:
+    """M-12: (model, feature, importance) of a fitted tree pipeline, importances summing to one; one row per feature."""
+    weights = model.stages[-1].featureImportances.toArray().tolist()
+    return spark.createDataFrame([(kind, c, w) for c, w in zip(cols, weights, strict=True)], "model string, feature string, importance double")

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from tickframe.operators import models as MD
 from tickframe.plans.catalog import query
-from tickframe.plans.common import Views, oround, rounded
+from tickframe.plans.common import Views, materialise, oround, rounded
 from tickframe.plans.joins_q import ASOF_SQL, MCOLS
 from tickframe.plans.views_sql import with_views
+from tickframe.sources.files import scratch
 
 
 def _w(n, off=0):
@@ -133,27 +134,57 @@ def m07(spark, sf):
     return _linear_report(spark, sf, "elastic")
 
 
-def _tree_report(spark, sf, kind):
+def _tree_frame(spark, sf):
+    """Split features, written once: the fits and folds below read them many times."""
     f, cols = _features(Views(spark, sf))
-    d = MD.split(f)
-    va, model = MD.tree_model(d.filter("is_train"), cols, kind)
-    pred = model.transform(va.transform(d.filter(~F.col("is_train")))).drop("features")
-    met = MD.regression_metrics(pred, ["symbol"]).withColumn("model", F.lit(kind))
-    return rounded(met, 9)
+    return materialise(MD.split(f)), cols
+
+
+def _tree_report(spark, sf, kind):
+    d, cols = _tree_frame(spark, sf)
+    model, mean, std = MD.cross_validated(d.where("is_train"), MD.tree_pipeline(cols, kind))
+    met = MD.regression_metrics(model.transform(d.where("NOT is_train")), ["symbol"])
+    return rounded(met.select("*", F.lit(mean).alias("cv_mean"), F.lit(std).alias("cv_std"), F.lit(kind).alias("model")), 9)
+
+
+def _stored_forest(spark, sf):
+    """The test rows, scored by a forest that was fitted, saved and read back."""
+    d, cols = _tree_frame(spark, sf)
+    path = MD.store_model(MD.tree_pipeline(cols, "rf").fit(d.where("is_train")), scratch(spark, "models"))
+    return MD.score(d.where("NOT is_train"), path)
 
 
 @query("m08_random_forest")
 def m08(spark, sf):
-    """M-08: pooled random forest (Spark ML), test metrics per symbol."""
+    """M-08 + M-10 + M-11: pooled random forest (Spark ML), test metrics per symbol, R^2 over 5 folds of all symbols."""
     return _tree_report(spark, sf, "rf")
 
 
 @query("m09_gradient_boosting")
 def m09(spark, sf):
-    """M-09: pooled gradient-boosted trees (Spark ML), test metrics per symbol."""
+    """M-09 + M-10 + M-11: pooled gradient-boosted trees (Spark ML), test metrics per symbol, R^2 over 5 folds of all symbols."""
     return _tree_report(spark, sf, "gbt")
 
 
+@query("m12_forest_importance")
+def m12_forest(spark, sf):
+    """M-12: every feature's importance in the pooled forest."""
+    d, cols = _tree_frame(spark, sf)
+    return rounded(MD.tree_importance(spark, MD.tree_pipeline(cols, "rf").fit(d.where("is_train")), cols, "rf"), 9)
+
+
+@query("m13_forest_predictions")
+def m13_forest(spark, sf):
+    """M-13: predictions of the stored forest for the test rows."""
+    return rounded(_stored_forest(spark, sf).select("symbol", "date", "target", "prediction"), 9)
+
+
+@query("m14_forest_backtest")
+def m14_forest(spark, sf):
+    """M-14: long/short on the sign of the stored forest's prediction, 0.1% per unit of position change."""
+    return rounded(MD.strategy_backtest(_stored_forest(spark, sf)), 9)
+
+
 @query("m12_feature_importance")
 def m12(spark, sf):
     """M-12 / T-04: the five largest |coefficients| of each symbol's ridge model."""
