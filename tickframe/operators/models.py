@@ -148,6 +148,29 @@ def fit(stats: DataFrame, cols, keys, model: str) -> DataFrame:
     return stats.groupBy(*keys).applyInPandas(fn, schema)
 
 
+def optimality(train: DataFrame, coefs: DataFrame, cols, model: str, key: str = "symbol", tolerance: float = 1e-6) -> DataFrame:
+    """(key, model, optimal): whether coefficients meet the conditions of the least loss, judged from the rows, not from the sums they
+    were solved from.  Sweeps that ended before they converged show here as false.
+
+    With the residuals e the sums x_j e must be zero (least squares), alpha w_j (ridge), or less the square penalty's share n alpha
+    times the sign of w_j where w_j is not zero, and at most n alpha in size where it is (lasso, elastic net)."""
+    d = predict(train, coefs.drop("model"), cols, key).withColumn("_e", F.col("target") - F.col("prediction"))
+    z = F.arrays_zip(F.sequence(F.lit(0), F.lit(len(cols) - 1)).alias("j"), F.array(*[F.col(c) for c in cols]).alias("x"), F.col("coef").alias("w"))
+    d = d.select(key, "target", "_e", F.explode(z).alias("z")).groupBy(key, "z.j").agg(
+        F.sum(F.col("z.x") * F.col("_e")).alias("g"), F.first("z.w").alias("w"), F.count(F.lit(1)).alias("n"), F.sum("_e").alias("e"),
+        F.sum(F.col("z.x") * F.col("z.x")).alias("xx"), F.sum(F.col("target") * F.col("target")).alias("yy"))
+    slack = tolerance * F.sqrt(F.col("xx") * F.col("yy")) + 1e-12
+    if model in ("linear", "ridge"):
+        fits = F.abs(F.col("g") - (ALPHAS["ridge"] if model == "ridge" else 0.0) * F.col("w")) <= slack
+    else:
+        share = 1.0 if model == "lasso" else L1_RATIO
+        bound = F.col("n") * (ALPHAS[model] * share)
+        h = F.col("g") - F.col("n") * (ALPHAS[model] * (1 - share)) * F.col("w")
+        fits = F.when(F.col("w") == 0, F.abs(h) <= bound + slack).otherwise(F.abs(h - bound * F.signum("w")) <= slack)
+    level = F.abs(F.col("e")) <= tolerance * F.sqrt(F.col("n") * F.col("yy")) + 1e-12
+    return d.groupBy(key).agg(F.bool_and(fits & level).alias("optimal")).select(key, F.lit(model).alias("model"), "optimal")
+
+
 def cv_fit(fold_stats: DataFrame, cols, model: str, key: str = "symbol") -> DataFrame:
     """M-11: fold f's model is fitted on (all training statistics - fold f's statistics)."""
     k = len(cols)

@@ -70,6 +70,31 @@ def optimise(cov: DataFrame, mu: DataFrame, group: str, method: str = "max_sharp
     return out.withColumnRenamed("group", group)
 
 
+def optimality(weights: DataFrame, cov: DataFrame, mu: DataFrame, group: str, rf: float = RISK_FREE / TRADING_DAYS, tolerance: float = 1e-6) -> DataFrame:
+    """(group, method, optimal): whether solved weights are long only, sum to one and meet their method's conditions, judged from
+    the covariance rows with S w as one join and one sum.
+
+    Least variance: (S w)_a is the variance where a is held and no less elsewhere.  Best Sharpe ratio: (S w)_a times the excess
+    return is a's excess return times the variance where a is held and no less elsewhere; equal weights where no asset has an excess.
+    Risk parity: equal contributions w_a (S w)_a."""
+    w = weights.select(group, "method", "symbol", "weight")
+    sw = (cov.join(w.withColumnRenamed("symbol", "symbol_b"), [group, "symbol_b"]).groupBy(group, "method", F.col("symbol_a").alias("symbol"))
+          .agg(F.sum(F.col("covariance") * F.col("weight")).alias("sw")))
+    d = w.join(sw, [group, "method", "symbol"]).join(mu.select(group, "symbol", (F.col("expected_return") - rf).alias("ex")), [group, "symbol"])
+    p = Window.partitionBy(group, "method")
+    d = d.select("*", F.sum(F.col("weight") * F.col("sw")).over(p).alias("var"), F.sum(F.col("weight") * F.col("ex")).over(p).alias("gain"),
+                 F.max(F.abs("sw")).over(p).alias("top"), F.max("ex").over(p).alias("best"), F.max(F.abs("ex")).over(p).alias("most"),
+                 F.count(F.lit(1)).over(p).alias("n"))
+
+    def held(gap, slack):  # zero where the asset is held, not below zero elsewhere
+        return F.when(F.col("weight") > 1e-9, F.abs(gap) <= slack).otherwise(gap >= -slack)
+    fits = (F.when(F.col("method") == "min_variance", held(F.col("sw") - F.col("var"), tolerance * F.col("top")))
+            .when((F.col("method") == "max_sharpe") & (F.col("best") <= 0), F.abs(F.col("weight") * F.col("n") - 1) <= tolerance)
+            .when(F.col("method") == "max_sharpe", held(F.col("sw") * F.col("gain") - F.col("ex") * F.col("var"), tolerance * F.col("top") * F.col("most")))
+            .when(F.col("method") == "risk_parity", F.abs(F.col("weight") * F.col("sw") * F.col("n") - F.col("var")) <= tolerance * F.col("var")))
+    return d.groupBy(group, "method").agg((F.bool_and(fits & (F.col("weight") >= 0)) & (F.abs(F.sum("weight") - 1) <= tolerance)).alias("optimal"))
+
+
 def frontier(cov: DataFrame, mu: DataFrame, group: str, points: int = 100) -> DataFrame:
     """O-03: minimum-variance portfolios at ``points`` target returns from min to max mean; a portfolio's matrix goes to
     its task once and all its targets are solved there."""

@@ -53,6 +53,8 @@ def register():
     if "m15_cluster_features" not in QUERIES:
         query("m15_cluster_features", _m15_sql())(m15)
         query("m19_silhouette_of_bands", oround(_m19_sql(), ["silhouette"]))(m19)
+        query("m18_dbscan", _m18_sql(0.5, 2))(m18)
+        query("m18_dbscan_wide", _m18_sql(2.5, 3))(m18_wide)
 
 
 def _prepared(spark, sf):
@@ -84,6 +86,34 @@ SELECT symbol, band, CASE WHEN own IS NULL OR other IS NULL OR GREATEST(own, oth
                           ELSE (other - own) / GREATEST(own, other) END AS silhouette FROM ab"""
 
 
+WIDE_EPS = 2.5  # at the reference's 0.5 the scaled features leave nearly every symbol noise
+
+
+def m18_wide(spark, sf):
+    """M-18 / J-11 with a distance wide enough for clusters, border points and noise."""
+    x, _ = _prepared(spark, sf)
+    return CL.dbscan(x, eps=WIDE_EPS, min_samples=3)
+
+
+def _m18_sql(eps, least):
+    fs = CLUSTER_FEATURES
+    gap = " + ".join(f"POWER(p.{c} - q.{c}, 2)" for c in fs)
+    return f"""
+WITH RECURSIVE f AS ({_m15_sql()}),
+med AS (SELECT {', '.join(f'MEDIAN({c}) AS {c}' for c in fs)} FROM f),
+g AS (SELECT f.symbol, {', '.join(f'COALESCE(f.{c}, med.{c}) AS {c}' for c in fs)} FROM f, med),
+z AS (SELECT symbol, {', '.join(f'COALESCE(({c} - AVG({c}) OVER ()) / NULLIF(STDDEV_POP({c}) OVER (), 0), 0) AS {c}' for c in fs)} FROM g),
+e AS (SELECT p.symbol AS a, q.symbol AS b FROM z p, z q WHERE SQRT({gap}) <= {eps}),
+core AS (SELECT a AS symbol FROM e GROUP BY a HAVING COUNT(*) >= {least}),
+reach AS (SELECT symbol AS a, symbol AS b FROM core
+          UNION SELECT r.a, e.b FROM reach r JOIN e ON r.b = e.a JOIN core c ON c.symbol = e.b),
+root AS (SELECT a AS symbol, MIN(b) AS root FROM reach GROUP BY a),
+number AS (SELECT root, ROW_NUMBER() OVER (ORDER BY root) - 1 AS cluster FROM (SELECT DISTINCT root FROM root) d),
+own AS (SELECT z.symbol, COALESCE(MAX(r.root), MIN(near.root)) AS root FROM z LEFT JOIN root r ON r.symbol = z.symbol
+        LEFT JOIN e ON e.a = z.symbol LEFT JOIN root near ON near.symbol = e.b GROUP BY z.symbol)
+SELECT own.symbol, CAST(COALESCE(n.cluster, -1) AS INTEGER) AS cluster FROM own LEFT JOIN number n ON n.root = own.root"""
+
+
 @query("m16_kmeans")
 def m16(spark, sf):
     """M-16 + M-19 + M-20: k-means with k chosen by silhouette, labels with the fit's metrics."""
@@ -104,7 +134,6 @@ def m17(spark, sf):
     return p.select("symbol", F.col("cluster").cast("int").alias("cluster"), F.lit(k).alias("k"))
 
 
-@query("m18_dbscan")
 def m18(spark, sf):
     """M-18: density clusters (eps 0.5, min 2 points with self), noise -1."""
     x, _ = _prepared(spark, sf)

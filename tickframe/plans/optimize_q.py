@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tickframe.operators import matrices as M
 from tickframe.operators import optimize as O
 from tickframe.plans.catalog import query
-from tickframe.plans.common import Views, oround, rounded
+from tickframe.plans.common import Views, materialise, oround, rounded
 from tickframe.plans.matrices_q import _complete
 from tickframe.plans.views_sql import with_views
 from tickframe.sources import files as FS
@@ -35,6 +35,16 @@ def o02(spark, sf):
     return rounded(O.optimise(cov, mu, G, "min_variance"), 9)
 
 
+@query("o06_optimality", with_views(["holdings"], """
+SELECT p.portfolio_name, m.method, TRUE AS optimal FROM (SELECT DISTINCT portfolio_name FROM holdings) p,
+  (VALUES ('max_sharpe'), ('min_variance'), ('risk_parity')) m(method)"""))
+def o06_optimality(spark, sf):
+    """O-01, O-02, O-05: every portfolio's solved weights meet the conditions of their method."""
+    cov, mu = (materialise(d) for d in _inputs(Views(spark, sf)))
+    solved = [O.optimise(cov, mu, G, m) for m in ("max_sharpe", "min_variance", "risk_parity")]
+    return O.optimality(materialise(solved[0].unionByName(solved[1]).unionByName(solved[2])), cov, mu, G)
+
+
 @query("o03_efficient_frontier")
 def o03(spark, sf):
     """O-03: 100 minimum-variance portfolios between the lowest and highest mean return."""
