@@ -101,3 +101,21 @@ def test_many_small_files_lose_nothing(spark):
     ev = table(spark, SF_SMALL, "events").repartition(40)
     got = R.run(spark, R.stage_events(ev, n_batches=4, end_marker=True), O.sessions, "append", "10 minutes")
     assert got.where(F.col("instance") != R.MARKER_INSTANCE).agg(F.sum("n")).first()[0] == ev.count()
+
+
+def test_state_partitions_follow_cores(spark, monkeypatch):
+    """A task of a rule has its costs in every micro-batch; a session's many shuffle partitions must not multiply them."""
+    ev = spark.range(50).select(F.col("id").alias("event_id"), F.timestamp_seconds(1_700_000_000 + 60 * F.col("id")).cast("timestamp_ntz").alias("ts"), (F.col("id") % 5).alias("user_id"),
+                                F.lit("view").alias("event_type"), F.lit(1.0).alias("value"), F.lit("{}").alias("props"))
+    seen, drive, before = [], R.drive, spark.conf.get(ST.PARTITIONS)
+    monkeypatch.setattr(R, "drive", lambda *a: seen.extend(drive(*a)))
+    try:
+        for session, most in ((24, max(8, spark.sparkContext.defaultParallelism)), (3, 3)):
+            spark.conf.set(ST.PARTITIONS, session)
+            out = R.run(spark, R.stage_events(ev, n_batches=1, end_marker=True), ST.silences, "append", "10 minutes")
+            assert out.where((F.col("status") == "down") & (F.col("instance") != R.MARKER_INSTANCE)).count() > 0
+            assert {o.numShufflePartitions for p in seen for o in p.stateOperators} == {most}
+            assert spark.conf.get(ST.PARTITIONS) == str(session)
+            seen.clear()
+    finally:
+        spark.conf.set(ST.PARTITIONS, before)
