@@ -1,6 +1,7 @@
 """The text operators against plain re-computation on small made texts: copies, near copies, shared passages, edges."""
 
 import random
+import uuid
 
 import helpers as H
 import numpy as np
@@ -11,6 +12,7 @@ from hypothesis import strategies as st
 from tickframe.llm import decontaminate, ngramjoin, substringdedup, suffixdedup
 from tickframe.llm import blocks as B
 from tickframe.llm.automaton import SuffixAutomaton
+from tickframe.llm.components import components
 
 COLS = "doc_id long, text string, n_words string, id string"
 
@@ -202,3 +204,25 @@ def test_links_of_sets_of_different_sizes(spark, seed):
             rows.append((len(rows), " ".join(w + rng.choice([[], rng.choice(lines).split()]))))
     got = ngramjoin.link_components(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted((tuple(r) for r in got.collect()), key=str) == H.jaccard_components(rows)
+
+
+def test_components_of_few_links_take_few_tasks(spark):
+    """Many shuffle partitions: their tasks cost more than the links of a round, so a round has few stages of them."""
+    links = [(k, k + 1) for k in range(30)] + [(100, 105), (105, 100), (101, 105), (7, 7), (None, 3), (200, 201), (200, 201)]
+    want = {k: 0 for k in range(31)} | {100: 100, 101: 100, 105: 100, 200: 200, 201: 200}
+    confs = {"spark.sql.shuffle.partitions": "48", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before, sc = {k: spark.conf.get(k) for k in confs}, spark.sparkContext
+    group, tracker = uuid.uuid4().hex, spark.sparkContext.statusTracker()
+    try:
+        for k, v in confs.items():
+            spark.conf.set(k, v)
+        sc.setJobGroup(group, "components")
+        got = {r.id: r.component for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == want
+    stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+    tasks = sum(i.numCompletedTasks for i in map(tracker.getStageInfo, stages) if i is not None)
+    assert 0 < tasks < 2600
