@@ -1,6 +1,7 @@
 """Trained operators: held-out accuracy on made texts, and defined results at the edges."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -188,3 +189,26 @@ def test_toxicity_sample_refills_and_keeps_long_texts(spark, monkeypatch):
     places = [[int(w[1:]) for w in t.split()] for t in odd]
     assert odd and all(0.9 * toxicity.MAX_TRAIN_BYTES < len(t.encode()) <= toxicity.MAX_TRAIN_BYTES + 16 for t in odd)
     assert all(p == sorted(p) and p[0] < 1_500 and p[-1] > 10_000 for p in places)
+
+
+def test_toxicity_scores_in_small_blocks():
+    """The features of a task's texts are held for SCORE_BYTES of text at a time, and scores do not depend on the blocks."""
+    rng = np.random.default_rng(3)
+    words = np.array(["alpha", "beta", "gamma$", "d3lta", "épsilon", "zeta", "eta", "theta"])
+    texts = [" ".join(rng.choice(words, 400)) for _ in range(700)] + [None, "", "..."]
+
+    class Model:
+        value = {"weight": rng.normal(size=toxicity.BUCKETS), "bias": 0.1, "constant": None}
+
+    def scores(batch):
+        return [s for b in toxicity._score_task(Model, "text", False)(iter([batch])) for s in b.column("score").to_pylist()]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+    one_by_one = [scores(batch.slice(k, 1))[0] for k in (0, 350, 699, 700, 701, 702)]
+    tracemalloc.start()
+    try:
+        got = scores(batch)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert [got[k] for k in (0, 350, 699, 700, 701, 702)] == one_by_one and len(got) == len(texts)
+    assert peak < 64 << 20

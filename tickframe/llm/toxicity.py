@@ -30,6 +30,7 @@ from tickframe.llm import codepoints as C
 BITS, DIM, WINDOW, SCORE_WINDOW = 17, 8, 24, 1
 BUCKETS = 1 << BITS
 _CHUNK = 1 << 11
+SCORE_BYTES = 1 << 17  # of text that a task holds features of at once, about 250 bytes of arrays for each; a longer text is on its own
 SIGNS = "@$!*#+|'"
 ORDERS = (3, 4, 5)
 MAX_POSITIVE, MAX_NEGATIVE, MAX_TRAIN_BYTES, PIECES = 1000, 1200, 32_768, 8
@@ -232,7 +233,7 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text") -> dict:
 def _score_task(model, text: str, keep_text: bool):
     def task(batches):
         m, classes = model.value, C.Classes()
-        for rows, data, offsets in B.blocks(batches, text):
+        for rows, data, offsets in B.blocks(batches, text, SCORE_BYTES):
             f, w, firsts = subwords(data, offsets, classes, SCORE_WINDOW)
             total, count = np.bincount(w, weights=m["weight"][f], minlength=int(firsts[-1])), np.bincount(w, minlength=int(firsts[-1]))
             z = total / np.maximum(count, 1) + m["bias"]
