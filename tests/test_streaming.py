@@ -119,3 +119,15 @@ def test_state_partitions_follow_cores(spark, monkeypatch):
             seen.clear()
     finally:
         spark.conf.set(ST.PARTITIONS, before)
+
+
+def test_samples_that_are_no_alerts_stay_out_of_the_state_but_move_the_watermark(spark):
+    """The last alert's group ends while all is well, without a heartbeat: only samples that are no alerts move the watermark past it."""
+    second = lambda at: F.timestamp_seconds(1_700_000_000 + at).cast("timestamp_ntz")
+    ev = spark.range(200).select(F.col("id").alias("event_id"), second(F.when(F.col("id") < 3, F.col("id")).otherwise(30 * F.col("id"))).alias("ts"), F.lit(1).cast("bigint").alias("user_id"),
+                                 F.lit("view").alias("event_type"), F.when(F.col("id") < 3, 90.0).otherwise(1.0).alias("value"), F.lit("{}").alias("props"))
+    timeless = ev.where("event_id = 5").withColumns({"event_id": F.lit(1000).cast("bigint"), "ts": F.lit(None).cast("timestamp_ntz"), "value": F.lit(95.0)})
+    flags = O.alert_flags(O.as_samples(ev.unionByName(timeless)))
+    assert sorted(r.event_id for r in flags.collect()) == [0, 1, 2, 1000]
+    got = R.run(spark, R.stage_events(ev, n_batches=2), lambda s: ST.notifications(O.alert_flags(s)), "append")
+    assert [(r.metric, r.alerts, r.alerts_since_last, (r.sent_at - r.group_start).total_seconds()) for r in got.collect()] == [("cpu_usage", 3, 3, 12.0)]

@@ -123,11 +123,13 @@ def threshold_alerts(s: DataFrame) -> DataFrame:
 
 
 def alert_flags(s: DataFrame) -> DataFrame:
-    """Every sample with value 1 if it is an alert and 0 if not.  Nothing is filtered away: a filter on the value would be pushed
-    below the watermark, which then stands still while all is well."""
+    """The alerts among the samples, with value 1.  Other samples say nothing to the rule (a group ends by the clock), so they stay out of
+    its state; only those without a time are kept, with value 0: by that the condition names ts, and Spark leaves a filter on the
+    event time above the watermark.  One on the value alone would be pushed below it, and it would stand still while all is well."""
     th = s.sparkSession.createDataFrame([t[:2] for t in ALERT_THRESHOLDS], "metric STRING, limit DOUBLE")
-    return s.join(F.broadcast(th), "metric", "left").select(F.coalesce("metric", F.lit("heartbeat")).alias("metric"), "ts", "event_id",
-                                                          F.coalesce((F.col("value") > F.col("limit")).cast("double"), F.lit(0.0)).alias("value"))
+    flags = s.join(F.broadcast(th), "metric", "left").select(F.coalesce("metric", F.lit("heartbeat")).alias("metric"), "ts", "event_id",
+                                                           F.coalesce((F.col("value") > F.col("limit")).cast("double"), F.lit(0.0)).alias("value"))
+    return flags.where((F.col("value") > 0) | F.col("ts").isNull())
 
 
 def ohlc_bars(s: DataFrame, window="1 hour") -> DataFrame:
