@@ -3,7 +3,9 @@
 import json
 import random
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 
 from tickframe.streaming import stateful as ST
 
@@ -129,3 +131,46 @@ def test_deadlines_of_a_bucket_come_without_input():
     s = ST.SECOND
     assert sorted(got) == [("a", "down", 10 * s, 70 * s), ("a", "down", 130 * s, 190 * s), ("a", "up", 10 * s, 130 * s), ("b", "down", 100 * s, 160 * s)]
     assert not timers
+
+
+def test_windows_of_a_series_are_taken_by_runs():
+    """A series of very many windows: the rule goes by runs, not by windows, and says what it says step by step."""
+    r = random.Random(11)
+    rule, n = ST.Firing(120, 60), 20_000
+    rows = [(s, 60 * t, 0, float(r.random() < 0.8)) for s in range(2) for t in range(n) if r.random() < 0.95]
+    want = []
+    for s in range(2):
+        state = None
+        for _, t, _, v in (x for x in rows if x[0] == s):
+            state, new = rule.step(state, t * ST.SECOND, v)
+            want += [(s, *x) for x in new]
+        want += [(s, *x) for x in rule.passed(state, 10**18)[1]]
+    mixed = list(rows)
+    r.shuffle(mixed)
+    half = [x for x in mixed if x[1] < 30 * n], [x for x in mixed if x[1] >= 30 * n]
+
+    def one_by_one(*_):
+        raise AssertionError("a window at a time")
+    rule.step = one_by_one
+    got, _, timers = _drive(rule, [(half[0], 20 * n), (half[1], 50 * n), ([], 70 * n)], 3000)
+    assert sorted(got) == sorted(want) and len(want) > 1000 and not timers
+    assert rule.samples({}, *(np.array(x, kind) for x, kind in (([60, 120], "int64"), ([0, 0], "int64"), ([float("nan"), 0.0], "float64")))) == []
+
+
+def test_windows_go_to_the_rule_by_parts():
+    """Rows of a task are packed by bucket; a rule says the same of parts as of rows."""
+    rows, intervals, r = _samples(5000, 3)
+    handle, out = _Handle(), []
+    rule = ST.InOrder(ST.InstantRate())
+    rule.init(handle)
+    for some, watermark in intervals:
+        r.shuffle(some)
+        batch = pa.RecordBatch.from_pylist([{"bucket": 0, "series": json.dumps(s), "at": t * ST.SECOND, "id": i, "value": v} for s, t, i, v in some])
+        parts = [x for b in ST._pack([batch] if some else []) for x in b.to_pylist()]
+        assert len(parts) == -(-len(some) // ST.PART)
+        list(rule.handleInputRows((0,), iter([pd.DataFrame(parts)] if parts else []), _Watermark(0)))
+        for ms in [t for t in handle.timers if t <= watermark * 1000]:
+            out += [x for f in rule.handleExpiredTimer((0,), _Watermark(watermark * 1000), None) for x in f.itertuples(index=False, name=None)]
+            handle.timers.remove(ms)
+    plain = lambda x: sorted((s, t, v, -1.0 if q is None or q != q else q) for s, t, v, q in x)
+    assert plain((json.loads(s), *x) for s, *x in out) == plain(_drive(ST.InstantRate(), intervals, 500)[0]) and len(out) == 5000
