@@ -5,6 +5,7 @@ import uuid
 
 import helpers as H
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -226,3 +227,18 @@ def test_components_of_few_links_take_few_tasks(spark):
     stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
     tasks = sum(i.numCompletedTasks for i in map(tracker.getStageInfo, stages) if i is not None)
     assert 0 < tasks < 2600
+
+
+def test_sets_are_hashed_in_small_blocks(monkeypatch):
+    """A worker that hashes 2 MB of texts holds the arrays of a small part of them, and the powers for it."""
+    texts = [" ".join(f"w{i * 7 + j}" for j in range(200)) for i in range(1500)] + ["x " * 200_000]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.string())})
+    seen, real = [], ngramjoin.shingles
+    monkeypatch.setattr(B, "_powers", [{"n": 0, "p": None, "q": None} for _ in B._powers])
+    monkeypatch.setattr(ngramjoin, "shingles", lambda data, offsets: seen.append(data.size) or real(data, offsets))
+    rows = [r for b in ngramjoin._survey([batch.slice(0, 1500)]) for r in b.to_pylist()]
+    assert max(seen) <= 1 << 17 < sum(seen) // 8 and all(t["n"] <= (1 << 17) + 1 for t in B._powers)
+    rows += [r for b in ngramjoin._survey([batch.slice(1500)]) for r in b.to_pylist()]
+    assert seen[-1] == 400_000 and [r["n"] for r in rows if r["chunk"] is None] == [196] * 1500 + [1]
+    assert sum(np.frombuffer(r["loads"], np.int32).sum() for r in rows if r["loads"]) == 196 * 1500 + 1
+    assert [r["doc_id"] for r in ngramjoin._dicts(batch)] == list(range(len(texts)))

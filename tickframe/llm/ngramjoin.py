@@ -34,6 +34,7 @@ from tickframe.session import checkpoint_dir
 SHINGLE, NUMERATOR, DENOMINATOR = 5, 75, 100
 LOAD_BITS, FRAGMENTS, SPLIT, HOT, DENSE = 18, 8, 10_000, 32, 8
 BLOCK_ROWS, BLOCK_BYTES = 512, 4 << 20
+TEXT_BYTES = 1 << 17  # of a block of texts: a worker holds some 200 times that while it hashes
 CHUNK = 1 << 14
 MAX_BROADCAST_IDS = 2_000_000
 
@@ -73,9 +74,9 @@ _SETS = "doc_id bigint, n bigint, sig bigint, chunk int, loads binary"
 def _survey(batches):
     """A row per document (size and signature of its set) and this task's bucket loads in chunks."""
     loads = np.zeros(1 << LOAD_BITS, np.int64)
-    for rows, data, offsets in B.blocks(batches, "text"):
+    for rows, data, offsets in B.blocks(batches, "text", TEXT_BYTES):
         _, h, firsts = shingles(data, offsets)
-        loads += np.bincount(_bucket(h), minlength=loads.size)
+        np.add.at(loads, _bucket(h), 1)
         k = rows.num_rows
         yield pa.RecordBatch.from_pydict({"doc_id": rows.column("doc_id"), "n": pa.array(np.diff(firsts), pa.int64()),
                                           "sig": pa.array(signatures(h, firsts), pa.int64()), "chunk": pa.nulls(k, pa.int32()), "loads": pa.nulls(k, pa.binary())})
@@ -112,7 +113,7 @@ def _equal_overlap(n):
 def _prefixes(order_shared):
     def task(batches):
         order, seen = order_shared.value, set()
-        for _, data, offsets in B.blocks(batches, "text"):
+        for _, data, offsets in B.blocks(batches, "text", TEXT_BYTES):
             row, h, firsts = shingles(data, offsets)
             sig, n = signatures(h, firsts), np.diff(firsts)
             rank = np.lexsort((h, order["loads"][_bucket(h)], row))
@@ -136,11 +137,17 @@ def _prefixes(order_shared):
 
 def _sets(batches):
     """The sorted shingles of each document."""
-    for rows, data, offsets in B.blocks(batches, "text"):
+    for rows, data, offsets in B.blocks(batches, "text", TEXT_BYTES):
         _, h, firsts = shingles(data, offsets)
         yield pa.RecordBatch.from_pydict({"rep": rows.column("doc_id"), "set": pa.array([h[a:b].tobytes() for a, b in zip(firsts, firsts[1:])], pa.binary())})
 
 
+def _dicts(batch: pa.RecordBatch):
+    """The rows of a batch, a few at a time: sets and blocks are long."""
+    for i in range(0, batch.num_rows, 8):
+        yield from batch.slice(i, 8).to_pylist()
+
+
 _BLOCK = "block bigint, reps array<bigint>, comps array<bigint>, sizes array<int>, words binary, places binary"
 
 
@@ -155,7 +162,7 @@ def _cut(batches):
             "words": pa.array([words.tobytes()], pa.binary()), "places": pa.array([places.astype(np.uint32).tobytes()], pa.binary())})
     held, size, key = [], 0, None
     for b in batches:
-        for r in b.to_pylist():
+        for r in _dicts(b):
             if held and (key != (r["main"], r["part"]) or size + len(r["set"]) > BLOCK_BYTES):
                 yield block(held)
                 held, size = [], 0
@@ -193,7 +200,7 @@ def _common(one, two) -> np.ndarray:
 def _compare(batches):
     """Links between documents of different components in a pair of blocks, as a spanning forest."""
     for batch in batches:
-        for r in batch.to_pylist():
+        for r in _dicts(batch):
             side = [(np.frombuffer(r["words" + s], np.uint64), np.frombuffer(r["places" + s], np.uint32), np.array(r["sizes" + s], np.int64)) for s in ("", "2")]
             (_, _, n1), (_, _, n2) = side
             common = _common(*side).astype(np.int64)
@@ -241,7 +248,7 @@ def _segments(order_shared):
     """The shingles of each document, cut at the borders of the fragments."""
     def task(batches):
         order = order_shared.value
-        for rows, data, offsets in B.blocks(batches, "text"):
+        for rows, data, offsets in B.blocks(batches, "text", TEXT_BYTES):
             row, h, firsts = shingles(data, offsets)
             frag = np.searchsorted(order["cuts"], order["loads"][_bucket(h)], "left")
             by = np.lexsort((frag, row))
